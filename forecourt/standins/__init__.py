@@ -1,4 +1,4 @@
 """Queries on the given tables, one per operator, view and pipeline."""
 
-from forecourt.standins import rollups  # noqa: F401
+from forecourt.standins import latests, merges, rollups  # noqa: F401
 from forecourt.standins.base import ORACLE, QUERIES  # noqa: F401
