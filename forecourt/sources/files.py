@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -71,31 +72,26 @@ def with_file(df: DataFrame) -> DataFrame:
 # --- event archives -------------------------------------------------------
 
 
-def _first_entry_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                entries = archive.infolist()
-                if not entries:
-                    continue
-                block = []
-                with archive.open(entries[0]) as entry:
-                    for line in io.TextIOWrapper(entry, "utf-8"):
-                        block.append(line)
-                        if len(block) == BLOCK_LINES:
-                            yield pd.DataFrame({"file": path, "line": block})
-                            block = []
-                if block:
-                    yield pd.DataFrame({"file": path, "line": block})
-
-
 def archive_lines(archives: DataFrame) -> DataFrame:
     """(file, line) of the first entry of every zip; ``archives`` has (path, content).
 
     Zips are unpacked as streams of line blocks, so a task holds one
     compressed archive and one block.
     """
-    return archives.select("path", "content").mapInPandas(_first_entry_lines, "file string, line string")
+
+    def first_entry_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    entries = archive.infolist()
+                    if not entries:
+                        continue
+                    with archive.open(entries[0]) as entry:
+                        lines = io.TextIOWrapper(entry, "utf-8")
+                        while block := list(itertools.islice(lines, BLOCK_LINES)):
+                            yield pd.DataFrame({"file": path, "line": block})
+
+    return archives.select("path", "content").mapInPandas(first_entry_lines, "file string, line string")
 
 
 def read_archives(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
@@ -183,8 +179,8 @@ def column_subset(raw: DataFrame, wanted: Sequence[str], keep: Sequence[str] = (
 def scan_catalog_tsv(spark: SparkSession, path: str) -> DataFrame:
     """(file, vin_pattern, vehicle_id, payload) of a tab-separated catalog snapshot."""
     raw = with_file(read_text_table(spark, path, "\t"))
-    lifted = raw.withColumns({"vin_pattern": F.col("VIN_PATTERN"), "vehicle_id": S.safe_int(F.col("VEHICLE_ID"))})
-    return pack_payload(lifted.drop("VIN_PATTERN", "VEHICLE_ID", "last_modified"), ["file", "vin_pattern", "vehicle_id"])
+    lifted = raw.drop("last_modified").withColumnRenamed("VIN_PATTERN", "vin_pattern").withColumnRenamed("VEHICLE_ID", "vehicle_id")
+    return pack_payload(lifted.withColumn("vehicle_id", S.safe_int(F.col("vehicle_id"))), ["file", "vin_pattern", "vehicle_id"])
 
 
 def scan_sales_tsv(spark: SparkSession, path: str) -> DataFrame:

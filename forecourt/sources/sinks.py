@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.operators.merge import upsert_replace
-from forecourt.session import fresh_path
+from forecourt.session import fresh_path, materialize
 
 
 def replace_table(df: DataFrame, table: str, base: str | None = None) -> None:
@@ -40,9 +40,13 @@ def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partit
     writer.partitionBy(partition).parquet(path)
 
 
-def refresh_views(spark: SparkSession, views: Mapping[str, Callable[[DataFrame], DataFrame]], source: DataFrame, names: Sequence[str] | None = None) -> list[str]:
-    """Recompute and swap the named derived tables from one shared input, written once by the caller."""
-    wanted = list(views) if names is None else list(names)
-    for name in wanted:
-        replace_table(views[name](source), name)
-    return wanted
+def refresh_views(spark: SparkSession, views: Mapping[str, Callable[[DataFrame], DataFrame]], source: DataFrame, names: Sequence[str] | None = None, prefix: str = "") -> dict[str, str]:
+    """Recompute and swap the named derived tables; returns view -> table name.
+
+    The shared input is written once, so a costly ``source`` is not recomputed per view.
+    """
+    shared = materialize(source, "refresh")
+    tables = {name: prefix + name for name in (views if names is None else names)}
+    for name, table in tables.items():
+        replace_table(views[name](shared), table)
+    return tables
