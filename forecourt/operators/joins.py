@@ -166,26 +166,31 @@ def match_tiered(wanted: DataFrame, offers: DataFrame, key: Sequence[str], measu
     Both sides carry ``key`` = (year, make, model, trim, style), ``body`` and
     ``measure``. Tiers with a measure: 1 year, make, model; 2 year, make, body;
     3 previous year, make, model, trim; 5 year, body. Without one: 4 year,
-    make, model, trim. All tiers are tried in one plan and the least is kept,
+    make, model, trim. Each row is listed once per tier with that tier's equal
+    columns, so one nearest match serves all tiers and the least tier is kept,
     which is the same as trying them in turn.
     """
     year, make, model, trim, _ = key
-    # The offer's own key travels under other names, so a tier may join on shifted columns.
-    lent = [F.col(k).alias(f"_o_{k}") for k in key]
     names = [f"_o_{k}" for k in key]
-    sell = offers.select(*key, body, measure, *lent)
-    tiers = {1: [year, make, model], 2: [year, make, body], 3: [year, make, model, trim], 5: [year, body]}
-    found = []
-    for tier, equal in tiers.items():
-        side = sell.withColumn(year, F.col(year) + 1) if tier == 3 else sell
-        hit = nearest_match(wanted.select(*key, body, measure), side, equal, measure, names, tolerance)
-        found.append(hit.select(*key, F.lit(tier).alias("tier"), "diff", "match"))
+    lent = [F.col(k).alias(n) for k, n in zip(key, names)]
+
+    def per_tier(df: DataFrame, last_year: Column, *keep: Column) -> DataFrame:
+        def row(tier: int, y: Column, *cols: str) -> Column:
+            same = [F.col(c) for c in cols] + [F.lit("")] * (3 - len(cols))
+            return F.struct(F.lit(tier).alias("tier"), y.alias("_y"), *[c.alias(f"_s{i}") for i, c in enumerate(same)])
+
+        y = F.col(year)
+        rows = [row(1, y, make, model), row(2, y, make, body), row(3, last_year, make, model, trim), row(5, y, body)]
+        return df.select(*keep, measure, F.explode(F.array(*rows)).alias("_t")).select("*", "_t.*").drop("_t")
+
+    equal = ["tier", "_y", "_s0", "_s1", "_s2"]
+    # An offer of the year before meets the wanted year in tier 3.
+    sell = per_tier(offers, F.col(year) + 1, *lent)
+    buy = per_tier(wanted, F.col(year), *[F.col(k) for k in key])
+    near = nearest_match(buy, sell, equal, measure, names, tolerance).select(*key, "tier", "diff", "match")
     plain = [year, make, model, trim]
-    first = sell.groupBy(*plain).agg(F.min(F.struct(*names)).alias("match"))
+    first = offers.select(*plain, *lent).groupBy(*plain).agg(F.min(F.struct(*names)).alias("match"))
     bare = wanted.where(F.col(measure).isNull()).select(*key).join(first, plain)
-    found.append(bare.select(*key, F.lit(4).alias("tier"), F.lit(0.0).alias("diff"), "match"))
-    rows = found[0]
-    for f in found[1:]:
-        rows = rows.unionByName(f)
+    rows = near.unionByName(bare.select(*key, F.lit(4).alias("tier"), F.lit(0.0).alias("diff"), "match"))
     best = rows.groupBy(*key).agg(F.min(F.struct("tier", "diff", "match")).alias("_b"))
     return best.select(*key, "_b.tier", *[F.col(f"_b.match._o_{k}").alias(f"match_{k}") for k in key])

@@ -12,17 +12,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 1) -> DataFrame:
-    """Null-safe equi join on same-named ``keys``, keeping the key columns of ``big``.
+def spread_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 1, null_safe: bool = True
+) -> DataFrame:
+    """Equi join on same-named ``keys``, keeping the key columns of ``big``.
 
-    With ``salts`` > 1 a hot key of ``big`` is spread over that many join
-    partitions and ``small`` is repeated as often. The salt is the input
-    partition number, so a re-run task gives the same salt to the same row,
-    and copies of one row still spread.
+    NULL keys match each other, as in a window partition; ``null_safe=False``
+    says the keys are never NULL and halves the sort keys. With ``salts`` > 1
+    a hot key of ``big`` is spread over that many join partitions and ``small``
+    is repeated as often. The salt is the input partition number, so a re-run
+    task gives the same salt to the same row, and copies of one row still spread.
     """
     left = big
     right = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    pairs = [(F.col(k), F.col(f"_k_{k}")) for k in keys]
+    on = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
     extra = [f"_k_{k}" for k in keys]
     if salts > 1:
         left = big.withColumn("_salt", F.spark_partition_id() % salts)
@@ -32,12 +36,12 @@ def spread_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str
     return left.join(right, on, how).drop(*extra)
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column, salts: int = 1) -> DataFrame:
-    """Add per-group aggregates to every row of the group."""
-    return spread_join(df, df.groupBy(*keys).agg(*aggs), keys, salts=salts)
+def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column, salts: int = 1, null_safe: bool = True) -> DataFrame:
+    """Add per-group aggregates to every row of the group. ``df`` is read twice."""
+    return spread_join(df, df.groupBy(*keys).agg(*aggs), keys, salts=salts, null_safe=null_safe)
 
 
-def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None) -> DataFrame:
+def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, null_safe: bool = True) -> DataFrame:
     """One row per (group, ts): rank by ``ts`` descending, ties equal, NULL ts first; optionally the group size.
 
     Rows are counted per (group, ts) first; the counts are then summed in two
@@ -47,21 +51,26 @@ def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank
     per_ts = df.groupBy(*keys, ts).agg(F.count("*").alias("_n"))
     per_ts = per_ts.withColumn("_day", F.to_date(ts))
     days = per_ts.groupBy(*keys, "_day").agg(F.sum("_n").alias("_dn"))
-    newer_days = Window.partitionBy(*keys).orderBy(F.col("_day").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("_before", F.coalesce(F.sum("_dn").over(newer_days), F.lit(0)))
-    extra = ["_before"]
+    group = Window.partitionBy(*keys)
+    newer_days = group.orderBy(F.col("_day").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    columns = [F.coalesce(F.sum("_dn").over(newer_days), F.lit(0)).alias("_before")]
     if size:
-        days = spread_join(days, days.groupBy(*keys).agg(F.sum("_dn").alias(size)), keys)
-        extra.append(size)
+        columns.append(F.sum("_dn").over(group).alias(size))
+    days = days.select(*keys, "_day", *columns)
     newer_ts = Window.partitionBy(*keys, "_day").orderBy(F.col(ts).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = spread_join(per_ts, days.select(*keys, "_day", *extra), [*keys, "_day"])
+    ranked = spread_join(per_ts, days, [*keys, "_day"], null_safe=null_safe)
     ranked = ranked.withColumn(rank, (F.col("_before") + F.coalesce(F.sum("_n").over(newer_ts), F.lit(0)) + 1).cast("int"))
     return ranked.select(*keys, ts, rank, *([size] if size else []))
 
 
-def with_recency_rank(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, top: int | None = None) -> DataFrame:
-    """Add rank() by recency (and the group size); ``top`` keeps ranks up to it, ties included."""
-    ranks = recency_ranks(df, keys, ts, rank, size)
+def with_recency_rank(
+    df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, top: int | None = None, null_safe: bool = True
+) -> DataFrame:
+    """Add rank() by recency (and the group size); ``top`` keeps ranks up to it, ties included.
+
+    ``df`` is read twice: pass a table scan, or write a costly plan first.
+    """
+    ranks = recency_ranks(df, keys, ts, rank, size, null_safe)
     if top is not None:
         ranks = ranks.where(F.col(rank) <= top)
-    return spread_join(df, ranks, [*keys, ts])
+    return spread_join(df, ranks, [*keys, ts], null_safe=null_safe)

@@ -14,6 +14,7 @@ from forecourt.operators.joins import SALTS, distinct_per_group
 from forecourt.operators.latest import avg_over_group, earliest_per_key, latest_first_seen
 from forecourt.operators.merge import upsert_newest, upsert_newest_partial
 from forecourt.operators.spread import spread_join, with_recency_rank
+from forecourt.session import materialize
 
 VEHICLE = ("year", "make", "model", "trim", "style")
 # Catalog file column -> column.
@@ -59,16 +60,20 @@ def training_set(listings: DataFrame, catalog: DataFrame, top: int | None = None
     """Listings matched to catalog vehicles, with the vehicle's listing count and recency rank.
 
     ``catalog`` is the output of ``catalog_clean``. A pattern may hold much of
-    the listings, so the join repeats the catalog over salts. ``top`` keeps
-    ranks up to it.
+    the listings, so the join repeats the catalog over salts. Vehicle columns
+    and ``status_date`` are required columns; rows without them are left out.
+    ``top`` keeps ranks up to it.
     """
     rows = listings.select("vin", F.col("taxonomy_vin").alias("vin_pattern"), "trim_orig", "miles", "price", "status_date")
-    rows = rows.where(F.col("vin_pattern").isNotNull())
-    joined = spread_join(rows, catalog, ["vin_pattern"], salts=SALTS).where(trim_agrees())
+    rows = rows.where(F.col("vin_pattern").isNotNull() & F.col("status_date").isNotNull())
+    whole = catalog.dropna(subset=list(VEHICLE))
+    joined = spread_join(rows, whole, ["vin_pattern"], salts=SALTS, null_safe=False).where(trim_agrees())
     once = joined.select(
         "vin", *VEHICLE, "body_type", F.col("vin_pattern_market_avg").alias("msrp"), F.col("miles").alias("mileage"), "price", "status_date"
     ).distinct()
-    ranked = with_recency_rank(once, VEHICLE, "status_date", "rank", "vehicles", top)
+    # The rank reads the rows twice, so the join is written once.
+    once = materialize(once, "matched")
+    ranked = with_recency_rank(once, VEHICLE, "status_date", "rank", "vehicles", top, null_safe=False)
     return ranked.drop("status_date")
 
 

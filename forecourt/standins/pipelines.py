@@ -115,20 +115,28 @@ _KINDS = {
 }
 
 
-# Suppliers of a nation and priority share few leads, so some have one kind only.
+# A business is a customer in one year, so that some have leads of one kind only.
 def _single_type(name, fn, wanted):
     seen = ", ".join(f"max(case when {c} then created_at end) as {n}" for n, c in _KINDS.items())
     count = " + ".join(f"({n} is not null)::integer" for n in _KINDS)
-    sql = f"""with s as (select master_business_id, {seen} from {LEADS_SQL} l group by 1)
-      select c_name as name, c_mktsegment as website_url, c_custkey as master_business_id, cast(c_nationkey as varchar) as crm_id, c_mktsegment || '-suite' as subscriptions, {wanted}
-      from customer join s on master_business_id = c_custkey where c_acctbal >= 0 and c_mktsegment || '-suite' like '%UR%' and {wanted} is not null and {count} = 1"""
+    sql = f"""with s as (select master_business_id * 10000 + year(created_at) as id, {seen} from {LEADS_SQL} l group by 1),
+      b as (select distinct o_custkey * 10000 + year(o_orderdate) as id, c_name, c_mktsegment, c_nationkey, c_acctbal from orders join customer on c_custkey = o_custkey)
+      select c_name as name, c_mktsegment as website_url, id as master_business_id, cast(c_nationkey as varchar) as crm_id, c_mktsegment || '-suite' as subscriptions, {wanted}
+      from b join s using (id) where c_acctbal >= 0 and c_mktsegment || '-suite' like '%UR%' and {wanted} is not null and {count} = 1"""
 
     def run(t):
-        businesses = t.customer.select(
-            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("website_url"), F.col("c_nationkey").cast("string").alias("crm_id"), F.concat("c_mktsegment", F.lit("-suite")).alias("subscriptions")
-        )
-        active = t.customer.where("c_acctbal >= 0").select(F.col("c_custkey").alias("master_business_id"))
-        return fn(businesses, labelled(t), active, "UR")
+        id_ = F.col("o_custkey") * 10000 + F.year("o_orderdate")
+        rows = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).withColumn("id", id_)
+        businesses = rows.select(
+            "id",
+            F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("website_url"),
+            F.col("c_nationkey").cast("string").alias("crm_id"),
+            F.concat("c_mktsegment", F.lit("-suite")).alias("subscriptions"),
+        ).distinct()
+        active = rows.where("c_acctbal >= 0").select(F.col("id").alias("master_business_id")).distinct()
+        content = labelled(t).withColumn("master_business_id", F.col("master_business_id") * 10000 + F.year("created_at"))
+        return fn(businesses, content, active, "UR")
 
     query(name, sql)(run)
 
@@ -266,11 +274,11 @@ def _(t):
 
 
 # Customers are the clients of the supplier with their nation's number.
-_CLIENTS_SQL = "(select c_custkey as master_business_id, c_nationkey as dealer_id from customer where c_acctbal > 9000)"
+_CLIENTS_SQL = "(select c_custkey as master_business_id, c_nationkey::bigint as dealer_id from customer where c_acctbal > 9000)"
 
 
 def _clients(t):
-    return t.customer.where("c_acctbal > 9000").select(F.col("c_custkey").alias("master_business_id"), F.col("c_nationkey").alias("dealer_id"))
+    return t.customer.where("c_acctbal > 9000").select(F.col("c_custkey").alias("master_business_id"), F.col("c_nationkey").cast("bigint").alias("dealer_id"))
 
 
 def _inventory_sql(days, where="true"):
@@ -330,8 +338,8 @@ for _region, _days in inventory.LOW_MILEAGE_DAYS.items():
 
 # --- catalog and price models --------------------------------------------
 
-# Parts as catalog rows: eight parts share a pattern; brands are makes.
-_PATTERN = "cast(floor(p_partkey / 8) as {int})"
+# Parts as catalog rows: two parts share a pattern; brands are makes.
+_PATTERN = "cast(floor(p_partkey / 2) as {int})"
 _CAT = {
     "vin_pattern": _PATTERN,
     "market": "case when p_size > 25 then 'CA' else 'US' end",
@@ -370,7 +378,7 @@ def _one_listing(t):
     """One row per VIN: events of a type stand for one car of the pattern their value falls into."""
     return t.lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("vin"),
-        F.floor(F.col("l_partkey") / 8).cast("bigint").alias("taxonomy_vin"),
+        F.floor(F.col("l_partkey") / 2).cast("bigint").alias("taxonomy_vin"),
         F.when(F.col("l_returnflag") == "R", "ring").when(F.col("l_returnflag") == "A", "BOLT").alias("trim_orig"),
         (F.col("l_quantity") * 1000).alias("miles"),
         F.col("l_extendedprice").alias("price"),
@@ -378,7 +386,7 @@ def _one_listing(t):
     )
 
 
-_ONE_SQL = """(select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as vin, cast(floor(l_partkey / 8) as bigint) as taxonomy_vin,
+_ONE_SQL = """(select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as vin, cast(floor(l_partkey / 2) as bigint) as taxonomy_vin,
   case l_returnflag when 'R' then 'ring' when 'A' then 'BOLT' end as trim_orig, l_quantity * 1000 as miles, l_extendedprice as price, l_shipdate as status_date from lineitem)"""
 _TRAIN_SQL = f"""(select vin, year, make, model, trim, style, body_type, msrp, mileage, price,
     count(*) over (partition by year, make, model, trim, style) as vehicles, rank() over (partition by year, make, model, trim, style order by status_date desc)::integer as rank
