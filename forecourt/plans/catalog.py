@@ -49,31 +49,36 @@ def catalog_clean(catalog: DataFrame) -> DataFrame:
     return rows.select("vin_pattern", *VEHICLE, "body_type", "msrp", "vin_pattern_market_avg", "vin_pattern_trims")
 
 
-def trim_agrees() -> Column:
-    """One trim in the pattern, or msrp within 5 % of the pattern's mean, or the listing's trim text inside the trim."""
+def matchable(catalog: DataFrame) -> DataFrame:
+    """Distinct vehicles per pattern, with ``any_trim``: the listing's trim text need not agree.
+
+    That holds with one trim in the pattern, or an msrp within 5 % of the
+    pattern's mean. Vehicles that differ only in their own msrp become one row
+    here, so the match with the listings yields no copies.
+    """
     mean = F.col("vin_pattern_market_avg")
     near = (mean > 0) & (S.relative_difference(F.col("msrp"), mean) < 0.05)
-    return (F.col("vin_pattern_trims") == 1) | near | S.contains_text(F.col("trim"), F.col("trim_orig"))
+    free = (F.col("vin_pattern_trims") == 1) | F.coalesce(near, F.lit(False))
+    whole = catalog.dropna(subset=["vin_pattern", *VEHICLE])
+    return whole.groupBy("vin_pattern", *VEHICLE, "body_type", mean.alias("msrp")).agg(F.max(free).alias("any_trim"))
 
 
 def training_set(listings: DataFrame, catalog: DataFrame, top: int | None = None) -> DataFrame:
     """Listings matched to catalog vehicles, with the vehicle's listing count and recency rank.
 
-    ``catalog`` is the output of ``catalog_clean``. A pattern may hold much of
-    the listings, so the join repeats the catalog over salts. Vehicle columns
-    and ``status_date`` are required columns; rows without them are left out.
-    ``top`` keeps ranks up to it.
+    ``listings`` has one row per VIN and ``catalog`` is the output of
+    ``catalog_clean``. A pattern may hold much of the listings, so the join
+    repeats the catalog over salts. Rows without pattern, date or a vehicle
+    column are left out. ``top`` keeps ranks up to it.
     """
-    rows = listings.select("vin", F.col("taxonomy_vin").alias("vin_pattern"), "trim_orig", "miles", "price", "status_date")
-    rows = rows.where(F.col("vin_pattern").isNotNull() & F.col("status_date").isNotNull())
-    whole = catalog.dropna(subset=list(VEHICLE))
-    joined = spread_join(rows, whole, ["vin_pattern"], salts=SALTS, null_safe=False).where(trim_agrees())
-    once = joined.select(
-        "vin", *VEHICLE, "body_type", F.col("vin_pattern_market_avg").alias("msrp"), F.col("miles").alias("mileage"), "price", "status_date"
-    ).distinct()
+    rows = listings.select("vin", F.col("taxonomy_vin").alias("vin_pattern"), "trim_orig", F.col("miles").alias("mileage"), "price", "status_date")
+    rows = rows.dropna(subset=["vin_pattern", "status_date"])
+    joined = spread_join(rows, matchable(catalog), ["vin_pattern"], salts=SALTS, null_safe=False)
+    matched = joined.where(F.col("any_trim") | S.contains_text(F.col("trim"), F.col("trim_orig")))
+    matched = matched.select("vin", *VEHICLE, "body_type", "msrp", "mileage", "price", "status_date")
     # The rank reads the rows twice, so the join is written once.
-    once = materialize(once, "matched")
-    ranked = with_recency_rank(once, VEHICLE, "status_date", "rank", "vehicles", top, null_safe=False)
+    matched = materialize(matched, "matched")
+    ranked = with_recency_rank(matched, VEHICLE, "status_date", "rank", "vehicles", top, null_safe=False)
     return ranked.drop("status_date")
 
 

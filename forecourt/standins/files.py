@@ -26,7 +26,8 @@ ARCHIVE_EVENTS = 1000
 def _written(t: Tables, df, label: str, sep: str = ",", gzip: bool = True) -> str:
     path = fresh_path(t.spark, label)
     options = {"header": True, "sep": sep, "quote": '"', "escape": '"', "emptyValue": ""}
-    df.write.options(**options).option("compression", "gzip" if gzip else "none").csv(path)
+    spread = df.repartition(t.spark.sparkContext.defaultParallelism)
+    spread.write.options(**options).option("compression", "gzip" if gzip else "none").csv(path)
     return path
 
 

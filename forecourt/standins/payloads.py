@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from forecourt.functions import payload as P
 from forecourt.functions import scalars as S
 from forecourt.plans.specs import SALES_REMAPS, VIEW_NAMES, view_spec
-from forecourt.standins.base import query, ts
+from forecourt.session import materialize
+from forecourt.standins.base import query
 
 # Every rule reads a text made from a customer row; customers in debt have an
 # empty field, and furniture buyers a value the rule cannot read.
@@ -54,7 +55,9 @@ def _landing(t, spec):
     day = F.lit("2020-01-01").cast("timestamp") + F.make_dt_interval(days=F.col("c_nationkey"))
     envelope = {"id": F.col("c_custkey"), "created_at": day, "updated_at": day, "updateddate": day}
     fields = [_raw(f.rule, f.key, i).alias(f.key) for i, f in enumerate(spec.fields)]
-    return t.customer.select(*[envelope[e].alias(e) for e in spec.envelope], F.to_json(F.struct(*fields)).alias("payload"))
+    landed = t.customer.select(*[envelope[e].alias(e) for e in spec.envelope], F.to_json(F.struct(*fields)).alias("payload"))
+    # Written, so that the view parses stored JSON instead of an expression the optimizer removes.
+    return materialize(landed, "landing")
 
 
 def _view_sql(spec) -> str:
@@ -93,7 +96,8 @@ def _(t):
 def _(t):
     spec = P.ViewSpec(("id",), P.parse_fields("price:double status Order.placed:ts_plain"))
     body = F.struct(F.col("o_totalprice").cast("string").alias("price"), F.col("o_orderstatus").alias("status"), F.date_format("o_orderdate", S.WALL_CLOCK).alias("Order.placed"))
-    return P.typed_view(t.orders.select(F.col("o_orderkey").alias("id"), F.to_json(body).alias("payload")), spec)
+    landed = materialize(t.orders.select(F.col("o_orderkey").alias("id"), F.to_json(body).alias("payload")), "landing")
+    return P.typed_view(landed, spec)
 
 
 @query(

@@ -43,12 +43,13 @@ _BUSINESS_SQL = _UUID_DUCK.replace("c_custkey", "o_custkey")
     f"select o_orderkey as id, {_BUSINESS_SQL} as master_business_id, o_orderdate as created_at, substr(o_orderpriority, 1, 1) as device, {labels_sql(False)} as lead_content from orders",
 )
 def _(t):
-    return L.lead_content_view(_landed_leads(t), _settings(t)).withColumn("lead_content", F.array_join("lead_content", "-"))
+    landed = materialize(_landed_leads(t), "leads"), materialize(_settings(t), "settings")
+    return L.lead_content_view(*landed).withColumn("lead_content", F.array_join("lead_content", "-"))
 
 
 @query("active_businesses", f"select {_UUID_DUCK} as master_business_id from customer where c_acctbal >= 0")
 def _(t):
-    return L.active_businesses(_settings(t))
+    return L.active_businesses(materialize(_settings(t), "settings"))
 
 
 def _typed_leads(t):
@@ -375,7 +376,7 @@ def _(t):
 
 
 def _one_listing(t):
-    """One row per VIN: events of a type stand for one car of the pattern their value falls into."""
+    """One row per VIN: a line item is a car whose pattern is that of its part."""
     return t.lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("vin"),
         F.floor(F.col("l_partkey") / 2).cast("bigint").alias("taxonomy_vin"),
