@@ -75,13 +75,9 @@ def null_or_equal(column: str, value: str) -> Column:
     return F.col(column).isNull() | (F.col(column) == value)
 
 
-def recent(ts: str, days: int, ref: Column) -> Column:
-    """``ts`` is at most ``days`` before ``ref`` (now, or a scalar max)."""
-    return F.col(ts) >= ref - F.make_dt_interval(days=F.lit(days))
-
-
-def newest(df: DataFrame, ts: str) -> Column:
-    return df.agg(F.max(ts)).scalar()
+def recent(ts: str, days: int, now: Column) -> Column:
+    """``ts`` is at most ``days`` before ``now``."""
+    return F.col(ts) >= now - F.make_dt_interval(days=F.lit(days))
 
 
 def catalog_current(style: str, year: str, this_year: Column, span: int = 20) -> Column:

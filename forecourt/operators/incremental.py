@@ -1,7 +1,7 @@
 """Incremental windows and gates.
 
-Bounds are scalar subqueries: nothing runs on the driver, and the filters reach
-the file scan.
+Bounds are scalar subqueries that already hold the shifted value in the type of
+the time column: nothing runs on the driver, and the filters reach the scan.
 """
 
 from __future__ import annotations
@@ -25,14 +25,20 @@ def _scalar(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("v")).scalar()
 
 
-def high_water(target: DataFrame, ts: str) -> Column:
-    return F.coalesce(_scalar(target, F.max(ts)).cast("timestamp"), epoch())
+def _minutes(n: int) -> Column:
+    return F.make_dt_interval(mins=F.lit(n))
+
+
+def high_water(target: DataFrame, ts: str, minutes: int = 0) -> Column:
+    """Newest stored time (the epoch when there is none) moved by ``minutes``, in the type of ``ts``."""
+    kind = target.schema[ts].dataType
+    return _scalar(target, (F.coalesce(F.max(ts), epoch().cast(kind)) + _minutes(minutes)).cast(kind))
 
 
 def high_water_window(target: DataFrame, ts: str, now: Column, reupload_minutes: int = 0, lag_minutes: int = 0) -> tuple[Column, Column]:
     """(lo, hi): last stored time plus the (negative) re-read span, and now plus the lag."""
-    lo = high_water(target, ts) + F.make_dt_interval(mins=F.lit(reupload_minutes))
-    return lo, now + F.make_dt_interval(mins=F.lit(lag_minutes))
+    hi = (now + _minutes(lag_minutes)).cast(target.schema[ts].dataType)
+    return high_water(target, ts, reupload_minutes), hi
 
 
 def in_window(df: DataFrame, ts: str, window: tuple[Column, Column]) -> DataFrame:
@@ -42,15 +48,20 @@ def in_window(df: DataFrame, ts: str, window: tuple[Column, Column]) -> DataFram
 
 def api_window(target: DataFrame, ts: str, now: Column, zone: str = "America/Toronto", lag_hours: int = 2) -> tuple[Column, Column]:
     """(lo, hi) as wall-clock time of ``zone``, as the billing export asks for it."""
-    hi = now - F.make_dt_interval(hours=F.lit(lag_hours))
-    return F.from_utc_timestamp(high_water(target, ts), zone), F.from_utc_timestamp(hi, zone)
+    lo = high_water(target, ts).cast("timestamp")
+    return F.from_utc_timestamp(lo, zone), F.from_utc_timestamp(now + _minutes(-60 * lag_hours), zone)
 
 
 def lookback_to_day(source: DataFrame, target: DataFrame, ts: str, days: int = 3, newest_of: DataFrame | None = None) -> DataFrame:
     """Rows from ``days`` before the target's newest row up to the last complete day of the source."""
-    lo = high_water(target, ts) - F.make_dt_interval(days=F.lit(days))
-    hi = F.date_trunc("day", _scalar(newest_of or source, F.max(ts)))
-    return source.where((F.col(ts) >= lo) & (F.col(ts) < hi))
+    kind = source.schema[ts].dataType
+    hi = _scalar(newest_of or source, F.date_trunc("day", F.max(ts)).cast(kind))
+    return in_window(source, ts, (high_water(target, ts, -1440 * days), hi))
+
+
+def since_newest(df: DataFrame, ts: str, days: int) -> DataFrame:
+    """Rows at most ``days`` before the newest one."""
+    return df.where(F.col(ts) >= _scalar(df, F.max(ts) - F.make_dt_interval(days=F.lit(days))))
 
 
 def multi_feed_barrier(feeds: Sequence[DataFrame], ts: str, unit: str, done: DataFrame | None = None, done_date: str = "date") -> DataFrame:
@@ -66,17 +77,18 @@ def multi_feed_barrier(feeds: Sequence[DataFrame], ts: str, unit: str, done: Dat
     bounds = rows.agg(
         F.coalesce(hole, F.min("lo").cast("timestamp")).alias("lo"), F.min("hi").cast("timestamp").alias("hi")
     )
+    kind = feeds[0].schema[ts].dataType
     lo = period_start(F.col("lo"), unit)
     if done is not None:
         lo = F.coalesce(_scalar(done, F.max(done_date)).cast("timestamp") + step(unit), lo)
-    return bounds.select(lo.alias("lo"), period_start(F.col("hi"), unit).alias("hi"))
+    return bounds.select(lo.cast(kind).alias("lo"), period_start(F.col("hi"), unit).cast(kind).alias("hi"))
 
 
 def freshness_gate(
     sources: Sequence[DataFrame], target: DataFrame, ts: str, hours: int = 24, inclusive: bool = False
 ) -> DataFrame:
     """One row (stale): every source is more than (or, inclusive, at least) ``hours`` ahead of the target."""
-    stored = F.unix_micros(high_water(target, ts))
+    stored = F.unix_micros(high_water(target, ts).cast("timestamp"))
     limit = hours * 3600 * 1_000_000
     stale = F.lit(True)
     rows = target.sparkSession.range(1)

@@ -58,8 +58,8 @@ def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str
     """
     t = texts.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
     n = needles.select(F.col(needle).alias("needle")).where(F.col("needle").isNotNull()).distinct()
-    n = n.withColumn("_head", F.col("needle").substr(1, head))
-    heads = n.groupBy("_head").agg(F.collect_set(F.length("needle")).alias("_lens"))
+    cutting = n.where(F.col("needle") != "").withColumn("_head", F.col("needle").substr(1, head))
+    heads = cutting.groupBy("_head").agg(F.collect_set(F.length("needle")).alias("_lens"))
     size = F.length("text")
     # Heads are full-width, except for needles shorter than that: at most ``head`` widths.
     head_widths = heads.agg(F.collect_set(F.length("_head"))).scalar()
@@ -70,9 +70,9 @@ def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str
     cuts = met.select("text", "_pos", F.explode("_lens").alias("_len"))
     cuts = cuts.where(F.col("_pos") + F.col("_len") - 1 <= size)
     cuts = cuts.select("text", F.substring(F.col("text"), F.col("_pos"), F.col("_len")).alias("needle")).distinct()
-    found = spread_join(cuts, n.select("needle"), ["needle"], "left_semi", salts=SALTS)
-    everywhere = t.withColumn("needle", F.lit("")).join(n.select("needle"), ["needle"], "left_semi").select("text", "needle")
-    return found.unionByName(everywhere)
+    found = spread_join(cuts, cutting.select("needle"), ["needle"], "left_semi", salts=SALTS)
+    has_empty = n.agg(F.coalesce(F.max(F.col("needle") == ""), F.lit(False))).scalar()
+    return found.unionByName(t.where(has_empty).select("text", F.lit("").alias("needle")))
 
 
 def substring_join(left: DataFrame, text: str, right: DataFrame, needle: str, head: int = 4) -> DataFrame:

@@ -11,6 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from forecourt.session import materialize
+
+# A group up to this size is sorted within one task.
+HOT_ROWS = 2_000_000
+
 
 def spread_join(
     big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 1, null_safe: bool = True
@@ -63,14 +68,45 @@ def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank
     return ranked.select(*keys, ts, rank, *([size] if size else []))
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys of groups with more than ``hot_rows`` rows, written so that Spark knows the size.
+
+    There are at most ``rows / hot_rows`` of them, mostly none.
+    """
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return materialize(sizes.where(F.col("_rows") > hot_rows).select(*keys), "hot")
+
+
 def with_recency_rank(
-    df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, top: int | None = None, null_safe: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    rank: str = "rank",
+    size: str | None = None,
+    top: int | None = None,
+    null_safe: bool = True,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add rank() by recency (and the group size); ``top`` keeps ranks up to it, ties included.
 
-    ``df`` is read twice: pass a table scan, or write a costly plan first.
+    Groups of at most ``hot_rows`` rows use a window. Larger ones would fill a
+    task and are ranked by counting instead. Counting the groups runs a first
+    job, so ``df`` is read more than once: pass a scan, or write a costly plan first.
     """
-    ranks = recency_ranks(df, keys, ts, rank, size, null_safe)
+    hot = hot_groups(df, keys, hot_rows)
+    if hot.isEmpty():
+        return _ranked_by_window(df, keys, ts, rank, size, top)
+    cold = spread_join(df, hot, keys, "left_anti", null_safe=null_safe)
+    big = spread_join(df, hot, keys, "left_semi", null_safe=null_safe)
+    ranks = recency_ranks(big, keys, ts, rank, size, null_safe)
     if top is not None:
         ranks = ranks.where(F.col(rank) <= top)
-    return spread_join(df, ranks, [*keys, ts], null_safe=null_safe)
+    counted = spread_join(big, ranks, [*keys, ts], null_safe=null_safe)
+    return _ranked_by_window(cold, keys, ts, rank, size, top).unionByName(counted)
+
+
+def _ranked_by_window(df: DataFrame, keys: Sequence[str], ts: str, rank: str, size: str | None, top: int | None) -> DataFrame:
+    group = Window.partitionBy(*keys)
+    out = df.withColumn(size, F.count("*").over(group)) if size else df
+    out = out.withColumn(rank, F.rank().over(group.orderBy(F.col(ts).desc_nulls_first())))
+    return out if top is None else out.where(F.col(rank) <= top)

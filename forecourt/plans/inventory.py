@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators.aggregates import first_last_seen, mean_threshold
-from forecourt.operators.filters import newest, recent
+from forecourt.operators.filters import recent
+from forecourt.operators.incremental import since_newest
 from forecourt.operators.joins import drop_ambiguous, not_seen_before, substring_join
 from forecourt.operators.latest import latest_per_key, rank_longest
 from forecourt.operators.spread import spread_join
@@ -71,7 +72,7 @@ def low_mileage(
     per (pattern, VIN). The counts come from per-pattern totals, so the
     repeated rows are never joined out.
     """
-    window = listings.where(recent("status_date", days, newest(listings, "status_date")))
+    window = since_newest(listings, "status_date", days)
     rows = window.where((F.col("miles") >= min_miles) & (F.col("miles") < max_miles))
     rows = rows.select(F.col("taxonomy_vin").alias("vin_pattern"), "vin", "miles", "status_date")
     kinds = drop_ambiguous(catalog.where(F.col("vin_pattern").isNotNull()), catalog, "vin_pattern", "year")

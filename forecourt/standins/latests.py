@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from forecourt.functions import scalars as S
 from forecourt.operators import filters as X
 from forecourt.operators import latest as W
+from forecourt.operators.incremental import since_newest
 from forecourt.standins.base import LISTINGS_SQL, listings, query
 from forecourt.standins.merges import JOBS_SQL, jobs
 
@@ -144,7 +145,7 @@ def _(t):
 
 @query("filter_recent", "select o_orderkey, o_orderdate from orders where o_orderdate >= (select max(o_orderdate) from orders) - interval 30 days")
 def _(t):
-    return t.orders.where(X.recent("o_orderdate", 30, X.newest(t.orders, "o_orderdate"))).select("o_orderkey", "o_orderdate")
+    return since_newest(t.orders, "o_orderdate", 30).select("o_orderkey", "o_orderdate")
 
 
 @query("filter_catalog", "select p_partkey from part where p_name not like '%(ends %' and p_name not like '%old %' and p_size + 1980 >= 2020 - 20")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forecourt.functions.vehicle import clean_source_domain
-from forecourt.operators.filters import newest
 from forecourt.operators.incremental import freshness_gate
 from forecourt.plans import billing, catalog, health, inventory, leads as L, pricing
 from forecourt.session import materialize
@@ -290,7 +289,7 @@ def _inventory_sql(days, where="true"):
 
 def _inventory(t, days, where):
     rows = listings(t).where(where)
-    return inventory.client_inventory(_clients(t), rows, newest(t.lineitem, "l_shipdate"), days)
+    return inventory.client_inventory(_clients(t), rows, t.lineitem.agg(F.max("l_shipdate")).scalar(), days)
 
 
 _FRESH_SQL = "select master_business_id, vin, status_date from {inv} i where not exists (select 1 from {lst} l where {where} and l.dealer_id = i.dealer_id and l.vin = i.vin and l.status_date < i.status_date - interval 14 days)"
