@@ -12,9 +12,14 @@ from forecourt.operators.spread import spread_join
 SALTS = 16
 
 
-def left_lookup(df: DataFrame, table: DataFrame, on: Column) -> DataFrame:
-    """Left equi join; Spark broadcasts ``table`` when it is under the broadcast threshold."""
-    return df.join(table, on, "left")
+def left_lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, salts: int = SALTS) -> DataFrame:
+    """Left join of ``df.key`` to ``table.table_key``, dropping the latter.
+
+    A hot key, NULL included, may hold much of ``df``: its rows spread over the
+    salts. Spark broadcasts ``table`` while that is under the broadcast threshold.
+    """
+    named = table.withColumnRenamed(table_key, key)
+    return spread_join(df, named, [key], "left", salts=salts, null_safe=False)
 
 
 def join_unique_names(left: DataFrame, right: DataFrame, on: Column, how: str, drop: Sequence[str] = ()) -> DataFrame:

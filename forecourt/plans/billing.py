@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from forecourt.functions.periods import period_start
 from forecourt.operators.aggregates import conditional_sums
 from forecourt.operators.filters import posted_billing
-from forecourt.operators.joins import left_lookup, tagged_totals
+from forecourt.operators.joins import SALTS, left_lookup, tagged_totals
+from forecourt.operators.spread import spread_join
 
 # Discount column -> charge name.
 DISCOUNTS = {
@@ -22,17 +23,16 @@ DISCOUNTS = {
 
 
 def posted_invoices(invoices: DataFrame) -> DataFrame:
-    return invoices.where(posted_billing(None, "status", "reversed")).select(F.col("id").alias("_invoice"))
+    return invoices.where(posted_billing(None, "status", "reversed")).select(F.col("id").alias("invoiceid"))
 
 
 def billings_monthly(items: DataFrame, invoices: DataFrame, subscriptions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Posted, non-zero items with their month and account number."""
     charged = items.where(F.col("chargeamount") != 0)
-    posted = charged.join(posted_invoices(invoices), F.col("invoiceid") == F.col("_invoice"))
-    subs = subscriptions.select(F.col("id").alias("_sub"), F.col("creatoraccountid").alias("_account"))
-    accs = accounts.select(F.col("id").alias("_acc"), "accountnumber")
-    rows = left_lookup(posted, subs, F.col("subscriptionid") == F.col("_sub"))
-    rows = left_lookup(rows, accs, F.col("_account") == F.col("_acc"))
+    posted = spread_join(charged, posted_invoices(invoices), ["invoiceid"], salts=SALTS, null_safe=False)
+    subs = subscriptions.select("id", F.col("id").alias("_sub"), F.col("creatoraccountid").alias("_account"))
+    rows = left_lookup(posted, subs, "subscriptionid", "id")
+    rows = left_lookup(rows, accounts.select("id", "accountnumber"), "_account", "id")
     return rows.select(
         F.col("accountnumber").alias("master_business_id"),
         F.col("_sub").alias("subscriptionid"),
@@ -55,10 +55,10 @@ def saas_revenue_monthly(items: DataFrame, invoices: DataFrame, subscriptions: D
     """
     totals = tagged_totals(items, "appliedtoinvoiceitemid", "chargename", "chargeamount", DISCOUNTS)
     base = items.where(F.col("chargename").isin(*products.values()))
-    base = base.join(posted_invoices(invoices), F.col("invoiceid") == F.col("_invoice"))
-    subs = subscriptions.select(F.col("id").alias("_sub"), F.col("creatoraccountid").alias("accountid"))
-    rows = left_lookup(base, subs, F.col("subscriptionid") == F.col("_sub"))
-    rows = left_lookup(rows, totals, F.col("id") == F.col("_to"))
+    base = spread_join(base, posted_invoices(invoices), ["invoiceid"], salts=SALTS, null_safe=False)
+    subs = subscriptions.select("id", F.col("creatoraccountid").alias("accountid"))
+    rows = left_lookup(base, subs, "subscriptionid", "id")
+    rows = left_lookup(rows, totals, "id", "_to", salts=1)
     copies = {k: F.greatest(F.coalesce(F.col(f"{k}_n"), F.lit(0)), F.lit(1)).cast("decimal(9,0)") for k in DISCOUNTS}
 
     def times(value, skip=None):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from forecourt.operators.aggregates import first_last_seen, mean_threshold
 from forecourt.operators.filters import recent
 from forecourt.operators.incremental import since_newest
-from forecourt.operators.joins import drop_ambiguous, not_seen_before, substring_join
+from forecourt.operators.joins import SALTS, drop_ambiguous, not_seen_before, substring_join
 from forecourt.operators.latest import latest_per_key, rank_longest
 from forecourt.operators.spread import spread_join
 
@@ -45,7 +45,7 @@ def client_inventory(clients: DataFrame, listings: DataFrame, now: Column, days:
     rows = listings.where(recent("status_date", days, now)).select("dealer_id", "vin", "status_date", "price", "miles")
     current = latest_per_key(rows, ["dealer_id", "vin"], "status_date", [F.col("price"), F.col("miles")])
     pairs = clients.select("master_business_id", "dealer_id").distinct()
-    joined = current.join(pairs, ["dealer_id"])
+    joined = spread_join(current, pairs, ["dealer_id"], salts=SALTS, null_safe=False)
     return joined.select("master_business_id", "dealer_id", "vin", "status_date", "price", "miles")
 
 
@@ -83,6 +83,6 @@ def low_mileage(
     one = kinds.groupBy("vin_pattern").agg(F.min(F.struct("year", "make")).alias("_g")).select("vin_pattern", "_g.*")
     one = spread_join(one, sizes.where(F.col("vehicles") >= min_vehicles), ["year", "make"])
     last = latest_per_key(rows, ["vin_pattern", "vin"], "status_date", [F.col("miles")])
-    grouped = last.join(one, ["vin_pattern"]).select("vin_pattern", "vin", "miles", "year", "make")
+    grouped = spread_join(last, one, ["vin_pattern"], salts=SALTS, null_safe=False).select("vin_pattern", "vin", "miles", "year", "make")
     limits = mean_threshold(grouped, ["year", "make"], "miles", "vin_pattern", cut)
     return limits.select("vin_pattern", F.explode(F.array(*[F.lit(r) for r in regions])).alias("region"), "mileage")

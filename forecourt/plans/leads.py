@@ -53,25 +53,23 @@ def lead_content_view(leads: DataFrame, settings: DataFrame) -> DataFrame:
         F.col("_p.device").alias("device"),
         labels_of(lambda f: F.col(f"_p.{f}").try_cast("int"), False).alias("lead_content"),
     )
-    link = settings_view(settings).select(F.col("id").alias("_sid"), "master_business_id")
-    joined = left_lookup(flat, link, F.col("_settings") == F.col("_sid"))
+    joined = left_lookup(flat, settings_view(settings).drop("status"), "_settings", "id")
     return joined.select("id", "master_business_id", "created_at", "device", "lead_content")
 
 
 def lead_details(leads: DataFrame, settings: DataFrame) -> DataFrame:
     """Typed leads with their business and the labels that know the spotlight product."""
-    link = settings.select(F.col("id").alias("_sid"), "master_business_id")
-    joined = left_lookup(leads, link, F.col("integration_settings_id") == F.col("_sid")).drop("_sid")
+    joined = left_lookup(leads, settings.select("id", "master_business_id"), "integration_settings_id", "id")
     return joined.withColumn("lead_content", labels_of(F.col, True))
 
 
 def lead_details_materialized(leads: DataFrame, settings: DataFrame, businesses: DataFrame) -> DataFrame:
     """Typed leads whose business is known, labelled without the spotlight product."""
-    link = settings.select(F.col("id").alias("_sid"), F.col("master_business_id").alias("_bid"))
-    known = businesses.select(F.col("id").alias("master_business_id"))
-    joined = left_lookup(leads, link, F.col("integration_settings_id") == F.col("_sid"))
-    joined = left_lookup(joined, known, F.col("_bid") == F.col("master_business_id"))
-    return joined.drop("_sid", "_bid").withColumn("lead_content", labels_of(F.col, False))
+    link = settings.select("id", F.col("master_business_id").alias("_bid"))
+    known = businesses.select("id", F.col("id").alias("master_business_id"))
+    joined = left_lookup(leads, link, "integration_settings_id", "id")
+    joined = left_lookup(joined, known, "_bid", "id")
+    return joined.drop("_bid").withColumn("lead_content", labels_of(F.col, False))
 
 
 def fresh_lead_content(details: DataFrame, stored: DataFrame, leads: DataFrame, excluded: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from forecourt.functions import scalars as S
 from forecourt.operators.aggregates import fit_errors, linear_fit
 from forecourt.operators.joins import match_tiered
 from forecourt.operators.spread import spread_join, with_group_stats
-from forecourt.plans.catalog import VEHICLE
+from forecourt.plans.catalog import VEHICLE, catalog_clean, training_set
 from forecourt.session import materialize
 
 # Bounds of an accepted model.
@@ -82,6 +82,12 @@ def _verdict() -> Column:
     return verdict
 
 
+def training_rows(listings: DataFrame, catalog_rows: DataFrame) -> DataFrame:
+    """The training set of the models: the newest listings of each vehicle, ties included, written once."""
+    rows = training_set(listings, catalog_clean(catalog_rows), MAX_VEHICLES)
+    return materialize(rows.select("vin", *VEHICLE, "body_type", "msrp", "mileage", "price"), "training")
+
+
 def group_fits(training: DataFrame) -> DataFrame:
     """One row per vehicle: row count, mean msrp, body type, fit without outliers, verdict."""
     marked = _marked(training)

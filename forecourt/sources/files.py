@@ -16,6 +16,8 @@ from forecourt.functions import scalars as S
 from forecourt.functions.payload import pack_payload
 from forecourt.functions.vehicle import clean_source_domain
 from forecourt.operators import filters
+from forecourt.operators.joins import SALTS, left_lookup
+from forecourt.operators.spread import spread_join
 
 # The typed listing columns and the file columns they come from.
 LISTING_COLUMNS = (
@@ -255,9 +257,9 @@ def parse_sectioned_report(lines: DataFrame) -> DataFrame:
         F.max(F.when(F.col("_no") == HEADER_LINE, F.col("line"))).alias("_names"),
         F.max(F.when(F.col("_no") == HEADER_LINE, F.col("at"))).alias("_start"),
     )
-    body = lines.join(head, "file").where(F.col("at") > F.col("_start"))
+    body = spread_join(lines, head, ["file"], salts=SALTS, null_safe=False).where(F.col("at") > F.col("_start"))
     ends = body.where(F.col("line") == "").groupBy("file").agg(F.min("at").alias("_end"))
-    data = body.join(ends, "file", "left").where(F.col("_end").isNull() | (F.col("at") < F.col("_end")))
+    data = left_lookup(body.withColumn("_file", F.col("file")), ends, "_file", "file").where(F.col("_end").isNull() | (F.col("at") < F.col("_end")))
     values = F.split("line", ",", -1)
     names = F.split("_names", ",", -1)
     first = F.split(values[0], " ")

@@ -16,8 +16,8 @@ from forecourt.standins.base import LEADS_SQL, labelled, query
     "select o_orderkey, c_name, n_name from orders left join customer on c_custkey = o_custkey and c_acctbal > 0 left join nation on n_nationkey = c_nationkey",
 )
 def _(t):
-    rows = J.left_lookup(t.orders, t.customer.where("c_acctbal > 0"), F.col("c_custkey") == F.col("o_custkey"))
-    return J.left_lookup(rows, t.nation, F.col("n_nationkey") == F.col("c_nationkey")).select("o_orderkey", "c_name", "n_name")
+    rows = J.left_lookup(t.orders, t.customer.where("c_acctbal > 0"), "o_custkey", "c_custkey")
+    return J.left_lookup(rows, t.nation, "c_nationkey", "n_nationkey").select("o_orderkey", "c_name", "n_name")
 
 
 @query("join_inner_equi", "select l_orderkey, l_linenumber, l_partkey, p_brand, p_retailprice from lineitem join part on p_partkey = l_partkey")

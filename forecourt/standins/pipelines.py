@@ -461,7 +461,11 @@ def _training(t):
 
 
 _G = "year, make, model, trim, style"
-_FLAGS_SQL = f"(select *, coalesce(price > avg(price) over (partition by {_G}) * 3, false) as price_outlier, coalesce(msrp > 0 and price > msrp * 1.5, false) as msrp_outlier from {_ROWS_SQL} r)"
+def _flags_sql(rows):
+    return f"(select *, coalesce(price > avg(price) over (partition by {_G}) * 3, false) as price_outlier, coalesce(msrp > 0 and price > msrp * 1.5, false) as msrp_outlier from {rows} r)"
+
+
+_FLAGS_SQL = _flags_sql(_ROWS_SQL)
 
 
 @query("price_outliers", f"select vin, price, price_outlier, msrp_outlier, coalesce(price / mileage > mean_ratio * 2, false) as ratio_outlier from (select *, avg(price / mileage) over (partition by {_G}) as mean_ratio from {_FLAGS_SQL} f) x")
@@ -469,19 +473,23 @@ def _(t):
     return pricing.price_outliers(_training(t), ratio=2.0).select("vin", "price", "price_outlier", "msrp_outlier", "ratio_outlier")
 
 
-_FIT_SQL = f"""(with f as {_FLAGS_SQL}, w as (select {_G}, count(*) as rows, avg(msrp) as msrp, min(body_type) as body_type from f group by all),
+def _fit_sql(rows):
+    return f"""(with f as {_flags_sql(rows)}, w as (select {_G}, count(*) as rows, avg(msrp) as msrp, min(body_type) as body_type from f group by all),
     k as (select {_G}, count(*) as size, coalesce(regr_slope(price, mileage), 0) as slope, coalesce(regr_intercept(price, mileage), avg(price)) as intercept, regr_r2(price, mileage) as r2 from f where not (price_outlier or msrp_outlier) group by all)
   select w.*, k.size, k.slope, k.intercept, k.r2,
     case when rows < 15 or coalesce(size, 0) < 15 then 1 when not (slope < 0) then 4 when intercept < 0 then 4 when -100000 * slope / intercept < 0.125 then 6 when -100000 * slope / intercept > 0.75 then 5 else 3 end as verdict
   from w left join k using ({_G}))"""
 
 
+_FIT_SQL = _fit_sql(_ROWS_SQL)
+
+
 @query("training_status", f"select vin, price, case when (price_outlier or msrp_outlier) and rows >= 15 then 2 else verdict end as status from {_FLAGS_SQL} f join {_FIT_SQL} g using ({_G})")
 def _(t):
     return pricing.training_status(_training(t)).select("vin", "price", "status")
 
 
-def _models_sql():
+def _models_sql(rows=_ROWS_SQL):
     def tier(n, on, measured=True):
         test = "o.msrp between w.msrp - w.msrp * 0.05 and w.msrp + w.msrp * 0.05" if measured else "w.msrp is null"
         key = "w.year as wy, w.make as wmk, w.model as wmd, w.trim as wt, w.style as ws"
@@ -495,23 +503,61 @@ def _models_sql():
         tier(5, same("year", "body_type")),
         tier(4, same("year", "make", "model", "trim"), False),
     ]
-    return f"""(with fit as {_FIT_SQL}, o as (select * from fit where verdict = 3), w as (select * from fit where verdict <> 3),
-      e as (select {_G}, avg(abs(price - (intercept + slope * mileage))) as mae, min(price) as lo, max(price) as hi from {_FLAGS_SQL} f join o using ({_G}) where not (price_outlier or msrp_outlier) group by all),
+    return f"""(with fit as {_fit_sql(rows)}, o as (select * from fit where verdict = 3), w as (select * from fit where verdict <> 3),
+      e as (select {_G}, avg(abs(price - (intercept + slope * mileage))) as mae, min(price) as lo, max(price) as hi from {_flags_sql(rows)} f join o using ({_G}) where not (price_outlier or msrp_outlier) group by all),
       c as ({' union all '.join(tiers)}), r as (select *, row_number() over (partition by wy, wmk, wmd, wt, ws order by tier, diff, year, make, model, trim, style) as rn from c)
       select {_G}, 0 as tier, null as match_make, null as match_year, slope, intercept, size, body_type, mae, lo, hi from o join e using ({_G})
       union all select wy, wmk, wmd, wt, ws, tier, make, year, slope, intercept, size, body_type, mae, lo, hi from r join e using ({_G}) where rn = 1)"""
 
 
-@query(
-    "price_models",
-    f"""select {_G}, tier, match_make, match_year::integer as match_year, round(slope, 6) as coefficient, round(intercept, 2) as intercept, size, body_type, round(mae, 3) as mean_absolute_error, lo as minimum_list_price, hi as maximum_list_price from {_models_sql()} m""",
-)
+def _model_columns(rows):
+    return f"""select {_G}, tier, match_make, match_year::integer as match_year, round(slope, 6) as coefficient, round(intercept, 2) as intercept, size, body_type,
+      round(mae, 3) as mean_absolute_error, lo as minimum_list_price, hi as maximum_list_price from {_models_sql(rows)} m"""
+
+
+def _rounded_models(training):
+    out = pricing.price_models(training)
+    rounded = {"coefficient": 6, "intercept": 2, "mean_absolute_error": 3}
+    plain = [*catalog.VEHICLE, "tier", "match_make", "match_year", "size", "body_type", "minimum_list_price", "maximum_list_price"]
+    return out.select(*plain, *[F.round(c, n).alias(c) for c, n in rounded.items()])
+
+
+@query("price_models", _model_columns(_ROWS_SQL))
 def _(t):
-    out = pricing.price_models(materialize(_training(t), "training"))
-    return out.select(
-        *catalog.VEHICLE, "tier", "match_make", "match_year", F.round("coefficient", 6).alias("coefficient"), F.round("intercept", 2).alias("intercept"), "size", "body_type",
-        F.round("mean_absolute_error", 3).alias("mean_absolute_error"), "minimum_list_price", "maximum_list_price",
-    )
+    return _rounded_models(materialize(_training(t), "training"))
+
+
+# Parts of a brand and type as one catalog vehicle, matched to the line items by
+# part; only the newest hundred listings of a vehicle, ties included, train it.
+_TRAIN_CATALOG = {
+    "vin_pattern": "p_partkey",
+    "market": "'CA'",
+    "year": "cast(floor(p_size / 25) as integer)",
+    "make": "p_brand",
+    "model": "p_type",
+    "trim": "'base'",
+    "style": "p_type",
+    "body_type": "p_type",
+    "msrp": "case when p_size > 5 then p_retailprice * 20 end",
+}
+_TRAIN_LISTING = {
+    "vin": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice)",
+    "taxonomy_vin": "l_partkey",
+    "trim_orig": "l_returnflag",
+    "miles": "l_quantity * 1000",
+    "price": "30000 - l_quantity * 100 + l_discount * 10000",
+    "status_date": "l_shipdate",
+}
+_NEWEST_SQL = f"""(select * from (select l.*, p_partkey, c.year, c.make, c.model, c.trim, c.style, c.body_type, c.msrp, l.miles as mileage,
+    rank() over (partition by c.year, c.make, c.model, c.trim, c.style order by status_date desc) as rank
+  from (select {', '.join(f'{e} as {n}' for n, e in _TRAIN_LISTING.items())} from lineitem) l join (select p_partkey, {', '.join(f'{e} as {n}' for n, e in _TRAIN_CATALOG.items())} from part) c on c.vin_pattern = l.taxonomy_vin) x where rank <= 100)"""
+
+
+@query("price_models_trained", _model_columns(_NEWEST_SQL))
+def _(t):
+    listed = t.lineitem.selectExpr(*[f"{e} as {n}" for n, e in _TRAIN_LISTING.items()])
+    rows = t.part.selectExpr(*[f"{e} as {n}" for n, e in _TRAIN_CATALOG.items()])
+    return _rounded_models(pricing.training_rows(listed, rows))
 
 
 def _published(t):

@@ -93,11 +93,13 @@ def upsert_stream(stream: DataFrame, table: str, keys: Sequence[str], ts: str, c
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        one = dedupe_newest(batch, keys, ts, ties)
         spark = batch.sparkSession
+        one = dedupe_newest(batch, keys, ts, ties).persist()
         if spark.catalog.tableExists(table):
-            one = upsert_replace(spark.table(table), one, keys)
-        replace_table(one, table)
+            replace_table(upsert_replace(spark.table(table), one, keys), table)
+        else:
+            replace_table(one, table)
+        one.unpersist()
 
     return _each_batch(stream, apply, checkpoint, "append")
 
@@ -113,11 +115,13 @@ def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], path: str, chec
     counts = counts.withColumn("date", F.to_date("date"))
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        if _has_rows(spark, path):
+        # The batch is read for its days and for its rows; keep it, or its state is read twice.
+        batch.persist()
+        if _has_rows(batch.sparkSession, path):
             upsert_partitions(batch, path, [*keys, "date"], "date")
         else:
             batch.write.mode("overwrite").partitionBy("date").parquet(path)
+        batch.unpersist()
 
     return _each_batch(counts, apply, checkpoint, "update")
 
