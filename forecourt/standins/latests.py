@@ -54,9 +54,9 @@ def _(t):
     return W.count_over_group(_rows(t), ["l_suppkey"], "vehicles")
 
 
-@query("avg_over_group", "select p_partkey, round(avg(p_retailprice) over (partition by p_brand, p_type), 4) as mean from part")
+@query("avg_over_group", "select p_partkey, round(avg(p_retailprice) over (partition by p_brand, p_type), 8) as mean from part")
 def _(t):
-    return W.avg_over_group(t.part, ["p_brand", "p_type"], "p_retailprice", "mean").select("p_partkey", F.round("mean", 4).alias("mean"))
+    return W.avg_over_group(t.part, ["p_brand", "p_type"], "p_retailprice", "mean").select("p_partkey", F.round("mean", 8).alias("mean"))
 
 
 @query("rank_recency_topn", f"select * from (select {_ROW}, rank() over (partition by l_suppkey order by l_shipdate desc)::integer as rank from lineitem) x where rank <= 100")
