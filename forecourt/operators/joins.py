@@ -7,9 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.operators.spread import spread_join
-
-SALTS = 16
+from forecourt.operators.spread import SALTS, spread_join
 
 
 def left_lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, salts: int = SALTS) -> DataFrame:

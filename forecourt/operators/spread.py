@@ -15,6 +15,8 @@ from forecourt.session import materialize
 
 # A group up to this size is sorted within one task.
 HOT_ROWS = 2_000_000
+# Join partitions a hot key is spread over.
+SALTS = 16
 
 
 def spread_join(
@@ -96,8 +98,8 @@ def with_recency_rank(
     hot = hot_groups(df, keys, hot_rows)
     if hot.isEmpty():
         return _ranked_by_window(df, keys, ts, rank, size, top)
-    cold = spread_join(df, hot, keys, "left_anti", null_safe=null_safe)
-    big = spread_join(df, hot, keys, "left_semi", null_safe=null_safe)
+    cold = spread_join(df, hot, keys, "left_anti", salts=SALTS, null_safe=null_safe)
+    big = spread_join(df, hot, keys, "left_semi", salts=SALTS, null_safe=null_safe)
     ranks = recency_ranks(big, keys, ts, rank, size, null_safe)
     if top is not None:
         ranks = ranks.where(F.col(rank) <= top)
