@@ -361,10 +361,10 @@ def _catalog(t):
     return t.part.selectExpr(*[f"{e.replace('{int}', 'bigint')} as {n}" for n, e in _CAT.items()])
 
 
-_CLEAN_SQL = f"""(with dataone as (select {_cat('bigint')} from part)
+_CLEAN_SQL = f"""(with whole as (select {_cat('bigint')} from part)
   select a.vin_pattern, a.year, a.make, a.model, a.trim, a.style, a.body_type, a.msrp, avg(a.msrp) over (partition by a.vin_pattern, a.market) as vin_pattern_market_avg,
-    (select count(distinct trim) from dataone b where b.vin_pattern = a.vin_pattern) as vin_pattern_trims
-  from dataone a where (select count(distinct body_type) from dataone b where b.year = a.year and b.make = a.make and b.model = a.model and b.trim = a.trim and b.style = a.style) = 1
+    (select count(distinct trim) from whole b where b.vin_pattern = a.vin_pattern) as vin_pattern_trims
+  from whole a where (select count(distinct body_type) from whole b where b.year = a.year and b.make = a.make and b.model = a.model and b.trim = a.trim and b.style = a.style) = 1
     or a.style like '%' || a.body_type || '%' or a.style like '%Mini-Van%' and a.body_type = 'Wagon')"""
 
 
@@ -390,9 +390,9 @@ _ONE_SQL = """(select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_supp
   case l_returnflag when 'R' then 'ring' when 'A' then 'BOLT' end as trim_orig, l_quantity * 1000 as miles, l_extendedprice as price, l_shipdate as status_date from lineitem)"""
 _TRAIN_SQL = f"""(select vin, year, make, model, trim, style, body_type, msrp, mileage, price,
     count(*) over (partition by year, make, model, trim, style) as vehicles, rank() over (partition by year, make, model, trim, style order by status_date desc)::integer as rank
-  from (select distinct cdc.vin, v.year, v.make, v.model, v.trim, v.style, v.body_type, round(v.vin_pattern_market_avg, 4) as msrp, cdc.miles as mileage, cdc.price, cdc.status_date
-    from {_ONE_SQL} cdc join {_CLEAN_SQL} v on cdc.taxonomy_vin = v.vin_pattern
-    where v.vin_pattern_trims = 1 or (v.vin_pattern_market_avg > 0 and abs(v.msrp - v.vin_pattern_market_avg) / v.vin_pattern_market_avg < 0.05) or contains(lower(v.trim), lower(cdc.trim_orig))) x)"""
+  from (select distinct car.vin, v.year, v.make, v.model, v.trim, v.style, v.body_type, round(v.vin_pattern_market_avg, 4) as msrp, car.miles as mileage, car.price, car.status_date
+    from {_ONE_SQL} car join {_CLEAN_SQL} v on car.taxonomy_vin = v.vin_pattern
+    where v.vin_pattern_trims = 1 or (v.vin_pattern_market_avg > 0 and abs(v.msrp - v.vin_pattern_market_avg) / v.vin_pattern_market_avg < 0.05) or contains(lower(v.trim), lower(car.trim_orig))) x)"""
 
 
 @query("training_set", f"select * from {_TRAIN_SQL} s")
