@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,17 @@ def spare(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def together(texts: pa.Array, limit: int) -> Iterator[tuple[int, list[str | None]]]:
+    """(first row, texts) of runs of rows up to ``limit`` characters, one row at least."""
+    held, size, first = [], 0, 0
+    for k, text in enumerate(texts):
+        text = text.as_py()
+        if held and size + len(text or "") > limit:
+            yield first, held
+            held, size, first = [], 0, k
+        held.append(text)
+        size += len(text or "")
+    if held:
+        yield first, held

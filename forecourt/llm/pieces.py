@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import query, table
+from forecourt.llm.common import query, table, together
 
 SPACE = "▁"
 TOGETHER = 2_000_000
@@ -240,20 +240,6 @@ def decode(ids: np.ndarray, counts: np.ndarray, model: Model) -> list[str]:
     return out
 
 
-def _together(texts: pa.Array, limit: int = TOGETHER) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) of runs of rows up to ``limit`` characters."""
-    held, size, first = [], 0, 0
-    for k, text in enumerate(texts):
-        text = text.as_py()
-        if held and size + len(text or "") > limit:
-            yield first, held
-            held, size, first = [], 0, k
-        held.append(text)
-        size += len(text or "")
-    if held:
-        yield first, held
-
-
 def default_model() -> str:
     import public_tokenizers
 
@@ -273,7 +259,7 @@ def encoded(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
         m = model.value
         cut = re.compile(m.words, re.DOTALL)
         for batch in batches:
-            for first, texts in _together(batch.column(1)):
+            for first, texts in together(batch.column(1), TOGETHER):
                 ids, counts = encode(texts, m, cut)
                 ends = np.cumsum(counts)
                 doc = batch.column(0).slice(first, len(texts))

@@ -1,4 +1,4 @@
 """The registered queries of this package, one per operator."""
 
-from forecourt.llm import decontaminate, hamming, licenses, simhash, urls, warc  # noqa: F401
+from forecourt.llm import decontaminate, hamming, html, licenses, pieces, quality, simhash, urls, warc  # noqa: F401
 from forecourt.llm.common import ORACLE, QUERIES  # noqa: F401
