@@ -1,20 +1,63 @@
-"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, token ids."""
+"""The corpus pipeline: quality, near duplicates, repeated passages, benchmark passages, token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; `run` writes every stage's rows
+as Parquet to the shared folder and reads them again. All stages but the last return the columns of ``documents``.
+A text that is changed gets its new ``n_chars``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from forecourt.llm.common import ready, table
 from forecourt.llm.decontaminate import decontaminate
+from forecourt.llm.pieces import default_model, encoded
+from forecourt.llm.quality import only_good
+from forecourt.llm.simhash import one_of_each
+from forecourt.llm.suffixes import deduplicate
 from forecourt.session import fresh_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return only_good(docs, table(ready(spark), sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays."""
+    ready(spark)
+    return one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that a document with a smaller doc_id has too are cut out; a text that is all repeats goes."""
+    ready(spark)
+    left = deduplicate(docs)
+    n_bytes, n_removed = (F.col(c) for c in left.columns[-4:-2])
+    left = left.where((n_removed == 0) | (n_removed < n_bytes))
+    n_chars = F.when(n_removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    return left.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out; documents made of them go."""
-    return decontaminate(docs, table(ready(spark), sf_dir, "benchmark"))
+    return decontaminate(docs, table(ready(spark), sf_dir, "benchmark"), length="n_chars")
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Per document its number of pieces, the digest of their ids, and whether they decode to the text."""
+    ready(spark)
+    return encoded(docs, default_model(), digest=True)
 
 
-STAGES = [("decontamination", decontaminated)]
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontaminated),
+    ("token_ids", token_ids),
+]
 
 # Fingerprints, trained weights and byte-wise repeats have no SQL form; the stages are tested against brute force.
 ORACLE_SQL = None

@@ -113,10 +113,11 @@ def without_spans(text: Column, spans: Column) -> Column:
     return F.concat(lead, F.array_join(kept, ""))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_share: float = 0.5) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_share: float = 0.5, length: str | None = None) -> DataFrame:
     """``docs`` without their hit words; a document goes if more than ``max_share`` of its words are hit.
 
-    Clean rows come back as they were, repeated ones included.
+    Clean rows come back as they were, repeated ones included. A changed text's length goes into the column
+    ``length``, if one is named.
     """
     spans, n, key = spare(docs, "dc_spans", "dc_n", "dc_hash")
     found = verdicts(docs, benchmark, size).where(F.size("spans") > 0)
@@ -125,7 +126,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, max_s
     on = keyed["doc_id"].eqNullSafe(found["dc_id"]) & (keyed[key + "_own"] == found[key])
     met = keyed.join(found, on, "left").where(F.col(spans).isNull() | (n_hit(F.col(spans)) <= F.col(n) * max_share))
     clean = F.when(F.col(spans).isNull(), F.col("text")).otherwise(without_spans(F.col("text"), F.col(spans)))
-    return met.withColumn("text", clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    met = met.withColumn("text", clean)
+    if length:
+        met = met.withColumn(length, F.when(F.col(spans).isNull(), F.col(length)).otherwise(F.length("text").cast(docs.schema[length].dataType)))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 # The same statement in SQL: windows as text, found by equality at every word position.
