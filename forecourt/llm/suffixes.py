@@ -47,12 +47,12 @@ HEAD = 16
 PLACES = SPAN - HEAD + 1
 #: The longest run: its strings begin at PLACES neighbouring bytes.
 WIDE = SPAN + PLACES - 1
-BLOCK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+BUCKET_BYTES = 4 << 20
 HOT = 2048
 BATCH = 1 << 16
 #: Strings whose anchors are looked for at a time.
-SLICE = 1 << 20
+SLICE = 1 << 17
 
 _NONE = np.iinfo(np.int64).max
 
@@ -89,7 +89,7 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     for low in range(0, max(0, len(data) - SPAN + 1), SLICE):
         part = data[low : low + SLICE + SPAN - 1]
         h = head_hashes(part)
-        place = np.uint64((1 << 24) - 1)
+        place = np.uint64((1 << 24) - 1)  # room for a place in the slice
         least = (h & ~place) | np.arange(len(h), dtype=np.uint64)
         size = 1
         while size * 2 <= PLACES:
@@ -102,7 +102,9 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
             continue
         anchor = (least[at] & place).astype(np.int64)
         new = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (at[1:] != at[:-1] + 1))))
-        out.append((h[anchor[new]], anchor[new] + low, at[new] + low, np.diff(np.concatenate((new, [len(at)])))))
+        with np.errstate(over="ignore"):  # the least of many hashes are small ones; mixed again, they spread over the buckets
+            head = _mixed(h[anchor[new]] * np.uint64(0x9E3779B97F4A7C15))
+        out.append((head, anchor[new] + low, at[new] + low, np.diff(np.concatenate((new, [len(at)])))))
     if not out:
         return np.empty(0, np.uint64), *(np.empty(0, np.int64) for _ in range(3))
     return tuple(np.concatenate(x) for x in zip(*out))
@@ -210,11 +212,12 @@ def _answered_heads(sent: pa.Table) -> pa.Table:
 
 def run_keys(data: np.ndarray, first: np.ndarray, count: np.ndarray, place: np.ndarray) -> np.ndarray:
     """The runs' bytes, then the anchor's place and the number of strings, as fixed byte strings."""
-    width = np.arange(WIDE)
-    at = first[:, None] + width
+    width = np.arange(WIDE, dtype=np.int32)
     key = np.zeros((len(first), WIDE + 2), np.uint8)
-    inside = width < (count + SPAN - 1)[:, None]
-    key[:, :WIDE][inside] = data[at[inside]]
+    for low in range(0, len(first), 1 << 12):
+        s = slice(low, low + (1 << 12))
+        inside = width < (count[s] + SPAN - 1)[:, None]
+        key[s, :WIDE][inside] = data[(first[s].astype(np.int32)[:, None] + width)[inside]]
     key[:, WIDE] = place
     key[:, WIDE + 1] = count
     return key.view(f"S{WIDE + 2}")[:, 0]
@@ -279,8 +282,8 @@ def _sent_runs(block: Block, answers: pa.Table, buckets: int) -> pa.Table:
             body = _pack(bytes_[:, :WIDE][inside], bytes_[:, WIDE], bytes_[:, WIDE + 1], block.doc[row[x]], row[x].astype(np.int32), local(first[x], row[x]))
             out.append((b, "r", block.block, body))
     hot = np.flatnonzero(answer == 2)
-    for at in range(0, len(hot), BATCH // 8):
-        x = hot[at : at + BATCH // 8]
+    for at in range(0, len(hot), BATCH // 16):
+        x = hot[at : at + BATCH // 16]
         n = count[x]
         begin = np.repeat(first[x] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         keys = np.lib.stride_tricks.sliding_window_view(block.data, SPAN)[begin].view(f"S{SPAN}")[:, 0]
@@ -382,8 +385,8 @@ def _judged_runs(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndar
         return np.flatnonzero(whole), of, offset
     place = rows[of, WIDE].astype(np.int64) - offset
     strings = np.empty((len(of), SPAN + 1), np.uint8)
-    for low in range(0, len(of), BATCH):
-        s = slice(low, low + BATCH)
+    for low in range(0, len(of), 1 << 12):
+        s = slice(low, low + (1 << 12))
         strings[s, :SPAN] = rows[of[s, None], offset[s, None] + np.arange(SPAN)]
     strings[:, SPAN] = place + 1
     hit = known_before(strings.view(f"S{SPAN + 1}")[:, 0], doc[of], 1 << 18)
