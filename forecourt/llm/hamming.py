@@ -60,7 +60,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BITS) - 1)), lambda x: F.bit_count(x) == radius)
         probe = open_.select(*names, F.posexplode(F.array(*names)).alias("segment", "own"))
         probe = probe.select(*names, "segment", F.explode(F.transform(masks, lambda x: x.bitwiseXOR(F.col("own")))).alias("value"))
-        met = probe.alias("q").join(posted.alias("c"), (F.col("q.segment") == F.col("c.segment")) & (F.col("q.value") == F.col("c.value")))
+        # Spark takes the probes for as few as the queries and would broadcast them; they are shuffled instead.
+        met = probe.hint("merge").alias("q").join(posted.alias("c"), (F.col("q.segment") == F.col("c.segment")) & (F.col("q.value") == F.col("c.value")))
         nearest = F.least(*[_differ(i) for i in range(segments)]) if segments > 1 else _differ(0)
         first = reduce(lambda rest, i: F.when(_differ(i) == radius, i).otherwise(rest), reversed(range(segments)), F.lit(-1))
         far = reduce(lambda a, b: a + b, [_differ(i) for i in range(segments)])
