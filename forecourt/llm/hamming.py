@@ -5,7 +5,8 @@ bits, and every distinct code is indexed once per segment by the segment's value
 each open query and segment, all values that differ in exactly r bits, and verifies the full distance of what it
 finds. After the round every code within ``segments * (r + 1) - 1`` bits has been verified (a code farther than r in
 every segment is at least ``segments * (r + 1)`` away), so a query is closed once its k-th verified distance is no
-larger; radius ``BITS`` covers everything. Nothing is sampled or capped.
+larger; radius ``BITS`` covers everything. A candidate farther than the k-th distance so far is not passed on: it
+could not enter the result. Nothing is sampled or capped.
 
 Equal codes are one entry with its k smallest ids, for no result can hold more of them; equal queries are one query.
 Results are ordered by (distance, id). A candidate that several segments or rounds reach is kept by the first only.
@@ -52,28 +53,31 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     ranked = codes(vectors.select("vec_id", "embedding"), widest).distinct().withColumn("n", F.row_number().over(Window.partitionBy(*names).orderBy("id"))).where(F.col("n") <= k)
     index = materialize(ranked.groupBy(*names).agg(F.array_sort(F.collect_list("id")).alias("ids")), "code-index")
     asked = materialize(codes(queries.select("vec_id", "embedding"), widest).distinct(), "code-queries")
-    open_ = asked.select(*names).distinct()
+    open_ = asked.select(*names).distinct().withColumn("bound", F.lit(None).cast("int"))
     posted = index.select(*names, F.col("ids")[0].alias("least"), F.posexplode(F.array(*names)).alias("segment", "value"))
     by_query = Window.partitionBy(*names)
     best = None
     for radius in range(BITS + 1):
         masks = F.filter(F.sequence(F.lit(0), F.lit((1 << BITS) - 1)), lambda x: F.bit_count(x) == radius)
-        probe = open_.select(*names, F.posexplode(F.array(*names)).alias("segment", "own"))
-        probe = probe.select(*names, "segment", F.explode(F.transform(masks, lambda x: x.bitwiseXOR(F.col("own")))).alias("value"))
+        spread = open_.repartition(vectors.sparkSession.sparkContext.defaultParallelism)
+        probe = spread.select(*names, "bound", F.posexplode(F.array(*names)).alias("segment", "own"))
+        probe = probe.select(*names, "bound", "segment", F.explode(F.transform(masks, lambda x: x.bitwiseXOR(F.col("own")))).alias("value"))
         # Spark takes the probes for as few as the queries and would broadcast them; they are shuffled instead.
         met = probe.hint("merge").alias("q").join(posted.alias("c"), (F.col("q.segment") == F.col("c.segment")) & (F.col("q.value") == F.col("c.value")))
         nearest = F.least(*[_differ(i) for i in range(segments)]) if segments > 1 else _differ(0)
         first = reduce(lambda rest, i: F.when(_differ(i) == radius, i).otherwise(rest), reversed(range(segments)), F.lit(-1))
         far = reduce(lambda a, b: a + b, [_differ(i) for i in range(segments)])
-        new = met.where((nearest == radius) & (first == F.col("q.segment")))
+        new = met.where((nearest == radius) & (first == F.col("q.segment")) & (F.col("q.bound").isNull() | (far <= F.col("q.bound"))))
         new = new.select(*[F.col(f"q.{n}").alias(n) for n in names], *[F.col(f"c.{n}").alias(f"c_{n}") for n in names], far.alias("distance"), F.col("c.least").alias("least"))
         if best is not None:
             new = new.unionByName(best)
         place = F.row_number().over(by_query.orderBy("distance", "least"))
         best = materialize(new.withColumn("place", place).where(F.col("place") <= k).drop("place"), "code-best")
         found = _entries(best, index, names)
-        closed = found.withColumn("place", F.row_number().over(by_query.orderBy("distance", "id"))).where((F.col("place") == k) & (F.col("distance") < segments * (radius + 1)))
-        open_ = materialize(asked.select(*names).distinct().join(closed, names, "left_anti"), "code-open")
+        ranks = found.withColumn("place", F.row_number().over(by_query.orderBy("distance", "id")))
+        bounds = ranks.where(F.col("place") == k).select(*names, F.col("distance").alias("bound"))
+        left = asked.select(*names).distinct().join(bounds, names, "left")
+        open_ = materialize(left.where(F.col("bound").isNull() | (F.col("bound") >= segments * (radius + 1))), "code-open")
         if open_.isEmpty():
             break
     result = asked.withColumnRenamed("id", "query_id").join(_entries(best, index, names), names)
