@@ -55,6 +55,17 @@ RULES: dict[str, Callable[[Column], Column]] = {
     "unescape_json": lambda c: _json(F.replace(c, F.lit('"\\'), F.lit(""))),
 }
 
+# Rule name -> whether a value that fits would lose digits. ``numeric`` holds nine decimals.
+LOSES: dict[str, Callable[[Column], Column]] = {
+    "numeric": lambda c: F.coalesce(c.try_cast("decimal(38,9)") != c.try_cast("decimal(38,20)"), F.lit(False)) | c.rlike(r"\.\d{9}\d*[1-9]"),
+}
+
+
+def _misfit(rule: str, raw: Column, value: Column) -> Column:
+    """A non-empty value that does not fit its rule, or not all of it."""
+    bad = raw.isNotNull() & value.isNull()
+    return bad | F.coalesce(LOSES[rule](raw), F.lit(False)) if rule in LOSES else bad
+
 
 @dataclass(frozen=True)
 class Field:
@@ -114,8 +125,10 @@ def typed_view(
 ) -> DataFrame:
     """Typed columns of a landing table. A value that does not fit its rule is NULL.
 
+    A ``numeric`` of more than nine decimals is rounded; ``count_rejects`` counts it.
+
     ``remaps`` replaces constant values of an output column. ``strict`` fails
-    on the first value that does not fit.
+    on the first value that does not fit or loses digits.
     """
     remaps = remaps or {}
     parsed = df.select(*spec.envelope, parse_payload(F.col(payload), [f.key for f in spec.fields]).alias("_p"))
@@ -125,7 +138,7 @@ def typed_view(
         value = RULES[f.rule](raw)
         if strict:
             message = F.concat(F.lit(f"{f.key} is not {f.rule}: "), raw)
-            value = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+            value = F.when(_misfit(f.rule, raw, value), F.raise_error(message)).otherwise(value)
         if f.out in remaps:
             value = remap(value, remaps[f.out])
         columns.append(value.alias(f.out))
@@ -133,12 +146,12 @@ def typed_view(
 
 
 def count_rejects(df: DataFrame, spec: ViewSpec, payload: str = "payload") -> DataFrame:
-    """Per field: how many non-empty values did not fit their rule. One pass, one row per field."""
+    """Per field: how many non-empty values did not fit their rule or lost digits. One pass, one row per field."""
     parsed = df.select(parse_payload(F.col(payload), [f.key for f in spec.fields]).alias("_p"))
     bad = []
     for f in spec.fields:
         raw = field_text(F.col("_p"), f.key)
-        bad.append(F.count_if(raw.isNotNull() & RULES[f.rule](raw).isNull()).alias(f.out))
+        bad.append(F.count_if(_misfit(f.rule, raw, RULES[f.rule](raw))).alias(f.out))
     counts = parsed.agg(*bad)
     pairs = F.array(*[F.struct(F.lit(f.out).alias("field"), F.col(f"`{f.out}`").alias("rejects")) for f in spec.fields])
     return counts.select(F.inline(pairs))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.session import OWN_SCRATCH
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -22,7 +24,7 @@ def ready(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
-        spark.conf.set("spark.checkpoint.dir", os.path.join(tempfile.gettempdir(), "forecourt-scratch"))
+        spark.conf.set(OWN_SCRATCH, os.path.join(tempfile.gettempdir(), "forecourt-scratch"))
     return spark
 
 

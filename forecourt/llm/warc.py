@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import query, table
-from forecourt.session import fresh_path
+from forecourt.session import fresh_path, materialize
 
 ARC_END = "\n"
 WARC_END = "\r\n\r\n"
@@ -210,7 +210,9 @@ def judged(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def warc_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """WARC records as text for ``pages`` (of `read_arc`)."""
     keyed = pages.withColumns({"sha1": F.sha1("payload"), "sha256": F.sha2("payload", 256), "bytes": F.octet_length("payload")})
-    met = keyed.join(judged(pages, min_bytes), ["sha1", "sha256", "bytes"], "left")
+    # Written first, so that Spark knows its size: while few payloads repeat, the pages need no shuffle.
+    repeats = materialize(judged(pages, min_bytes), "warc-repeats")
+    met = keyed.join(repeats, ["sha1", "sha256", "bytes"], "left")
     refers = F.when(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.col("first"))
     rows = met.select("page_id", "url", "arrived", "head", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers_to"), "sha1", F.col("bytes").cast("long"))
 

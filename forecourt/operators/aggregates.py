@@ -77,13 +77,17 @@ def mean_threshold(df: DataFrame, groups: Sequence[str], value: str, member: str
 
 def linear_fit(df: DataFrame, groups: Sequence[str], x: str, y: str) -> DataFrame:
     """Least squares per group; a constant ``x`` has slope 0 and the mean as intercept."""
-    xc, yc = F.col(x), F.col(y)
-    return df.groupBy(*groups).agg(
-        F.coalesce(F.regr_slope(yc, xc), F.lit(0.0)).alias("slope"),
-        F.coalesce(F.regr_intercept(yc, xc), F.avg(yc)).alias("intercept"),
-        F.regr_r2(yc, xc).alias("r2"),
-        F.regr_count(yc, xc).alias("size"),
-    )
+    return df.groupBy(*groups).agg(*line_of(F.col(x), F.col(y)))
+
+
+def line_of(x: Column, y: Column) -> list[Column]:
+    """Aggregates of a least-squares line: slope, intercept, r2, size. Rows with a NULL don't count."""
+    return [
+        F.coalesce(F.regr_slope(y, x), F.lit(0.0)).alias("slope"),
+        F.coalesce(F.regr_intercept(y, x), F.avg(y)).alias("intercept"),
+        F.regr_r2(y, x).alias("r2"),
+        F.regr_count(y, x).alias("size"),
+    ]
 
 
 def fit_errors(df: DataFrame, fits: DataFrame, groups: Sequence[str], x: str, y: str) -> DataFrame:

@@ -51,13 +51,15 @@ def tagged_totals(items: DataFrame, applied_to: str, tag: str, value: str, tags:
     return wanted.groupBy(F.col(applied_to).alias("_to")).agg(*aggs)
 
 
-def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str, head: int = 4) -> DataFrame:
-    """Distinct (text, needle) pairs where the needle occurs in the text; '' occurs in every text.
-
-    Each text is cut only where a needle could start: a position counts if its
-    first ``head`` characters open some needle, and there only the lengths
-    such needles have are cut. The cuts then meet the needles by plain
-    equality, so no needle is tried against all texts.
+def substring_cuts(texts: DataFrame, text: str, needles: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+    """Distinct (text, needle) cuts among which are all needles that occur in the text; '' is cut from every text.
+
+    A position of a text counts if its first ``head`` characters open some
+    needle, and only the lengths such needles have are cut there. The cuts then
+    meet the needles by plain equality, so no needle is tried against all texts.
+    Until a head is met, a row holds a text's hash, a position and a few
+    characters; the text joins its hits once, by the hash. Equal hashes of two
+    texts only add cuts.
     """
     t = texts.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
     n = needles.select(F.col(needle).alias("needle")).where(F.col("needle").isNotNull()).distinct()
@@ -65,25 +67,37 @@ def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str
     heads = cutting.groupBy("_head").agg(F.collect_set(F.length("needle")).alias("_lens"))
     size = F.length("text")
     # Heads are full-width, except for needles shorter than that: at most ``head`` widths.
-    head_widths = heads.agg(F.collect_set(F.length("_head"))).scalar()
-    starts = t.where(size > 0).select("text", F.explode(F.sequence(F.lit(1), size)).alias("_pos"))
-    opened = starts.select("text", "_pos", F.explode(head_widths).alias("_w")).where(F.col("_pos") + F.col("_w") - 1 <= size)
-    opened = opened.withColumn("_head", F.substring(F.col("text"), F.col("_pos"), F.col("_w")))
-    met = spread_join(opened, heads, ["_head"], salts=SALTS)
-    cuts = met.select("text", "_pos", F.explode("_lens").alias("_len"))
+    widths = heads.agg(F.collect_set(F.length("_head"))).scalar()
+    hashed = t.where(size > 0).withColumn("_id", F.xxhash64("text"))
+    at = F.sequence(F.lit(1), size)
+    opening = F.transform(at, lambda i: F.struct(i.alias("_pos"), F.substring(F.col("text"), i, F.lit(head)).alias("_four")))
+    starts = hashed.select("_id", F.inline(opening))
+    opened = starts.select("_id", "_pos", "_four", F.explode(widths).alias("_w")).where(F.length("_four") >= F.col("_w"))
+    opened = opened.select("_id", "_pos", F.substring(F.col("_four"), F.lit(1), F.col("_w")).alias("_head"))
+    met = spread_join(opened, heads, ["_head"], salts=salts)
+    hits = met.groupBy("_id").agg(F.collect_set(F.struct("_pos", "_lens")).alias("_hits"))
+    cuts = hashed.join(hits, ["_id"]).select("text", F.inline("_hits")).select("text", "_pos", F.explode("_lens").alias("_len"))
     cuts = cuts.where(F.col("_pos") + F.col("_len") - 1 <= size)
     cuts = cuts.select("text", F.substring(F.col("text"), F.col("_pos"), F.col("_len")).alias("needle")).distinct()
-    found = spread_join(cuts, cutting.select("needle"), ["needle"], "left_semi", salts=SALTS)
-    has_empty = n.agg(F.coalesce(F.max(F.col("needle") == ""), F.lit(False))).scalar()
-    return found.unionByName(t.where(has_empty).select("text", F.lit("").alias("needle")))
+    return cuts.unionByName(t.select("text", F.lit("").alias("needle")))
+
+
+def substring_join(left: DataFrame, text: str, right: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+    """Inner join where ``left.text`` contains ``right.needle`` (taken literally).
+
+    A text of many rows, and a needle of many texts, spread over the salts.
+    """
+    cuts = substring_cuts(left, text, right, needle, head, salts).select(F.col("text").alias("_text"), F.col("needle").alias("_needle"))
+    found = spread_join(cuts, right.withColumn("_needle", F.col(needle)), ["_needle"], salts=salts, null_safe=False)
+    hits = spread_join(left.withColumn("_text", F.col(text)), found.drop("_needle"), ["_text"], salts=salts, null_safe=False)
+    return hits.drop("_text")
 
 
-def substring_join(left: DataFrame, text: str, right: DataFrame, needle: str, head: int = 4) -> DataFrame:
-    """Inner join where ``left.text`` contains ``right.needle`` (taken literally)."""
-    pairs = substring_pairs(left, text, right, needle, head)
-    pairs = pairs.select(F.col("text").alias(text), F.col("needle").alias("_needle"))
-    hits = left.join(pairs, [text])
-    return hits.join(right, F.col("_needle") == F.col(needle)).drop("_needle")
+def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+    """Distinct (text, needle) pairs where the needle occurs in the text; '' occurs in every text."""
+    cuts = substring_cuts(texts, text, needles, needle, head, salts)
+    known = needles.select(F.col(needle).alias("needle")).distinct()
+    return spread_join(cuts, known, ["needle"], "left_semi", salts=salts, null_safe=False)
 
 
 def not_seen_before(df: DataFrame, history: DataFrame, keys: Sequence[str], ts: str, days: int) -> DataFrame:
@@ -93,7 +107,7 @@ def not_seen_before(df: DataFrame, history: DataFrame, keys: Sequence[str], ts:
     the history shrinks to one row per key before the join.
     """
     first = history.groupBy(*keys).agg(F.min(ts).alias("_first"))
-    joined = df.join(first, list(keys), "left")
+    joined = spread_join(df, first, keys, "left", salts=SALTS, null_safe=False)
     early = F.col("_first") < F.col(ts) - F.make_dt_interval(days=F.lit(days))
     return joined.where(~F.coalesce(early, F.lit(False))).drop("_first")
 
@@ -131,29 +145,29 @@ def nearest_match(
     """Per wanted row, the offer with equal columns and the nearest ``measure`` within ``tolerance``.
 
     Adds ``match`` (struct of the offer's ``key``) and ``diff``; unmatched rows
-    are left out. Of equal distances the least key wins. Only rows of the same
-    or a neighbouring price band meet, and inside a band two sorted passes
-    find the next lower and next higher offer, so pairs are never listed.
+    are left out. Of equal distances the least key wins. Both sides are first
+    reduced to one row per equal columns and measure. Only those of the same or
+    a neighbouring price band meet, and inside a band two sorted passes find the
+    next lower and next higher offer, so pairs are never listed, and a pass sees
+    the distinct measures of a band, not its rows.
     """
-    o = offers.where(F.col(measure).isNotNull()).groupBy(*equal, F.col(measure).alias("_at")).agg(
-        F.min(F.struct(*key)).alias("_key")
-    )
-    o = o.select(*equal, band_of("_at", tolerance).alias("_band"), "_at", F.struct("_at", "_key").alias("_offer"), F.lit(None).cast(wanted.schema).alias("_want"))
-    w = wanted.where(F.col(measure).isNotNull())
-    near_bands = F.array(*[band_of(measure, tolerance) + d for d in (-1, 0, 1)])
-    w = w.withColumn("_want", F.struct(*wanted.columns)).withColumn("_band", F.explode(near_bands))
-    w = w.select(*equal, "_band", F.col(measure).alias("_at"), F.lit(None).cast(o.schema["_offer"].dataType).alias("_offer"), "_want")
+    o = offers.where(F.col(measure) >= 0).groupBy(*equal, F.col(measure).alias("_at")).agg(F.min(F.struct(*key)).alias("_key"))
+    o = o.select(*equal, band_of("_at", tolerance).alias("_band"), "_at", F.struct("_at", "_key").alias("_offer"), F.lit(False).alias("_asks"))
+    near_bands = F.array(*[band_of("_at", tolerance) + d for d in (-1, 0, 1)])
+    w = wanted.where(F.col(measure) >= 0).select(*equal, F.col(measure).alias("_at")).distinct()
+    w = w.select(*equal, F.explode(near_bands).alias("_band"), "_at", F.lit(None).cast(o.schema["_offer"].dataType).alias("_offer"), F.lit(True).alias("_asks"))
     both = o.unionByName(w)
     space = Window.partitionBy(*equal, "_band")
-    up = space.orderBy(F.col("_at").asc(), F.col("_want").isNotNull().asc()).rowsBetween(Window.unboundedPreceding, 0)
-    down = space.orderBy(F.col("_at").desc(), F.col("_want").isNotNull().asc()).rowsBetween(Window.unboundedPreceding, 0)
+    up = space.orderBy(F.col("_at").asc(), F.col("_asks").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    down = space.orderBy(F.col("_at").desc(), F.col("_asks").asc()).rowsBetween(Window.unboundedPreceding, 0)
     seen = both.withColumn("_below", F.last("_offer", True).over(up)).withColumn("_above", F.last("_offer", True).over(down))
-    near = seen.where(F.col("_want").isNotNull()).select("_want", "_at", F.explode(F.array("_below", "_above")).alias("_hit"))
+    near = seen.where("_asks").select(*equal, "_at", F.explode(F.array("_below", "_above")).alias("_hit"))
     near = near.where(F.col("_hit").isNotNull()).withColumn("_diff", F.abs(F.col("_hit._at") - F.col("_at")))
     span = F.col("_at") * tolerance
     near = near.where(F.col("_hit._at").between(F.col("_at") - span, F.col("_at") + span))
-    best = near.groupBy("_want").agg(F.min(F.struct("_diff", "_hit._key")).alias("_best"))
-    return best.select("_want.*", F.col("_best._key").alias("match"), F.col("_best._diff").alias("diff"))
+    best = near.groupBy(*equal, F.col("_at").alias(measure)).agg(F.min(F.struct("_diff", "_hit._key")).alias("_best"))
+    met = spread_join(wanted, best, [*equal, measure], null_safe=False, salts=SALTS)
+    return met.select(*wanted.columns, F.col("_best._key").alias("match"), F.col("_best._diff").alias("diff"))
 
 
 def band_of(column: str, tolerance: float) -> Column:

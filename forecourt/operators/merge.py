@@ -8,6 +8,7 @@ and the target is not shuffled.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,20 +44,17 @@ def upsert_when(
 
     ``take_new`` gets the names of the two structs (old row, new row) and
     returns a condition; NULL means keep. ``changes`` has one row per key.
+    Both sides are read once; rows of a NULL key match nothing and stay.
     """
     rest = [c for c in target.columns if c not in keys]
     columns = rest if columns is None else list(columns)
-    new = changes.select(*keys, F.struct(*rest).alias("_new"))
-    old = target.select(*keys, F.struct(*rest).alias("_old"))
-    met = new.join(old.join(new.select(*keys), list(keys), "left_semi"), list(keys), "left")
+    old = target.select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.struct(*rest).alias("_old"))
+    new = changes.select(*[F.col(k).alias(f"_new_{k}") for k in keys], F.struct(*rest).alias("_new"))
+    met = old.join(new, reduce(lambda a, b: a & b, [F.col(f"_old_{k}") == F.col(f"_new_{k}") for k in keys]), "full_outer")
     fresh = F.col("_old").isNull()
-    wins = F.coalesce(take_new("_old", "_new"), F.lit(False))
-    merged = [
-        F.when(fresh | wins if c in columns else fresh, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c)
-        for c in rest
-    ]
-    untouched = target.join(changes.select(*keys), list(keys), "left_anti")
-    return untouched.unionByName(met.select(*keys, *merged))
+    wins = F.coalesce(take_new("_old", "_new"), F.lit(False)) & F.col("_new").isNotNull()
+    merged = [F.when(fresh | wins if c in columns else fresh, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c in rest]
+    return met.select(*[F.when(fresh, F.col(f"_new_{k}")).otherwise(F.col(f"_old_{k}")).alias(k) for k in keys], *merged)
 
 
 def upsert_newest(target: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:

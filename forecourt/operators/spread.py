@@ -11,11 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.session import materialize
-
-# A group up to this size is sorted within one task.
-HOT_ROWS = 2_000_000
-# Join partitions a hot key is spread over.
+# Join partitions a hot key is spread over: a caller's parameter. More of them
+# spread a key further and repeat the small side as often.
 SALTS = 16
 
 
@@ -25,7 +22,9 @@ def spread_join(
     """Equi join on same-named ``keys``, keeping the key columns of ``big``.
 
     NULL keys match each other, as in a window partition; ``null_safe=False``
-    says the keys are never NULL and halves the sort keys. With ``salts`` > 1
+    lets a NULL key match nothing. The comparison of NULL-safe keys also makes
+    Spark shuffle an aggregated ``small`` anew, so that adaptive execution can
+    split a hot key of ``big``; a plain one needs salts for that. With ``salts`` > 1
     a hot key of ``big`` is spread over that many join partitions and ``small``
     is repeated as often. The salt is the input partition number, so a re-run
     task gives the same salt to the same row, and copies of one row still spread.
@@ -43,72 +42,40 @@ def spread_join(
     return left.join(right, on, how).drop(*extra)
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column, salts: int = 1, null_safe: bool = True) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: Sequence[str], *aggs: Column, salts: int = 1) -> DataFrame:
     """Add per-group aggregates to every row of the group. ``df`` is read twice."""
-    return spread_join(df, df.groupBy(*keys).agg(*aggs), keys, salts=salts, null_safe=null_safe)
+    return spread_join(df, df.groupBy(*keys).agg(*aggs), keys, salts=salts)
 
 
-def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, null_safe: bool = True) -> DataFrame:
+def recency_ranks(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None) -> DataFrame:
     """One row per (group, ts): rank by ``ts`` descending, ties equal, NULL ts first; optionally the group size.
 
-    Rows are counted per (group, ts) first; the counts are then summed in two
-    steps, days of a group and instants of a day, so no window sees the rows
-    themselves and a hot group is split by day.
-    """
-    per_ts = df.groupBy(*keys, ts).agg(F.count("*").alias("_n"))
-    per_ts = per_ts.withColumn("_day", F.to_date(ts))
-    days = per_ts.groupBy(*keys, "_day").agg(F.sum("_n").alias("_dn"))
-    group = Window.partitionBy(*keys)
-    newer_days = group.orderBy(F.col("_day").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    columns = [F.coalesce(F.sum("_dn").over(newer_days), F.lit(0)).alias("_before")]
-    if size:
-        columns.append(F.sum("_dn").over(group).alias(size))
-    days = days.select(*keys, "_day", *columns)
-    newer_ts = Window.partitionBy(*keys, "_day").orderBy(F.col(ts).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = spread_join(per_ts, days, [*keys, "_day"], null_safe=null_safe)
-    ranked = ranked.withColumn(rank, (F.col("_before") + F.coalesce(F.sum("_n").over(newer_ts), F.lit(0)) + 1).cast("int"))
-    return ranked.select(*keys, ts, rank, *([size] if size else []))
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys of groups with more than ``hot_rows`` rows, written so that Spark knows the size.
-
-    There are at most ``rows / hot_rows`` of them, mostly none.
+    Rows are counted per (group, ts), minute and day; the counts are summed over
+    the days of a group, the minutes of a day and the instants of a minute. No
+    window sees the rows themselves, whatever the size of a group.
     """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return materialize(sizes.where(F.col("_rows") > hot_rows).select(*keys), "hot")
-
-
-def with_recency_rank(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    rank: str = "rank",
-    size: str | None = None,
-    top: int | None = None,
-    null_safe: bool = True,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    before = lambda *by: Window.partitionBy(*keys, *by).rowsBetween(Window.unboundedPreceding, -1)
+    newer = lambda n, at, *by: F.coalesce(F.sum(n).over(before(*by).orderBy(F.col(at).desc_nulls_first())), F.lit(0))
+    instants = df.groupBy(*keys, ts).agg(F.count("*").alias("_n"))
+    instants = instants.withColumns({"_day": F.date_trunc("day", ts), "_minute": F.date_trunc("minute", ts)})
+    minutes = instants.groupBy(*keys, "_day", "_minute").agg(F.sum("_n").alias("_n"))
+    days = minutes.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n"))
+    sizes = [F.sum("_n").over(Window.partitionBy(*keys)).alias(size)] if size else []
+    days = days.select(*keys, "_day", newer("_n", "_day").alias("_days"), *sizes)
+    minutes = spread_join(minutes, days, [*keys, "_day"])
+    kept = [size] if size else []
+    minutes = minutes.select(*keys, "_day", "_minute", (F.col("_days") + newer("_n", "_minute", "_day")).alias("_minutes"), *kept)
+    ranked = spread_join(instants, minutes, [*keys, "_day", "_minute"])
+    place = F.col("_minutes") + newer("_n", ts, "_day", "_minute") + 1
+    return ranked.select(*keys, ts, place.cast("int").alias(rank), *kept)
+
+
+def with_recency_rank(df: DataFrame, keys: Sequence[str], ts: str, rank: str = "rank", size: str | None = None, top: int | None = None) -> DataFrame:
     """Add rank() by recency (and the group size); ``top`` keeps ranks up to it, ties included.
 
-    Groups of at most ``hot_rows`` rows use a window. Larger ones would fill a
-    task and are ranked by counting instead. Counting the groups runs a first
-    job, so ``df`` is read more than once: pass a scan, or write a costly plan first.
+    ``df`` is read twice, for the counts and for the rows.
     """
-    hot = hot_groups(df, keys, hot_rows)
-    if hot.isEmpty():
-        return _ranked_by_window(df, keys, ts, rank, size, top)
-    cold = spread_join(df, hot, keys, "left_anti", salts=SALTS, null_safe=null_safe)
-    big = spread_join(df, hot, keys, "left_semi", salts=SALTS, null_safe=null_safe)
-    ranks = recency_ranks(big, keys, ts, rank, size, null_safe)
+    ranks = recency_ranks(df, keys, ts, rank, size)
     if top is not None:
         ranks = ranks.where(F.col(rank) <= top)
-    counted = spread_join(big, ranks, [*keys, ts], null_safe=null_safe)
-    return _ranked_by_window(cold, keys, ts, rank, size, top).unionByName(counted)
-
-
-def _ranked_by_window(df: DataFrame, keys: Sequence[str], ts: str, rank: str, size: str | None, top: int | None) -> DataFrame:
-    group = Window.partitionBy(*keys)
-    out = df.withColumn(size, F.count("*").over(group)) if size else df
-    out = out.withColumn(rank, F.rank().over(group.orderBy(F.col(ts).desc_nulls_first())))
-    return out if top is None else out.where(F.col(rank) <= top)
+    return spread_join(df, ranks, [*keys, ts])

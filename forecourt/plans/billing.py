@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ DISCOUNTS = {
     "held_billing_discount": "Held Billing Discount",
 }
 
+# Amounts have nine decimals, as the payload rule ``numeric``.
+AMOUNT = "decimal(28,9)"
+
 
 def posted_invoices(invoices: DataFrame) -> DataFrame:
     return invoices.where(posted_billing(None, "status", "reversed")).select(F.col("id").alias("invoiceid"))
@@ -59,16 +63,17 @@ def saas_revenue_monthly(items: DataFrame, invoices: DataFrame, subscriptions: D
     subs = subscriptions.select("id", F.col("creatoraccountid").alias("accountid"))
     rows = left_lookup(base, subs, "subscriptionid", "id")
     rows = left_lookup(rows, totals, "id", "_to", salts=1)
-    copies = {k: F.greatest(F.coalesce(F.col(f"{k}_n"), F.lit(0)), F.lit(1)).cast("decimal(9,0)") for k in DISCOUNTS}
+    copies = {k: F.greatest(F.coalesce(F.col(f"{k}_n"), F.lit(0)), F.lit(1)).cast("bigint") for k in DISCOUNTS}
 
     def times(value, skip=None):
-        for k, n in copies.items():
-            if k != skip:
-                value = (value * n).cast("decimal(38,9)")
-        return value
+        n = reduce(lambda a, b: a * b, [c for k, c in copies.items() if k != skip])
+        # (28,9) times (9,0) is (38,9): no digit is lost, and what doesn't fit is an error, not NULL.
+        exact = value.cast(AMOUNT) * n.cast("decimal(9,0)")
+        lost = value.isNotNull() & (value.try_cast(AMOUNT).isNull() | n.try_cast("decimal(9,0)").isNull() | (value != value.try_cast(AMOUNT)))
+        return F.when(lost, F.raise_error(F.concat(F.lit("amount out of range: "), value))).otherwise(exact)
 
     money = {"_price": times(F.col("chargeamount"))}
     for k in DISCOUNTS:
-        money[f"_{k}"] = times(F.coalesce(F.col(k), F.lit(0)).cast("decimal(38,9)"), skip=k)
+        money[f"_{k}"] = times(F.coalesce(F.col(k), F.lit(0)), skip=k)
     rows = rows.select("accountid", "subscriptionid", period_start(F.col("servicestartdate"), "month").alias("servicestartdate"), "chargename", *[c.alias(n) for n, c in money.items()])
     return conditional_sums(rows, ["accountid", "subscriptionid", "servicestartdate"], "chargename", products, {n[1:]: n for n in money})

@@ -14,7 +14,6 @@ from forecourt.operators.joins import SALTS, distinct_per_group
 from forecourt.operators.latest import avg_over_group, earliest_per_key, latest_first_seen
 from forecourt.operators.merge import upsert_newest, upsert_newest_partial
 from forecourt.operators.spread import spread_join, with_recency_rank
-from forecourt.session import materialize
 
 VEHICLE = ("year", "make", "model", "trim", "style")
 # Catalog file column -> column.
@@ -76,17 +75,20 @@ def training_set(listings: DataFrame, catalog: DataFrame, top: int | None = None
     joined = spread_join(rows, matchable(catalog), ["vin_pattern"], salts=SALTS, null_safe=False)
     matched = joined.where(F.col("any_trim") | S.contains_text(F.col("trim"), F.col("trim_orig")))
     matched = matched.select("vin", *VEHICLE, "body_type", "msrp", "mileage", "price", "status_date")
-    # The rank reads the rows twice, so the join is written once.
-    matched = materialize(matched, "matched")
-    ranked = with_recency_rank(matched, VEHICLE, "status_date", "rank", "vehicles", top, null_safe=False)
+    ranked = with_recency_rank(matched, VEHICLE, "status_date", "rank", "vehicles", top)
     return ranked.drop("status_date")
 
 
 def training_listings(raw: DataFrame, reject_price_equal_miles: bool = True) -> DataFrame:
-    """Typed rows of the price-model feed: units, miles and price in range, body type in catalog words."""
+    """Typed rows of the price-model feed: units, miles and price in range, body type in catalog words.
+
+    Some files lack the trim column; its rows have none.
+    """
     clean = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"^\s+|\s+$", "")
     body = S.null_if_empty(clean("body_type_ss"))
     extra = [c for c in ("file", "position") if c in raw.columns]
+    if "trim_orig_ss" not in raw.columns:
+        raw = raw.withColumn("trim_orig_ss", F.lit(None).cast("string"))
     return raw.where(training_listing(reject_price_equal_miles)).select(
         F.col("vin_ss").alias("vin"),
         S.safe_double(F.col("miles_fs")).alias("miles"),

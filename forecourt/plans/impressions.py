@@ -7,16 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.functions.payload import parse_payload
+from forecourt.functions.payload import as_uuid, parse_payload
 from forecourt.operators.aggregates import distinct_by_period, union_feeds
 from forecourt.operators.incremental import multi_feed_barrier
 
 
 def visits(feed: DataFrame, business: str = "master_business_id", visitor: str = "ip_address") -> DataFrame:
-    """(business, happened_at, visitor) read from the event payload."""
+    """(business, happened_at, visitor) read from the event payload; a business that is no UUID is NULL."""
     parsed = feed.select("happened_at", parse_payload(F.col("payload"), [business, visitor]).alias("_p"))
     return parsed.select(
-        F.col("_p").getField(business).alias("master_business_id"),
+        as_uuid(F.col("_p").getField(business)).alias("master_business_id"),
         "happened_at",
         F.col("_p").getField(visitor).alias("ip_address"),
     )

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.aggregates import first_last_seen, mean_threshold
 from forecourt.operators.filters import recent
 from forecourt.operators.incremental import since_newest
 from forecourt.operators.joins import SALTS, drop_ambiguous, not_seen_before, substring_join
-from forecourt.operators.latest import latest_per_key, rank_longest
+from forecourt.operators.latest import latest_per_key
 from forecourt.operators.spread import spread_join
+from forecourt.session import materialize
 
 # Spans in days, and the low-mileage bounds.
 INVENTORY_DAYS, NEW_LISTING_DAYS = 7, 14
@@ -28,12 +29,16 @@ def client_dealer(businesses: DataFrame, dealer_domains: DataFrame) -> DataFrame
     """(master_business_id, dealer_id, last_seen): the longest dealer domain inside the business's website.
 
     Domains of equal length are all kept; one dealer stands for a domain, the
-    last seen, then the lowest id.
+    last seen, then the lowest id. The domains' owners are written once.
     """
     owners = latest_per_key(dealer_domains.select("domain", "dealer_id", "last_seen"), ["domain"], "last_seen", [-F.col("dealer_id")])
+    owners = materialize(owners, "owners")
     sites = businesses.select(F.col("id").alias("master_business_id"), "website_url")
     hits = substring_join(sites, "website_url", owners, "domain")
-    return rank_longest(hits, "master_business_id", "domain").select("master_business_id", "dealer_id", "last_seen")
+    # A website holds few domains, at most its length squared, so a window over them fits a task.
+    longest = F.max(F.length("domain")).over(Window.partitionBy("master_business_id"))
+    best = hits.withColumn("_longest", longest).where(F.length("domain") == F.col("_longest"))
+    return best.select("master_business_id", "dealer_id", "last_seen")
 
 
 def client_inventory(clients: DataFrame, listings: DataFrame, now: Column, days: int = INVENTORY_DAYS) -> DataFrame:
@@ -64,8 +69,9 @@ def low_mileage(
     max_miles: int = LOW_MILEAGE["max_miles"],
     min_vehicles: int = LOW_MILEAGE["min_vehicles"],
     cut: float = LOW_MILEAGE["cut"],
+    session_id: Column | None = None,
 ) -> DataFrame:
-    """(vin_pattern, region, mileage): miles below which a vehicle counts as low.
+    """(vin_pattern, region, mileage): miles below which a vehicle counts as low; ``session_id`` names the run in every row.
 
     A group (year, make) counts every listing row times every catalog row of
     its pattern, repeated scrapes included; the mean then uses the latest row
@@ -85,4 +91,5 @@ def low_mileage(
     last = latest_per_key(rows, ["vin_pattern", "vin"], "status_date", [F.col("miles")])
     grouped = spread_join(last, one, ["vin_pattern"], salts=SALTS, null_safe=False).select("vin_pattern", "vin", "miles", "year", "make")
     limits = mean_threshold(grouped, ["year", "make"], "miles", "vin_pattern", cut)
-    return limits.select("vin_pattern", F.explode(F.array(*[F.lit(r) for r in regions])).alias("region"), "mileage")
+    limits = limits.select("vin_pattern", F.explode(F.array(*[F.lit(r) for r in regions])).alias("region"), "mileage")
+    return limits if session_id is None else limits.withColumn("session_id", session_id)

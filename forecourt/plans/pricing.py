@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions import scalars as S
-from forecourt.operators.aggregates import fit_errors, linear_fit
+from forecourt.operators.aggregates import fit_errors, line_of
 from forecourt.operators.joins import match_tiered
 from forecourt.operators.spread import spread_join, with_group_stats
 from forecourt.plans.catalog import VEHICLE, catalog_clean, training_set
@@ -39,13 +39,13 @@ def msrp_outlier(factor: float = MSRP_FACTOR) -> Column:
     return (F.col("msrp") > 0) & (F.col("price") > F.col("msrp") * factor)
 
 
-def price_outliers(rows: DataFrame, groups=VEHICLE, ratio: float | None = None, null_safe: bool = True) -> DataFrame:
+def price_outliers(rows: DataFrame, groups=VEHICLE, ratio: float | None = None) -> DataFrame:
     """Flag outliers by group mean price and by msrp, and by price per mile if ``ratio`` is given."""
     per_mile = F.try_divide(F.col("price"), F.col("mileage"))
     aggs = [F.avg("price").alias("mean_price")]
     if ratio is not None:
         aggs.append(F.avg(per_mile).alias("mean_per_mile"))
-    out = with_group_stats(rows, groups, *aggs, null_safe=null_safe)
+    out = with_group_stats(rows, groups, *aggs)
     off = lambda c: F.coalesce(c, F.lit(False))
     out = out.withColumns({"price_outlier": off(price_outlier()), "msrp_outlier": off(msrp_outlier())})
     if ratio is not None:
@@ -56,7 +56,7 @@ def price_outliers(rows: DataFrame, groups=VEHICLE, ratio: float | None = None,
 def _marked(training: DataFrame) -> DataFrame:
     """Training rows of complete groups with their outlier flag."""
     whole = training.dropna(subset=list(VEHICLE))
-    flagged = price_outliers(whole, null_safe=False)
+    flagged = price_outliers(whole)
     return flagged.withColumn("outlier", F.col("price_outlier") | F.col("msrp_outlier")).drop("price_outlier", "msrp_outlier")
 
 
@@ -90,18 +90,23 @@ def training_rows(listings: DataFrame, catalog_rows: DataFrame) -> DataFrame:
 
 def group_fits(training: DataFrame) -> DataFrame:
     """One row per vehicle: row count, mean msrp, body type, fit without outliers, verdict."""
-    marked = _marked(training)
-    whole = marked.groupBy(*VEHICLE).agg(
-        F.count("*").alias("rows"), F.avg("msrp").alias("msrp"), F.min("body_type").alias("body_type")
-    )
-    fits = linear_fit(marked.where(~F.col("outlier")), VEHICLE, "mileage", "price")
-    return spread_join(whole, fits, VEHICLE, "left", null_safe=False).withColumn("verdict", _verdict())
+    return _fits(_marked(training))
+
+
+def _fits(marked: DataFrame) -> DataFrame:
+    kept = lambda c: F.when(~F.col("outlier"), F.col(c))
+    whole = [F.count("*").alias("rows"), F.avg("msrp").alias("msrp"), F.min("body_type").alias("body_type")]
+    return marked.groupBy(*VEHICLE).agg(*whole, *line_of(kept("mileage"), kept("price"))).withColumn("verdict", _verdict())
 
 
 def training_status(training: DataFrame) -> DataFrame:
-    """Training rows with their status code; rows with an incomplete vehicle have none."""
-    fits = group_fits(training).select(*VEHICLE, "rows", "verdict")
-    marked = spread_join(_marked(training), fits, VEHICLE, null_safe=False)
+    """Training rows with their status code; rows with an incomplete vehicle have none.
+
+    The rows with their outlier flag are written once, for the fits and for the status.
+    """
+    flagged = materialize(_marked(training), "marked")
+    fits = _fits(flagged).select(*VEHICLE, "rows", "verdict")
+    marked = spread_join(flagged, fits, VEHICLE)
     # Outliers are only looked for in groups that are large enough.
     status = F.when(F.col("outlier") & (F.col("rows") >= MIN_VEHICLES), STATUS["outlier"]).otherwise(F.col("verdict"))
     done = marked.withColumn("status", status).drop("outlier", "rows", "verdict")
@@ -118,17 +123,18 @@ RECORD = (
 )
 
 
-def price_models(training: DataFrame) -> DataFrame:
-    """One model per vehicle that has or can borrow one.
+def price_models(training: DataFrame, session_id: Column | None = None) -> DataFrame:
+    """One model per vehicle that has or can borrow one; ``session_id`` names the run in every row.
 
     ``tier`` is 0 for an own model; a borrowed one carries its tier, the
     lender's figures, and the lender's key in ``match_*``. Pass a written
     ``training`` table: it is read several times. The fits and own models, one
     row per vehicle, are written once for the steps that share them.
     """
-    fits = materialize(group_fits(training), "fits")
+    marked = materialize(_marked(training), "marked")
+    fits = materialize(_fits(marked), "fits")
     good = fits.where(F.col("verdict") == STATUS["included"])
-    kept = _marked(training).where(~F.col("outlier"))
+    kept = marked.where(~F.col("outlier"))
     errors = fit_errors(kept, good, VEHICLE, "mileage", "price").select(
         *VEHICLE,
         "mean_squared_error",
@@ -138,14 +144,15 @@ def price_models(training: DataFrame) -> DataFrame:
         F.col("minimum").alias("minimum_list_price"),
         F.col("maximum").alias("maximum_list_price"),
     )
-    own = spread_join(good.withColumnRenamed("slope", "coefficient"), errors, VEHICLE, null_safe=False).select(*VEHICLE, *RECORD)
+    own = spread_join(good.withColumnRenamed("slope", "coefficient"), errors, VEHICLE).select(*VEHICLE, *RECORD)
     own = materialize(own, "models")
     wanted = fits.where(F.col("verdict") != STATUS["included"]).select(*VEHICLE, "body_type", "msrp")
     lent = match_tiered(wanted, own.select(*VEHICLE, "body_type", "msrp"), VEHICLE, tolerance=MATCH_TOLERANCE)
     record = own.select(*[F.col(c).alias(f"match_{c}") for c in VEHICLE], *RECORD)
-    borrowed = spread_join(lent, record, [f"match_{c}" for c in VEHICLE], null_safe=False)
+    borrowed = spread_join(lent, record, [f"match_{c}" for c in VEHICLE])
     own = own.withColumn("tier", F.lit(0)).withColumns({f"match_{c}": F.lit(None).cast(own.schema[c].dataType) for c in VEHICLE})
-    return own.unionByName(borrowed.select(*own.columns))
+    models = own.unionByName(borrowed.select(*own.columns))
+    return models if session_id is None else models.withColumn("session_id", session_id)
 
 
 def models_view(models: DataFrame, as_of: Column, as_shipped: bool = False) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import io
 import itertools
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,6 +21,7 @@ from forecourt.functions.vehicle import clean_source_domain
 from forecourt.operators import filters
 from forecourt.operators.joins import SALTS, left_lookup
 from forecourt.operators.spread import spread_join
+from forecourt.session import is_folder
 
 # The typed listing columns and the file columns they come from.
 LISTING_COLUMNS = (
@@ -57,18 +61,71 @@ LISTING_PROFILES = {
 BLOCK_LINES = 4096
 
 
-def read_text_table(spark: SparkSession, path: str | Sequence[str], sep: str = ",", modified_after: str | None = None, quote: str = '"') -> DataFrame:
-    """Delimited file(s) with a header, every column text, one physical line per record."""
-    reader = spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
-    reader = reader.option("inferSchema", False).option("mode", "PERMISSIVE")
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader.csv(path)
+# The column that takes the text of a row with too few or too many fields.
+BROKEN = "_broken"
+FILE_COLUMNS = {"file": "file_path", "last_modified": "file_modification_time", "block": "file_block_start"}
 
 
-def with_file(df: DataFrame) -> DataFrame:
-    """Add the file a row came from and its modification time."""
-    return df.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("last_modified"))
+def header_lines(spark: SparkSession, path: str | Sequence[str], modified_after: str | None = None) -> DataFrame:
+    """(file, header): the first line of every file that is not empty."""
+    reader = spark.read.option("modifiedAfter", modified_after) if modified_after else spark.read
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n")).alias("at"),
+        F.regexp_replace("value", "^\ufeff", "").alias("value"),
+    )
+    return lines.where(F.col("at.block") == 0).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+
+
+def read_text_table(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str = ",",
+    modified_after: str | None = None,
+    quote: str = '"',
+    strict: bool = False,
+    broken: bool = False,
+    file: bool = False,
+) -> DataFrame:
+    """Delimited file(s), every column text, one physical line per record; columns go by each file's own header.
+
+    Files of one header are read together. Columns stand in the order in which
+    the headers, sorted, name them; a file that lacks a column has NULL there.
+    A row with too few or too many fields is padded or cut; with ``broken`` its
+    text is kept in the column ``_broken`` (`count_broken` counts them), with
+    ``strict`` it is an error. ``file`` adds the columns of FILE_COLUMNS. The
+    driver holds the list of files, as for any read, and one header each.
+    """
+    files: dict[str, list[str]] = {}
+    for row in header_lines(spark, path, modified_after).collect():
+        files.setdefault(row["header"], []).append(unquote(row["file"]))
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
+    header_reader = reader
+    reader = spark.read.options(header=True, sep=sep, quote=quote, escape=quote, columnNameOfCorruptRecord=BROKEN)
+    # Spark counts a row's fields only when it parses them all.
+    reader = reader.options(mode="FAILFAST" if strict else "PERMISSIVE", columnPruning=not (strict or broken))
+    if not files:
+        raise ValueError(f"no file with a header: {path}")
+    if isinstance(path, str) and not re.search(r"[*?\[{]", path) and is_folder(spark, path):
+        reader = reader.option("basePath", path)  # folder names may hold columns
+    parts = []
+    for header in sorted(files):
+        # The header of one of the files, parsed as the reader parses it.
+        first = header_reader.csv(sorted(files[header])[0])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*first.columns, *([BROKEN] if broken else [])]])
+        part = reader.schema(schema).csv(path if len(files) == 1 and not modified_after else files[header])
+        if file:
+            part = part.select("*", *[F.col(f"_metadata.{c}").alias(n) for n, c in FILE_COLUMNS.items()])
+        if broken:  # Spark refuses to read that column alone, so another one has a say that is always yes
+            part = part.withColumn(BROKEN, F.when(F.coalesce(F.length(f"`{first.columns[0]}`"), F.lit(0)) >= 0, F.col(BROKEN)))
+        parts.append(part)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def count_broken(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
+    """(file, broken): per file the rows that have too few or too many fields."""
+    rows = read_text_table(spark, path, sep, broken=True, file=True)
+    return rows.groupBy("file").agg(F.count(BROKEN).alias("broken"))
 
 
 # --- event archives -------------------------------------------------------
@@ -97,6 +154,7 @@ def archive_lines(archives: DataFrame) -> DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
+    """(path, content) of archives, each below the 2 GB that Spark holds in one binary value."""
     reader = spark.read.format("binaryFile")
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
@@ -108,13 +166,29 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
 
 
-def parse_events(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+def _event_map(lines: DataFrame) -> Column:
+    return F.from_json("line", "map<string,variant>")
+
+
+def _unreadable(m: Column) -> Column:
+    return m.isNull() & (F.trim("line") != "")
+
+
+def count_broken_events(lines: DataFrame) -> DataFrame:
+    """(file, broken): per file the lines that are not a JSON object."""
+    return lines.groupBy("file").agg(F.count_if(_unreadable(_event_map(lines))).alias("broken"))
+
+
+def parse_events(lines: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:
     """Events of the given names: (file, event_name, event_id, happened_at, payload).
 
     The three lifted keys leave the payload; all other fields stay, nested ones
-    as they are. Equal rows of one file count once.
+    as they are. Equal rows of one file count once. A line that is no JSON
+    object is left out (`count_broken_events` counts them); ``strict`` fails on it.
     """
-    wide = F.from_json("line", "map<string,variant>")
+    wide = _event_map(lines)
+    if strict:
+        wide = F.when(_unreadable(wide), F.raise_error(F.concat(F.lit("not an event: "), F.col("line")))).otherwise(wide)
     text = lambda key: F.col("m")[key].try_cast("string")
     parsed = lines.select("file", wide.alias("m")).where(text("event_name").isin(*names))
     lifted = ("event_name", "event_id", "happened_at")
@@ -129,9 +203,9 @@ def parse_events(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     return events.dropDuplicates()
 
 
-def scan_event_archive(archives: DataFrame, names: Sequence[str]) -> DataFrame:
+def scan_event_archive(archives: DataFrame, names: Sequence[str], strict: bool = False) -> DataFrame:
     """All wanted events of zip archives in one pass; filter ``event_name`` to fan out."""
-    return parse_events(archive_lines(archives), names)
+    return parse_events(archive_lines(archives), names, strict)
 
 
 # --- listings -------------------------------------------------------------
@@ -160,12 +234,12 @@ def typed_listings(raw: DataFrame, profile: str) -> DataFrame:
 
 
 def scan_listing_csv(spark: SparkSession, path: str | Sequence[str], profile: str, modified_after: str | None = None) -> DataFrame:
-    return typed_listings(with_file(read_text_table(spark, path, ",", modified_after)), profile)
+    return typed_listings(read_text_table(spark, path, ",", modified_after, file=True), profile)
 
 
 def snapshot_versions(spark: SparkSession, path: str, cutoff: Column | None = None, sep: str = ",") -> DataFrame:
     """Every file under ``path`` is one version of the same table; optionally only versions since ``cutoff``."""
-    df = with_file(read_text_table(spark, path, sep))
+    df = read_text_table(spark, path, sep, file=True).drop("block")
     return df if cutoff is None else df.where(F.col("last_modified") >= cutoff)
 
 
@@ -180,19 +254,20 @@ def column_subset(raw: DataFrame, wanted: Sequence[str], keep: Sequence[str] = (
 
 def scan_catalog_tsv(spark: SparkSession, path: str) -> DataFrame:
     """(file, vin_pattern, vehicle_id, payload) of a tab-separated catalog snapshot."""
-    raw = with_file(read_text_table(spark, path, "\t"))
-    lifted = raw.drop("last_modified").withColumnRenamed("VIN_PATTERN", "vin_pattern").withColumnRenamed("VEHICLE_ID", "vehicle_id")
+    raw = read_text_table(spark, path, "\t", file=True)
+    lifted = raw.drop("last_modified", "block").withColumnRenamed("VIN_PATTERN", "vin_pattern").withColumnRenamed("VEHICLE_ID", "vehicle_id")
     return pack_payload(lifted.withColumn("vehicle_id", S.safe_int(F.col("vehicle_id"))), ["file", "vin_pattern", "vehicle_id"])
 
 
 def scan_sales_tsv(spark: SparkSession, path: str) -> DataFrame:
     """(file, payload) of tab-separated sales files."""
-    return pack_payload(with_file(read_text_table(spark, path, "\t")).drop("last_modified"), ["file"])
+    return pack_payload(read_text_table(spark, path, "\t", file=True).drop("last_modified", "block"), ["file"])
 
 
 def import_keyed_csv(spark: SparkSession, path: str, key: str) -> DataFrame:
     """(id, payload, position) of a CSV with an integer key column; rows without a valid key are dropped."""
-    raw = read_text_table(spark, path).withColumn("position", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n")))
+    raw = read_text_table(spark, path, file=True)
+    raw = raw.withColumn("position", F.struct("file", "block", F.monotonically_increasing_id().alias("n"))).drop(*FILE_COLUMNS)
     keyed = raw.withColumn("id", S.safe_int(F.col(key))).where(F.col("id").isNotNull())
     return pack_payload(keyed.drop(key) if key != "id" else keyed, ["id", "position"])
 
@@ -263,9 +338,8 @@ def parse_sectioned_report(lines: DataFrame) -> DataFrame:
     values = F.split("line", ",", -1)
     names = F.split("_names", ",", -1)
     first = F.split(values[0], " ")
-    fields = F.arrays_zip(
-        F.slice(names, 2, 100000).alias("k"), F.transform(F.slice(values, 2, 100000), S.strip_currency).alias("v")
-    )
+    rest = lambda c: F.slice(c, F.lit(2), F.size(c))
+    fields = F.arrays_zip(rest(names).alias("k"), F.transform(rest(values), S.strip_currency).alias("v"))
     fields = F.filter(fields, lambda e: e["k"].isNotNull() & e["v"].isNotNull())
     return data.select(
         "dealer",

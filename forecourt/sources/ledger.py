@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.operators.incremental import high_water
+from forecourt.session import materialize
+from forecourt.sources.sinks import replace_table
 
 LEDGER_SCHEMA = "id bigint, file string, last_modified timestamp, script string, scanned timestamp"
 
@@ -42,3 +44,31 @@ def with_file_id(rows: DataFrame, ledger: DataFrame, script: str, out: str = "fi
     """Replace ``file`` by its ledger id."""
     ids = ledger.where(F.col("script") == script).select("file", F.col("id").alias(out))
     return rows.join(ids, ["file"]).drop("file")
+
+
+def publish_files(rows: DataFrame, rows_table: str, ledger: DataFrame, ledger_table: str, script: str, now: Column, base: str | None = None) -> None:
+    """Put ``rows`` (with file and last_modified) and their files into the two tables, in this order.
+
+    Rows go by the id of their file, a hash, and replace what an earlier attempt
+    left under it; the ledger follows. A crash in between leaves rows whose file
+    the ledger lacks: `published` hides them, and the next attempt, which still
+    sees the files as new, replaces them. So each file counts once or not yet.
+    """
+    spark = rows.sparkSession
+    fresh = rows_of_new_files(rows, ledger, script)
+    files = fresh.select("file", "last_modified").distinct()
+    entered = record_files(ledger, files, script, now)
+    landed = with_file_id(fresh.drop("last_modified"), entered, script)
+    if spark.catalog.tableExists(rows_table):
+        stored = spark.table(rows_table)
+        kept = stored.join(landed.select("file_id").distinct(), ["file_id"], "left_anti")
+        landed = kept.unionByName(landed.select(*stored.columns))
+    # The files are fixed before the rows table changes under them.
+    entered = materialize(entered, "ledger")
+    replace_table(landed, rows_table, base)
+    replace_table(entered, ledger_table, base)
+
+
+def published(rows: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Rows whose file the ledger has."""
+    return rows.join(ledger.select(F.col("id").alias("file_id")), ["file_id"], "left_semi")

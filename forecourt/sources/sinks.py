@@ -14,7 +14,8 @@ def replace_table(df: DataFrame, table: str, base: str | None = None) -> None:
     """Write ``df`` to a new folder, then point ``table`` at it.
 
     Readers see the old or the new rows, never a mix, and ``df`` may itself
-    read ``table``. Old folders stay until the caller's retention removes them.
+    read ``table``. Old folders stay, for readers that began before, until
+    ``session.prune_scratch`` removes those past the caller's retention.
     """
     spark = df.sparkSession
     path = fresh_path(spark, table) if base is None else f"{base}/{fresh_path(spark, table).rsplit('/', 1)[-1]}"
@@ -29,6 +30,9 @@ def replace_table(df: DataFrame, table: str, base: str | None = None) -> None:
 def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
     """Upsert into a partitioned folder, rewriting only the partitions the batch touches.
 
+    The partitions are overwritten in place: a reader, or a crash, may meet some
+    of them gone. ``versions.upsert_version`` swaps them at once instead.
+
     A key must always fall into the same partition value. The list of touched
     partitions is as long as the batch has partition values, not rows.
     """

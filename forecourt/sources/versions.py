@@ -1,0 +1,99 @@
+"""Keyed tables in buckets whose new versions appear at once.
+
+A table is a folder with ``data`` (one folder per rewritten set of buckets) and
+``manifest`` (one small file per version, naming each bucket's folder). A batch
+writes its buckets to a new data folder first and the manifest last, in one
+file, so readers see a version whole or not at all, and a crash in between
+leaves the old version. A version carries its batch's tag, so a batch that is
+repeated after it was published changes nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from forecourt.operators.merge import upsert_replace
+from forecourt.session import child_folders, fresh_path, remove_folder
+
+BUCKETS = 64
+BUCKET = "_bucket"
+MANIFEST = "bucket string, folder string, tag string"
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions of the table, oldest first."""
+    found = [path.rsplit("/", 1)[-1] for path, _ in child_folders(spark, f"{root}/manifest")]
+    done = [int(name) for name in found if name.isdigit()]
+    return sorted(v for v in done if _complete(spark, f"{root}/manifest/{v}"))
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def _manifest(spark: SparkSession, root: str, version: int) -> tuple[dict[str, str], str]:
+    """(bucket -> folder, the batch's tag) of a version; as many rows as buckets."""
+    rows = spark.read.schema(MANIFEST).json(f"{root}/manifest/{version}").collect()
+    return {r["bucket"]: r["folder"] for r in rows}, rows[0]["tag"] if rows else ""
+
+
+def read_version(spark: SparkSession, root: str, schema, version: int | None = None) -> DataFrame:
+    """Rows of the newest complete version, or of an older one; none before the first."""
+    known = versions(spark, root)
+    if not known:
+        return spark.createDataFrame([], schema)
+    folders, _ = _manifest(spark, root, known[-1] if version is None else version)
+    return spark.read.schema(schema).parquet(*sorted(folders.values())) if folders else spark.createDataFrame([], schema)
+
+
+def upsert_version(changes: DataFrame, root: str, keys: Sequence[str], tag: str, buckets: int = BUCKETS, bucket_of: str | None = None) -> None:
+    """A new version: the newest one with ``changes`` (one row per key) replacing rows of their keys.
+
+    Only buckets that the batch touches are read and written. Buckets are hashes
+    of the keys, or the values of ``bucket_of``, which must be part of the key.
+    Nothing is done if the newest version carries ``tag``. One writer at a time.
+    """
+    spark = changes.sparkSession
+    schema = changes.schema
+    known = versions(spark, root)
+    version = known[-1] + 1 if known else 0
+    folders, newest = _manifest(spark, root, known[-1]) if known else ({}, None)
+    if newest == tag:
+        return
+    hashed = F.col(bucket_of).cast("string") if bucket_of else F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+    named = F.coalesce(hashed, F.lit("null"))
+    touched = [r[0] for r in changes.select(named).distinct().collect()]
+    stored = [folders[b] for b in touched if b in folders]
+    merged = upsert_replace(spark.read.schema(schema).parquet(*stored), changes, keys) if stored else changes
+    data = f"{root}/data/{fresh_path(spark, str(version)).rsplit('/', 1)[-1]}"
+    merged.withColumn(BUCKET, named).repartition(BUCKET).write.partitionBy(BUCKET).parquet(data)
+    folders |= {b: f"{data}/{BUCKET}={_escaped(b)}" for b in touched}
+    if not folders:
+        return
+    rows = spark.createDataFrame([(b, f, tag) for b, f in sorted(folders.items())], MANIFEST)
+    rows.coalesce(1).write.mode("overwrite").json(f"{root}/manifest/{version}")
+
+
+def _escaped(value: str) -> str:
+    """A folder name as Spark writes it for a partition value."""
+    return "".join(f"%{ord(c):02X}" if c in '"#%\'*/:=?\\{[]^\x7f' or ord(c) < 32 else c for c in value)
+
+
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all but the newest ``keep`` versions, and the data folders that none of those name."""
+    known = versions(spark, root)
+    kept = known[-keep:]
+    used = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for v in kept for f in _manifest(spark, root, v)[0].values()}
+    if not kept:
+        return []
+    gone = [f"{root}/manifest/{v}" for v in known[:-keep]]
+    # A folder without a manifest may belong to a batch that is being written now, so only older ones go.
+    newest = max(at for p, at in child_folders(spark, f"{root}/data") if p.rsplit("/", 1)[-1] in used)
+    gone += [p for p, at in child_folders(spark, f"{root}/data") if p.rsplit("/", 1)[-1] not in used and at < newest]
+    for path in gone:
+        remove_folder(spark, path)
+    return gone

@@ -7,18 +7,27 @@ oracle.
 
 from __future__ import annotations
 
+import os
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from forecourt.session import tune
+from forecourt.session import OWN_SCRATCH, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _ready(spark: SparkSession) -> SparkSession:
+    """Tuned, with a scratch folder of our own only on a local master that names none."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.master.startswith("local["):
+        spark.conf.set(OWN_SCRATCH, os.path.join(tempfile.gettempdir(), "forecourt-scratch"))
+    return tune(spark)
+
+
 class Tables:
     """The given tables of one scale folder."""
 
@@ -47,7 +56,7 @@ def query(name: str, sql: str | None = None):
     def add(fn: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, folder: finish(fn(Tables(tune(spark), folder)))
+        QUERIES[name] = lambda spark, folder: finish(fn(Tables(_ready(spark), folder)))
         if sql is not None:
             ORACLE[name] = sql
         return fn

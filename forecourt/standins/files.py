@@ -7,20 +7,23 @@ import uuid
 import zipfile
 
 import pandas as pd
+from pyarrow import fs as pa_fs
 from pyspark.sql import functions as F
 
 from forecourt.operators import incremental as I
 from forecourt.operators import merge as M
 from forecourt.plans import leads as L
-from forecourt.session import fresh_path
+from forecourt.session import child_folders, fresh_path
 from forecourt.sources import extracts as E
 from forecourt.sources import files as S
 from forecourt.sources import ledger as G
 from forecourt.sources import sinks as K
 from forecourt.standins.base import ORACLE, Tables, labelled, query
 from forecourt.standins.latests import FILTER_SQL, raw_listings
+from forecourt.standins.payloads import _UUID_DUCK, _UUID_SPARK
 
 ARCHIVE_EVENTS = 1000
+_EVENT_BUSINESS = _UUID_DUCK.replace("c_custkey", "user_id")
 
 
 def _written(t: Tables, df, label: str, sep: str = ",", gzip: bool = True) -> str:
@@ -32,12 +35,15 @@ def _written(t: Tables, df, label: str, sep: str = ",", gzip: bool = True) -> st
 
 
 def event_archives(t: Tables):
-    """Events as zip archives of a fixed size, every line twice."""
+    """Events as zip archives of a fixed size, every line twice, written to the scratch folder and read again."""
+    folder = fresh_path(t.spark, "archives")
+    business = F.expr(_UUID_SPARK.replace("c_custkey", "user_id"))
     body = F.struct(
         F.col("event_type").alias("event_name"),
         F.col("event_id").cast("string").alias("event_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("happened_at"),
-        F.col("user_id").cast("string").alias("master_business_id"),
+        business.alias("master_business_id"),
+        F.get_json_object("props", "$.k").alias("ip_address"),
         F.struct(F.concat(F.lit("lead-"), "user_id").alias("id")).alias("lead"),
     )
 
@@ -46,17 +52,23 @@ def event_archives(t: Tables):
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("events.json", "\n".join(lines["line"]) + "\n")
             z.writestr("ignored.json", '{"event_name":"view"}\n')
-        return pd.DataFrame({"path": [f"archive-{lines['archive'].iloc[0]}.zip"], "content": [buffer.getvalue()]})
+        system, root = pa_fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        with system.open_output_stream(f"{root}/archive-{lines['archive'].iloc[0]}.zip") as out:
+            out.write(buffer.getvalue())
+        return pd.DataFrame({"events": [len(lines)]})
 
     archive = F.floor(F.col("event_id") / ARCHIVE_EVENTS).alias("archive")
     lines = t.events.select(archive, F.explode(F.array_repeat(F.to_json(body), 2)).alias("line"))
-    return lines.groupBy("archive").applyInPandas(zipped, "path string, content binary")
+    lines.groupBy("archive").applyInPandas(zipped, "events long").agg(F.sum("events")).collect()
+    return S.read_archives(t.spark, folder)
 
 
 @query(
     "scan_event_archive",
-    """select event_type as event_name, cast(event_id as varchar) as event_id, date_trunc('second', ts)::timestamp as happened_at,
-       '{"master_business_id":"' || user_id || '","lead":{"id":"lead-' || user_id || '"}}' as payload from events where event_type in ('view', 'purchase')""",
+    f"""select event_type as event_name, cast(event_id as varchar) as event_id, date_trunc('second', ts)::timestamp as happened_at,
+       '{{"master_business_id":"' || upper({_EVENT_BUSINESS}) || '","ip_address":"' || json_extract_string(props, '$.k') || '","lead":{{"id":"lead-' || user_id || '"}}}}' as payload
+       from events where event_type in ('view', 'purchase')""",
 )
 def _(t):
     return S.scan_event_archive(event_archives(t), ["view", "purchase"]).drop("file")
@@ -155,9 +167,10 @@ def _(t):
     data = t.lineitem.select(F.concat(F.lit("report-"), "l_suppkey").alias("file"), (F.lit(100) + F.monotonically_increasing_id()).alias("n"), text.alias("line"))
     tail = t.supplier.select(key.alias("file"), F.posexplode(F.array(F.lit(""), F.lit("Total,$1,1"))).alias("n", "line"))
     tail = tail.withColumn("n", F.col("n") + F.lit(9 * 10**18))
-    lines = tops.unionByName(data).unionByName(tail)
-    lines = lines.select("file", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("n").cast("bigint").alias("n")).alias("at"), "line")
-    return S.parse_sectioned_report(lines).drop("at")
+    lines = tops.unionByName(data).unionByName(tail).withColumn("n", F.col("n").cast("bigint"))
+    path = fresh_path(t.spark, "reports")
+    lines.repartition("file").sortWithinPartitions("file", "n").select("file", "line").write.partitionBy("file").text(path)
+    return S.scan_sectioned_report(t.spark, path).drop("at")
 
 
 @query("scan_all_text", "select cast(n_nationkey as varchar) as n_nationkey, n_name, cast(n_regionkey as varchar) as n_regionkey from nation")
@@ -173,13 +186,17 @@ def _(t):
 
 @query(
     "listing_features",
-    f"""select '{{"vin_ss":"' || {_VIN_DUCK} || '","options_texts":"' || l_returnflag || '|' || l_linestatus || '"}}' as payload, count(*) as n from lineitem group by 1""",
+    f"""select '{{"vin_ss":"' || {_VIN_DUCK} || '","options_texts":"' || l_returnflag || '|' || l_linestatus || '"}}' as payload, count(*) as n from lineitem where l_returnflag <> 'R' group by 1""",
 )
 def _(t):
-    rows = t.lineitem.selectExpr("lpad(cast(l_partkey as string), 8, 'V') || 'X' || lpad(cast(l_suppkey as string), 8, 'W') as vin_ss", "l_tax as other", "concat(l_returnflag, '|', l_linestatus) as options_texts")
-    raw = S.with_file(S.read_text_table(t.spark, _written(t, rows, "features")))
-    none = t.spark.createDataFrame([], G.LEDGER_SCHEMA)
-    fresh = G.rows_of_new_files(raw, none, "features")
+    # One folder per flag; the files of one were read before.
+    rows = t.lineitem.selectExpr("lpad(cast(l_partkey as string), 8, 'V') || 'X' || lpad(cast(l_suppkey as string), 8, 'W') as vin_ss", "l_tax as other", "concat(l_returnflag, '|', l_linestatus) as options_texts", "l_returnflag as flag")
+    path = fresh_path(t.spark, "features")
+    rows.write.partitionBy("flag").options(header=True, emptyValue="", compression="gzip").csv(path)
+    raw = S.read_text_table(t.spark, path, file=True)
+    read = raw.where("flag = 'R'").select("file", "last_modified").distinct()
+    ledger = G.record_files(t.spark.createDataFrame([], G.LEDGER_SCHEMA), read, "features", F.lit("2020-01-01").cast("timestamp"))
+    fresh = G.rows_of_new_files(raw, ledger, "features")
     return S.column_subset(fresh, S.FEATURE_COLUMNS, ["file"]).groupBy("payload").agg(F.count("*").alias("n"))
 
 
@@ -191,15 +208,41 @@ def _(t):
     return M.insert_if_absent(stored, rows, ["id"], "position")
 
 
-@query("snapshot_versions", "select year(o_orderdate)::integer as year, count(*) as n from orders group by 1")
+@query("snapshot_versions", "select year(o_orderdate)::integer as year, count(*) as n from orders where year(o_orderdate) >= 1998 group by 1")
 def _(t):
     path = fresh_path(t.spark, "versions")
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"))
     rows.write.partitionBy("year").option("header", True).csv(path)
+    for folder, _ in child_folders(t.spark, path):
+        if int(folder.rsplit("=", 1)[-1]) < 1998:
+            _aged(t.spark, folder, 1_577_836_800_000)  # 2020-01-01
     versions = S.snapshot_versions(t.spark, path, F.lit("2020-08-27").cast("timestamp"))
     return versions.groupBy("year").agg(F.count("*").alias("n"))
 
 
+def _aged(spark, folder: str, ms: int) -> None:
+    """Give the files of a folder another modification time."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(root):
+        system.setTimes(status.getPath(), ms, -1)
+
+
+@query(
+    "scan_mixed_headers",
+    """select cast(c_custkey as varchar) as id, c_name as name, c_mktsegment as segment, case when c_custkey % 3 = 2 then 'n' || c_nationkey end as note from customer where c_custkey % 3 <> 1
+       union all select cast(c_custkey as varchar), c_name, null, null from customer where c_custkey % 3 = 1""",
+)
+def _(t):
+    """Three kinds of files in one folder: all columns, one missing, and others in another order with one more."""
+    path = fresh_path(t.spark, "mixed")
+    id_, name, segment, note = "c_custkey as id", "c_name as name", "c_mktsegment as segment", "concat('n', c_nationkey) as note"
+    kinds = [[id_, name, segment], [id_, name], [note, segment, id_, name]]
+    for k, columns in enumerate(kinds):
+        t.customer.where(f"c_custkey % 3 = {k}").selectExpr(*columns).write.mode("append").option("header", True).csv(path)
+    return S.read_text_table(t.spark, path).select("id", "name", "segment", "note")
+
+
 # --- ledger ---------------------------------------------------------------
 
 
@@ -231,6 +274,21 @@ def _(t):
     return M.cascade_delete(rows, M.purge_ledger(_ledger(t), ["impressions"]))
 
 
+@query(
+    "ledger_publish",
+    "select l_returnflag as flag, count(*) as n from lineitem group by 1",
+)
+def _(t):
+    """Three deliveries, one after the other; the last one also brings the first's file again."""
+    rows_table, ledger_table = (f"forecourt_{x}_{uuid.uuid4().hex}" for x in ("rows", "ledger"))
+    rows = t.lineitem.select(F.col("l_returnflag").alias("file"), F.col("l_returnflag").alias("flag"), F.lit("2024-01-01").cast("timestamp").alias("last_modified"))
+    ledger = t.spark.createDataFrame([], G.LEDGER_SCHEMA)
+    for flags in (["A"], ["N"], ["R", "A"]):
+        G.publish_files(rows.where(F.col("file").isin(flags)), rows_table, ledger, ledger_table, "deliveries", F.lit("2024-01-02").cast("timestamp"))
+        ledger = t.spark.table(ledger_table)
+    return G.published(t.spark.table(rows_table), ledger).groupBy("flag").agg(F.count("*").alias("n"))
+
+
 # --- extracts -------------------------------------------------------------
 
 _LO, _HI = "1997-03-01", "1998-09-01"

@@ -47,7 +47,7 @@ def _scrapes(t, where):
     return M.dedupe_newest(rows, ["vin"], "status_date", [F.col("price"), F.col("miles")])
 
 
-_OLD, _NEW = "l_returnflag = 'R'", "l_returnflag = 'A'"
+_OLD, _NEW = "l_returnflag <> 'A'", "l_returnflag = 'A'"
 
 
 def _scrapes_sql(where):

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.vehicle import clean_source_domain
 from forecourt.operators.incremental import freshness_gate
+from forecourt.operators.merge import register_session
 from forecourt.plans import billing, catalog, health, inventory, leads as L, pricing
-from forecourt.session import materialize
+from forecourt.session import fresh_path, materialize
+from forecourt.sources.files import read_text_table
 from forecourt.standins.base import LEADS_SQL, LISTINGS_SQL, lead_flags, labelled, labels_sql, leads, listings, query
 from forecourt.standins.latests import FILTER_SQL, raw_listings
 from forecourt.standins.merges import JOBS_SQL, jobs
@@ -225,6 +227,40 @@ def _(t):
     return billing.saas_revenue_monthly(_invoice_items(t), _invoices(t), _subscriptions(t), _PRODUCTS)
 
 
+# Items with nine decimals: each event is one, and applies to the event a few before it, so that several
+# discounts of a kind meet one item.
+_EXACT = "cast(concat(cast(event_id % 50 + 1 as {text}), '.', lpad(cast((event_id * 7919) % 1000000000 as {text}), 9, '0')) as decimal({precision}))"
+_EXACT_TO = "case when event_id % 4 <> 0 then cast(event_id - event_id % 8 as {text}) end"
+_EXACT_NAME = "case event_id % 8 when 0 then 'Suite' when 4 then 'Reviews' when 1 then 'Discount' when 2 then 'DSP Discount' when 3 then 'SaaS Discount' when 5 then 'Discount' else 'Held Billing Discount' end"
+
+
+def _exact_sql():
+    kinds = {k: f"sum(case when chargename = '{v}' then chargeamount end) as {k}, greatest(count(*) filter (chargename = '{v}'), 1) as {k}_n" for k, v in billing.DISCOUNTS.items()}
+    items = f"""(select cast(event_id as varchar) as id, user_id, {_EXACT_NAME} as chargename, {_EXACT.format(text='varchar', precision='18, 9')} as chargeamount,
+      {_EXACT_TO.format(text='varchar')} as applied, date_trunc('month', ts)::timestamp as month from events)"""
+    copies = lambda *skip: " * ".join(f"coalesce({k}_n, 1)" for k in billing.DISCOUNTS if k not in skip)
+    money = {"price": f"chargeamount * cast({copies()} as decimal(9, 0))", **{k: f"coalesce({k}, 0) * cast({copies(k)} as decimal(9, 0))" for k in billing.DISCOUNTS}}
+    sums = [f"cast(cast(sum(case when chargename = '{c}' then {e} else 0 end) as decimal(38, 9)) as varchar) as {p}_{m}" for m, e in money.items() for p, c in (("suite", "Suite"), ("reviews", "Reviews"))]
+    return f"""with i as {items}, d as (select applied, {', '.join(kinds.values())} from i where applied is not null group by 1)
+      select case when c_nationkey > 3 then cast(c_nationkey as varchar) end as accountid, cast(i.user_id as varchar) as subscriptionid, month as servicestartdate, {', '.join(sums)}
+      from i {_POSTED_SQL.replace('user_id', 'i.user_id')} left join d on d.applied = i.id where i.chargename in ('Suite', 'Reviews') group by 1, 2, 3"""
+
+
+@query("saas_revenue_exact", _exact_sql())
+def _(t):
+    items = t.events.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("user_id").cast("string").alias("invoiceid"),
+        F.col("user_id").cast("string").alias("subscriptionid"),
+        F.expr(_EXACT_NAME).alias("chargename"),
+        F.expr(_EXACT.format(text="string", precision="38, 9")).alias("chargeamount"),
+        F.col("ts").alias("servicestartdate"),
+        F.expr(_EXACT_TO.format(text="string")).alias("appliedtoinvoiceitemid"),
+    )
+    out = billing.saas_revenue_monthly(items, _invoices(t), _subscriptions(t), {"suite": "Suite", "reviews": "Reviews"})
+    return out.select(*[F.col(f.name).cast("string") if f.dataType.typeName() == "decimal" else f.name for f in out.schema.fields])
+
+
 # --- inventory ------------------------------------------------------------
 
 
@@ -274,11 +310,11 @@ def _(t):
 
 
 # Customers are the clients of the supplier with their nation's number.
-_CLIENTS_SQL = "(select c_custkey as master_business_id, c_nationkey::bigint as dealer_id from customer where c_acctbal > 9000)"
+_CLIENTS_SQL = "(select c_custkey as master_business_id, c_nationkey::bigint as dealer_id from customer)"
 
 
 def _clients(t):
-    return t.customer.where("c_acctbal > 9000").select(F.col("c_custkey").alias("master_business_id"), F.col("c_nationkey").cast("bigint").alias("dealer_id"))
+    return t.customer.select(F.col("c_custkey").alias("master_business_id"), F.col("c_nationkey").cast("bigint").alias("dealer_id"))
 
 
 def _inventory_sql(days, where="true"):
@@ -489,6 +525,9 @@ def _(t):
     return pricing.training_status(_training(t)).select("vin", "price", "status")
 
 
+_RECORD_SQL = "slope, intercept, r2, size, body_type, msrp, mae, mse, observed, predicted, lo, hi"
+
+
 def _models_sql(rows=_ROWS_SQL):
     def tier(n, on, measured=True):
         test = "o.msrp between w.msrp - w.msrp * 0.05 and w.msrp + w.msrp * 0.05" if measured else "w.msrp is null"
@@ -504,22 +543,25 @@ def _models_sql(rows=_ROWS_SQL):
         tier(4, same("year", "make", "model", "trim"), False),
     ]
     return f"""(with fit as {_fit_sql(rows)}, o as (select * from fit where verdict = 3), w as (select * from fit where verdict <> 3),
-      e as (select {_G}, avg(abs(price - (intercept + slope * mileage))) as mae, min(price) as lo, max(price) as hi from {_flags_sql(rows)} f join o using ({_G}) where not (price_outlier or msrp_outlier) group by all),
+      e as (select {_G}, avg(abs(price - (intercept + slope * mileage))) as mae, avg(power(price - (intercept + slope * mileage), 2)) as mse,
+        avg(price) as observed, avg(intercept + slope * mileage) as predicted, min(price) as lo, max(price) as hi from {_flags_sql(rows)} f join o using ({_G}) where not (price_outlier or msrp_outlier) group by all),
       c as ({' union all '.join(tiers)}), r as (select *, row_number() over (partition by wy, wmk, wmd, wt, ws order by tier, diff, year, make, model, trim, style) as rn from c)
-      select {_G}, 0 as tier, null as match_make, null as match_year, slope, intercept, size, body_type, mae, lo, hi from o join e using ({_G})
-      union all select wy, wmk, wmd, wt, ws, tier, make, year, slope, intercept, size, body_type, mae, lo, hi from r join e using ({_G}) where rn = 1)"""
+      select {_G}, 0 as tier, {', '.join(f'null as match_{c.strip()}' for c in _G.split(','))}, {_RECORD_SQL} from o join e using ({_G})
+      union all select wy, wmk, wmd, wt, ws, tier, {_G}, {_RECORD_SQL} from r join e using ({_G}) where rn = 1)"""
 
 
 def _model_columns(rows):
-    return f"""select {_G}, tier, match_make, match_year::integer as match_year, round(slope, 6) as coefficient, round(intercept, 2) as intercept, size, body_type,
-      round(mae, 3) as mean_absolute_error, lo as minimum_list_price, hi as maximum_list_price from {_models_sql(rows)} m"""
+    return f"""select {_G}, tier, match_year::integer as match_year, match_make, match_model, match_trim, match_style, round(slope, 6) as coefficient, round(intercept, 2) as intercept,
+      round(r2, 6) as r2, size, body_type, round(msrp, 3) as msrp, round(mae, 3) as mean_absolute_error, round(mse / 1e6, 6) as mean_squared_error, round(observed, 3) as mean_observed_list_price,
+      round(predicted, 3) as mean_predicted_list_price, lo as minimum_list_price, hi as maximum_list_price from {_models_sql(rows)} m"""
 
 
 def _rounded_models(training):
     out = pricing.price_models(training)
-    rounded = {"coefficient": 6, "intercept": 2, "mean_absolute_error": 3}
-    plain = [*catalog.VEHICLE, "tier", "match_make", "match_year", "size", "body_type", "minimum_list_price", "maximum_list_price"]
-    return out.select(*plain, *[F.round(c, n).alias(c) for c, n in rounded.items()])
+    rounded = {"coefficient": 6, "intercept": 2, "r2": 6, "msrp": 3, "mean_absolute_error": 3, "mean_observed_list_price": 3, "mean_predicted_list_price": 3}
+    plain = [*catalog.VEHICLE, "tier", *[f"match_{c}" for c in catalog.VEHICLE], "size", "body_type", "minimum_list_price", "maximum_list_price"]
+    squared = F.round(F.col("mean_squared_error") / 1e6, 6).alias("mean_squared_error")
+    return out.select(*plain, squared, *[F.round(c, n).alias(c) for c, n in rounded.items()])
 
 
 @query("price_models", _model_columns(_ROWS_SQL))
@@ -560,6 +602,31 @@ def _(t):
     return _rounded_models(pricing.training_rows(listed, rows))
 
 
+@query("price_models_session", f"select session_id, count(*) as models from (select (select max(n_nationkey) + 1 from nation)::bigint as session_id, tier from {_models_sql()} m) x group by 1")
+def _(t):
+    """A run registers its session and names it in every row."""
+    known = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.lit("s").alias("schema"), F.lit("x").alias("script"), F.lit("{}").alias("payload"), F.lit(True).alias("validated"))
+    run = register_session(known, F.lit("s"), F.lit("models"), F.lit("{}")).agg(F.max("id")).scalar()
+    out = pricing.price_models(materialize(_training(t), "training"), run)
+    return out.groupBy("session_id").agg(F.count("*").alias("models"))
+
+
+@query(
+    "catalog_typed",
+    """select p_partkey::varchar as vin_pattern, p_partkey::integer as vehicle_id, 'CA' as market, (1990 + p_size)::integer as year, p_brand as make, p_type as model, p_name as trim, p_type as style, p_type as body_type,
+       case when p_size % 2 = 0 then p_retailprice end as msrp from part where 1990 + p_size >= 2000""",
+)
+def _(t):
+    """A catalog file, read and typed; rows of vehicles over twenty years old go."""
+    path = fresh_path(t.spark, "catalog")
+    row = {
+        "VIN_PATTERN": "p_partkey", "VEHICLE_ID": "p_partkey", "MARKET": "'CA'", "YEAR": "1990 + p_size", "MAKE": "p_brand", "MODEL": "p_type", "TRIM": "p_name", "STYLE": "p_type", "BODY_TYPE": "p_type",
+        "MSRP": "case when p_size % 2 = 0 then p_retailprice end",
+    }
+    t.part.selectExpr(*[f"{e} as {n}" for n, e in row.items()]).write.options(header=True, sep="\t", compression="gzip").csv(path)
+    return catalog.typed_catalog(read_text_table(t.spark, path, "\t"), F.lit(2020))
+
+
 def _published(t):
     return pricing.price_models(materialize(_training(t), "training")).withColumn("session_id", F.col("year").cast("bigint"))
 

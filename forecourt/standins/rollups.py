@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from forecourt.operators import aggregates as A
 from forecourt.operators import incremental as I
 from forecourt.plans import impressions, leads as L, reports as R
+from forecourt.standins.payloads import _UUID_DUCK
 from forecourt.standins.base import LEADS_SQL, LISTINGS_SQL, REPORTS_SQL, Tables, labelled, listings, query, reports, ts
 
 # --- accident-report rollups ---------------------------------------------
@@ -261,7 +262,7 @@ def _visit_feeds(t: Tables, unit: str):
     rows = t.lineitem.select(
         "l_returnflag", "l_linestatus", F.col("l_suppkey").alias("master_business_id"), F.col("l_shipdate").alias("happened_at"), F.col("l_partkey").alias("ip_address")
     )
-    pairs = [("A", "F"), ("A", "O"), ("N", "F"), ("R", "O")]
+    pairs = [(a, b) for a in "ANR" for b in "FO"]
     return [rows.where((F.col("l_returnflag") == a) & (F.col("l_linestatus") == b)).drop("l_returnflag", "l_linestatus") for a, b in pairs]
 
 
@@ -271,7 +272,7 @@ def _visits_sql(unit: str) -> str:
           from events where event_type in ('view', 'click', 'signup', 'purchase')"""
     else:
         rows = """select l_returnflag || l_linestatus as feed, l_suppkey as master_business_id, l_shipdate as happened_at, l_partkey as ip_address
-          from lineitem where l_returnflag || l_linestatus in ('AF', 'AO', 'NF', 'RO')"""
+          from lineitem"""
     return f"""with v as ({rows}), spans as (select feed, min(happened_at) as lo, max(happened_at) as hi from v group by 1),
       bounds as (select date_trunc('{unit}', min(lo)) as lo, date_trunc('{unit}', min(hi)) as hi from spans)
       select master_business_id, date_trunc('{unit}', happened_at)::timestamp as date, count(distinct ip_address) as impressions
@@ -286,6 +287,28 @@ for _name, _unit in {"daily": "day", "weekly": "week", "monthly": "month", "quar
     _impressions_query(_name, _unit)
 
 
+_RESUMED = "timestamp '2024-01-10'"
+
+
+@query(
+    "unique_impressions_resumed",
+    f"""with v as (select event_type as feed, {_UUID_DUCK.replace('c_custkey', 'user_id')} as master_business_id, date_trunc('second', ts) as happened_at, json_extract_string(props, '$.k') as ip_address
+          from events where event_type in ('view', 'click', 'signup', 'purchase')),
+      hi as (select date_trunc('day', min(hi)) as hi from (select max(happened_at) as hi from v group by feed) x)
+      select master_business_id, date_trunc('day', happened_at)::timestamp as date, count(distinct ip_address) as impressions
+      from v, hi where happened_at >= {_RESUMED} + interval 1 day and happened_at < hi.hi group by 1, 2""",
+)
+def _(t):
+    """Visitors out of landed payloads, from the day after the last one done."""
+    from forecourt.sources.files import scan_event_archive
+    from forecourt.standins.files import event_archives
+
+    events = scan_event_archive(event_archives(t), _FEED_TYPES)
+    feeds = [impressions.visits(events.where(F.col("event_name") == e)) for e in _FEED_TYPES]
+    done = t.events.where(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz")).select(F.date_trunc("day", "ts").alias("date"))
+    return impressions.unique_impressions(feeds, "day", done)
+
+
 @query(
     "multi_feed_barrier",
     """with spans as (select event_type, min(ts) as lo, max(ts) as hi from events where event_type in ('view', 'click', 'signup', 'purchase') group by 1)

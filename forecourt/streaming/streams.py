@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from forecourt.functions.periods import period_start
-from forecourt.operators.merge import dedupe_newest, upsert_replace
-from forecourt.sources.sinks import replace_table, upsert_partitions
+from forecourt.operators.merge import dedupe_newest
+from forecourt.sources.versions import BUCKETS, prune_versions, upsert_version
 
 LATE = "3 days"
 
@@ -71,9 +71,10 @@ def distinct_visits(stream: DataFrame, ts: str, keys: Sequence[str], value: str,
 
 
 def union_feeds(feeds: Sequence[DataFrame], ts: str, late: str = LATE) -> DataFrame:
-    """Union of streams, each with its own watermark; the slowest decides what is closed."""
-    spark = feeds[0].sparkSession
-    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    """Union of streams, each with its own watermark; the slowest decides what is closed.
+
+    That is Spark's default policy, which ``session.tune`` states too.
+    """
     marked = [f.withWatermark(ts, late) for f in feeds]
     out = marked[0]
     for f in marked[1:]:
@@ -86,29 +87,29 @@ def _each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], chec
     return writer.foreachBatch(apply).start()
 
 
-def upsert_stream(stream: DataFrame, table: str, keys: Sequence[str], ts: str, checkpoint: str, ties: Sequence[Column] = ()) -> StreamingQuery:
-    """Upsert each micro-batch into a keyed table, newest row per key, by staged swap.
+def upsert_stream(stream: DataFrame, root: str, keys: Sequence[str], ts: str, checkpoint: str, ties: Sequence[Column] = (), buckets: int = BUCKETS, keep: int = 2) -> StreamingQuery:
+    """Upsert each micro-batch into a keyed table of buckets, newest row per key.
 
-    A repeated batch gives the same table, so a retry after a failure is safe.
+    A batch rewrites only the buckets its keys fall into and appears at once
+    (``sources.versions``); a retry after a failure changes nothing twice. The
+    newest ``keep`` versions stay. Read with ``read_version``.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
+    def apply(batch: DataFrame, epoch: int) -> None:
         one = dedupe_newest(batch, keys, ts, ties).persist()
-        if spark.catalog.tableExists(table):
-            replace_table(upsert_replace(spark.table(table), one, keys), table)
-        else:
-            replace_table(one, table)
+        upsert_version(one, root, keys, f"{checkpoint}#{epoch}", buckets)
         one.unpersist()
+        prune_versions(batch.sparkSession, root, keep)
 
     return _each_batch(stream, apply, checkpoint, "append")
 
 
-def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], path: str, checkpoint: str, late: str = LATE, out: str = "n") -> StreamingQuery:
-    """Daily counts kept current while late rows arrive, in a folder partitioned by date.
+def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], root: str, checkpoint: str, late: str = LATE, out: str = "n", keep: int = 2) -> StreamingQuery:
+    """Daily counts kept current while late rows arrive, in a table of one bucket per day.
 
-    Each batch rewrites only the days it changed. Rows later than ``late`` are
-    dropped, as by a job that re-reads that span.
+    Each batch rewrites only the days it changed and appears at once; the newest
+    ``keep`` versions stay. Rows later than ``late`` are dropped, as by a job
+    that re-reads that span. Read with ``read_version``.
     """
     days = stream.withColumn("_day", F.date_trunc("day", ts)).withWatermark("_day", late)
     counts = days.groupBy(*keys, F.col("_day").alias("date")).agg(F.count("*").alias(out))
@@ -117,20 +118,8 @@ def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], path: str, chec
     def apply(batch: DataFrame, epoch: int) -> None:
         # The batch is read for its days and for its rows; keep it, or its state is read twice.
         batch.persist()
-        if _has_rows(batch.sparkSession, path):
-            upsert_partitions(batch, path, [*keys, "date"], "date")
-        else:
-            batch.write.mode("overwrite").partitionBy("date").parquet(path)
+        upsert_version(batch, root, [*keys, "date"], f"{checkpoint}#{epoch}", bucket_of="date")
         batch.unpersist()
+        prune_versions(batch.sparkSession, root, keep)
 
     return _each_batch(counts, apply, checkpoint, "update")
-
-
-def _has_rows(spark: SparkSession, path: str) -> bool:
-    """Whether the folder holds Parquet files yet."""
-    try:
-        return len(spark.read.parquet(path).columns) > 0
-    except Exception as missing:  # the first batch of a new folder
-        if "UNABLE_TO_INFER_SCHEMA" in str(missing) or "PATH_NOT_FOUND" in str(missing):
-            return False
-        raise

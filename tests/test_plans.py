@@ -1,11 +1,13 @@
 import random
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from forecourt.functions.payload import typed_view
-from forecourt.operators.spread import HOT_ROWS
+from forecourt.operators.joins import not_seen_before
+from forecourt.operators.spread import with_group_stats
 from forecourt.plans import billing, catalog, health, impressions, inventory, leads as L, pricing
 from forecourt.plans.specs import view_spec
 from forecourt.standins import QUERIES
@@ -90,8 +92,9 @@ def test_unique_impressions_resume_after_done(spark):
     assert [(r.date.month, r.impressions) for r in got] == [(1, 2), (2, 2)]
     done = spark.createDataFrame([(datetime(2024, 1, 1),)], "date timestamp")
     assert [r.date.month for r in impressions.unique_impressions([feed], "month", done).collect()] == [2]
-    raw = spark.createDataFrame([(datetime(2024, 1, 1), '{"master_business_id":"b","ip_address":"9"}')], "happened_at timestamp, payload string")
-    assert tuple(impressions.visits(raw).first()) == ("b", datetime(2024, 1, 1), "9")
+    u = "0A1B2C3D-0000-4000-8000-000000000001"
+    raw = spark.createDataFrame([(datetime(2024, 1, 1), f'{{"master_business_id":"{x}","ip_address":"9"}}') for x in (u, "b")], "happened_at timestamp, payload string")
+    assert [tuple(r) for r in impressions.visits(raw).collect()] == [(u.lower(), datetime(2024, 1, 1), "9"), (None, datetime(2024, 1, 1), "9")]
 
 
 def test_lead_view_chain(spark):
@@ -136,8 +139,68 @@ def test_windows_push_down_to_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,ScalarSubquery" in plan and "LessThan(o_orderdate,2001-06-30" in plan
 
 
-def test_hot_limit_is_a_task_sized_group():
-    assert 10_000 <= HOT_ROWS <= 10_000_000
+def _reads(df):
+    """Scans of the plan as planned, before Spark reuses any."""
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+
+@pytest.mark.parametrize("name, most", [("client_dealer_new", 8), ("training_status", 4), ("upsert_newest", 2)])
+def test_costly_inputs_are_planned_once(spark, name, most):
+    assert _reads(QUERIES[name](spark, SF)) <= most
+
+
+def test_training_set_runs_no_job_while_it_is_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "")
+    catalog.training_set(_no_listings(spark), catalog.catalog_clean(_no_catalog(spark)))
+    jobs = tracker.getJobIdsForGroup("plan-only")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def _no_listings(spark):
+    return spark.range(3).selectExpr("cast(id as string) vin", "'P' taxonomy_vin", "'t' trim_orig", "1D miles", "2D price", "timestamp'2024-01-01' status_date")
+
+
+def _no_catalog(spark):
+    return spark.range(3).selectExpr("'P' vin_pattern", "2020 year", "'m' make", "'m' model", "'t' trim", "'s' style", "'b' body_type", "3D msrp", "'CA' market")
+
+
+def test_hot_keys_split_or_salt(spark):
+    """Two thirds of the rows on one key, no broadcast: the final plan splits the join or holds a salt."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(300_000).selectExpr("if(id % 3 = 0, id % 997, 1000) as k", "id as v", "timestamp'2024-01-01' as ts", "uuid() as u")
+        stats = with_group_stats(rows, ["k"], F.avg("v").alias("m"))
+        seen = not_seen_before(rows, rows.select("k", "ts"), ["k"], "ts", 3)
+        for df in (stats, seen):
+            df.agg(F.max("v"), F.max("u")).collect()
+            big = df.agg(F.sum("v"), F.max("u"))
+            big.collect()
+            plan = big._jdf.queryExecution().executedPlan().toString()
+            assert "skew=true" in plan or "_salt" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_amounts_keep_nine_decimals_or_fail(spark):
+    item = "id string, invoiceid string, subscriptionid string, chargename string, chargeamount decimal(38,9), servicestartdate timestamp, appliedtoinvoiceitemid string"
+    invoices = spark.createDataFrame([("i1", "Posted", False)], "id string, status string, reversed boolean")
+    subs = spark.createDataFrame([("s1", "a1")], "id string, creatoraccountid string")
+
+    def price(*amounts):
+        rows = [(str(k), "i1", "s1", "Suite" if k == 0 else "Discount", Decimal(a), datetime(2024, 1, 5), "0" if k else None) for k, a in enumerate(amounts)]
+        return billing.saas_revenue_monthly(spark.createDataFrame(rows, item), invoices, subs, {"suite": "Suite"}).first()
+
+    assert price("1.123456789").suite_price == Decimal("1.123456789")
+    three = price("1.123456789", "0.000000001", "0.000000002", "0.1")
+    assert three.suite_price == Decimal("3.370370367") and three.suite_discount == Decimal("0.100000003")
+    with pytest.raises(Exception, match="out of range"):
+        price("12345678901234567890123456789")
 
 
 def test_inventory_gate_and_dealers(spark):

@@ -2,10 +2,12 @@ import gzip
 import json
 import zipfile
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from forecourt.functions import payload as P
 from forecourt.session import materialize
 from forecourt.sources import extracts, files as S, ledger as G, sinks as K
 
@@ -110,12 +112,12 @@ def test_versions_and_modified_after(spark, tmp_path):
 def test_ledger_reads_each_file_once(spark, tmp_path):
     write_listings(tmp_path / "v1.csv.gz", {})
     ledger = spark.createDataFrame([], G.LEDGER_SCHEMA)
-    raw = S.with_file(S.read_text_table(spark, str(tmp_path)))
+    raw = S.read_text_table(spark, str(tmp_path), file=True)
     fresh = G.new_files(raw.select("file", "last_modified").distinct(), ledger, "job")
     ledger = materialize(G.record_files(ledger, fresh, "job", F.lit("2024-01-01").cast("timestamp")), "ledger")
     assert G.with_file_id(raw, ledger, "job").count() == 1
     write_listings(tmp_path / "v2.csv.gz", {}, {"id": "8"})
-    raw = S.with_file(S.read_text_table(spark, str(tmp_path)))
+    raw = S.read_text_table(spark, str(tmp_path), file=True)
     assert G.rows_of_new_files(raw, ledger, "job").count() == 2
     assert G.rows_of_new_files(raw, ledger, "other").count() == 3
     listing = raw.select("file", "last_modified").distinct()
@@ -144,3 +146,69 @@ def test_upsert_partitions_touches_only_its_days(spark, tmp_path):
     got = sorted((r.k, r.p, r.v) for r in spark.read.parquet(path).collect())
     assert got == [(1, "a", 1), (2, "a", 9), (3, "b", 1), (4, "c", 9)]
     assert {f.name for f in (tmp_path / "t" / "p=b").iterdir()} == before
+
+
+def test_columns_go_by_each_files_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,city\n1,x\n2,\n")
+    (tmp_path / "b.csv").write_text("city,id\ny,3\n")
+    (tmp_path / "c.csv").write_text("id,more\n4,m\n5\n6,n,o\n")
+    (tmp_path / "d.csv").write_text("")
+    got = S.read_text_table(spark, str(tmp_path))
+    assert sorted((r.id, r.city, r.more) for r in got.collect() if r.id < "5") == [("1", "x", None), ("2", None, None), ("3", "y", None), ("4", None, "m")]
+    broken = {r.file.rsplit("/", 1)[-1]: r.broken for r in S.count_broken(spark, str(tmp_path)).collect()}
+    assert broken == {"a.csv": 0, "b.csv": 0, "c.csv": 2}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_text_table(spark, str(tmp_path), strict=True).collect()
+    with pytest.raises(ValueError):
+        S.read_text_table(spark, str(tmp_path / "d.csv"))
+
+
+def test_broken_event_lines_are_counted_or_fail(spark):
+    lines = spark.createDataFrame([("f", '{"event_name":"a","event_id":"1"}'), ("f", "{broken"), ("f", " "), ("g", "{}")], "file string, line string")
+    assert S.parse_events(lines, ["a"]).count() == 1
+    assert {r.file: r.broken for r in S.count_broken_events(lines).collect()} == {"f": 1, "g": 0}
+    with pytest.raises(Exception, match="not an event"):
+        S.parse_events(lines, ["a"], strict=True).collect()
+
+
+def test_rejects_count_lost_digits(spark):
+    spec = P.ViewSpec((), P.parse_fields("n:numeric"))
+    rows = spark.createDataFrame([(f'{{"n":"{n}"}}',) for n in ("1.123456789", "1.1234567891", "1.1000000000", "x", "")], "payload string")
+    assert P.count_rejects(rows, spec).first().rejects == 2
+    with pytest.raises(Exception, match="numeric"):
+        P.typed_view(rows.limit(2), spec, strict=True).collect()
+
+
+def test_publish_survives_a_stop_between_rows_and_ledger(spark, tmp_path, monkeypatch):
+    for t in ("pub_rows", "pub_ledger"):
+        spark.sql(f"drop table if exists {t}")
+    now = F.lit("2024-01-02").cast("timestamp")
+    rows = spark.createDataFrame([("a", datetime(2024, 1, 1), 1), ("a", datetime(2024, 1, 1), 2), ("b", datetime(2024, 1, 1), 3)], "file string, last_modified timestamp, v int")
+    none = spark.createDataFrame([], G.LEDGER_SCHEMA)
+    real = K.replace_table
+
+    def stops(df, table, base=None):
+        if table == "pub_ledger":
+            raise RuntimeError("stopped")
+        real(df, table, base)
+
+    monkeypatch.setattr(G, "replace_table", stops)
+    with pytest.raises(RuntimeError):
+        G.publish_files(rows, "pub_rows", none, "pub_ledger", "job", now, str(tmp_path))
+    assert G.published(spark.table("pub_rows"), none).count() == 0
+    monkeypatch.setattr(G, "replace_table", real)
+    G.publish_files(rows, "pub_rows", none, "pub_ledger", "job", now, str(tmp_path))
+    again = rows.unionByName(rows.limit(1).withColumn("file", F.lit("c")))
+    G.publish_files(again, "pub_rows", spark.table("pub_ledger"), "pub_ledger", "job", now, str(tmp_path))
+    assert sorted(r.v for r in G.published(spark.table("pub_rows"), spark.table("pub_ledger")).collect()) == [1, 1, 2, 3]
+
+
+def test_scratch_folder_must_be_named_and_is_pruned(spark):
+    from forecourt.session import fresh_path, prune_scratch, scratch_root
+
+    path = fresh_path(spark, "old")
+    spark.range(1).write.parquet(path)
+    assert prune_scratch(spark, 10**15, 10**15) == []
+    assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+    with pytest.raises(ValueError):
+        scratch_root(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default)))

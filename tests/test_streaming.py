@@ -1,5 +1,8 @@
 from datetime import datetime, timedelta
 
+import pytest
+
+from forecourt.sources import versions as V
 from forecourt.streaming import streams as R
 
 SCHEMA = "id int, k string, ts timestamp"
@@ -41,17 +44,53 @@ def test_late_counts_equal_batch(spark, tmp_path):
     for batch in ([(1, "a", 0), (2, "b", 1)], [(3, "a", 0.2), (4, "a", 1)], [(5, "a", 1.5)]):
         drop(spark, src, *batch)
         R.late_counts(R.file_stream(spark, src, SCHEMA), "ts", ["k"], out, check).awaitTermination()
-    got = {(r.k, r.date.day): r.n for r in spark.read.parquet(out).select("k", "date", "n").collect()}
+    got = {(r.k, r.date.day): r.n for r in V.read_version(spark, out, "k string, date date, n bigint").collect()}
     assert got == {("a", 1): 2, ("a", 2): 2, ("b", 2): 1}
 
 
 def test_upsert_stream_keeps_newest(spark, tmp_path):
-    spark.sql("drop table if exists upserted")
-    src, check = str(tmp_path / "src"), str(tmp_path / "check")
-    for batch in ([(1, "a", 0), (2, "b", 0)], [(3, "a", 2), (4, "a", 1)]):
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    for batch in ([(1, "a", 0), (2, "b", 0)], [(3, "a", 2), (4, "a", 1)], [(5, "c", 0)], [(6, None, 0)]):
         drop(spark, src, *batch)
-        R.upsert_stream(R.file_stream(spark, src, SCHEMA), "upserted", ["k"], "ts", check).awaitTermination()
-    assert {r.k: r.id for r in spark.table("upserted").collect()} == {"a": 3, "b": 2}
+        R.upsert_stream(R.file_stream(spark, src, SCHEMA), out, ["k"], "ts", check).awaitTermination()
+    assert {r.k: r.id for r in V.read_version(spark, out, SCHEMA).collect()} == {"a": 3, "b": 2, "c": 5, None: 6}
+    assert len(V.versions(spark, out)) == 2
+
+
+def test_a_stop_between_write_and_swap_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    run = lambda: R.upsert_stream(R.file_stream(spark, src, SCHEMA), out, ["k"], "ts", check).awaitTermination()
+    drop(spark, src, (1, "a", 0), (2, "b", 0))
+    run()
+    real = V._escaped
+
+    def stops(value):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(V, "_escaped", stops)
+    drop(spark, src, (3, "a", 1))
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    monkeypatch.setattr(V, "_escaped", real)
+    seen = lambda: {r.k: r.id for r in V.read_version(spark, out, SCHEMA).collect()}
+    assert seen() == {"a": 1, "b": 2}
+    run()
+    assert seen() == {"a": 3, "b": 2}
+
+
+def test_versions_repeat_buckets_and_retention(spark, tmp_path):
+    out = str(tmp_path / "t")
+    put = lambda tag, *rows, **kw: V.upsert_version(spark.createDataFrame(rows, "k string, v int"), out, ["k"], tag, **kw)
+    seen = lambda **kw: {r.k: r.v for r in V.read_version(spark, out, "k string, v int", **kw).collect()}
+    assert seen() == {}
+    put("a", ("x/y", 1), ("x=y", 2), ("%", 3), bucket_of="k")
+    put("b", ("x/y", 4), bucket_of="k")
+    put("b", ("x/y", 9), bucket_of="k")  # the same batch once more
+    assert seen() == {"x/y": 4, "x=y": 2, "%": 3} and seen(version=0) == {"x/y": 1, "x=y": 2, "%": 3}
+    put("c", ("z", 5), bucket_of="k")
+    gone = V.prune_versions(spark, out, keep=1)
+    assert V.versions(spark, out) == [2] and seen() == {"x/y": 4, "x=y": 2, "%": 3, "z": 5}
+    assert [g for g in gone if "/manifest/" in g] == [f"{out}/manifest/{v}" for v in (0, 1)]
 
 
 def test_distinct_visits_and_calendar(spark, tmp_path):
