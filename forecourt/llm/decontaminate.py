@@ -19,6 +19,9 @@ from forecourt.llm.common import UPPER, ascii_lower, query, spare, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+# The same words in a text whose A-Z are not lower-cased yet.
+CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+CASED_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 SIZE = 10
 # A window row takes about 300 bytes; up to this many are broadcast, more are joined by shuffling.
 BROADCAST_WINDOWS = 200_000
@@ -107,8 +110,8 @@ def n_hit(spans: Column) -> Column:
 
 def without_spans(text: Column, spans: Column) -> Column:
     """``text`` without the words in ``spans``, each with the gap after it."""
-    lead = F.regexp_extract(text, f"^{GAP}*", 0)
-    word = F.regexp_extract_all(text, F.lit(f"{WORD}+{GAP}*"), F.lit(0))
+    lead = F.regexp_extract(text, f"^{CASED_GAP}*", 0)
+    word = F.regexp_extract_all(text, F.lit(f"{CASED_WORD}+{CASED_GAP}*"), F.lit(0))
     kept = F.filter(word, lambda w, i: ~F.exists(spans, lambda s: (i >= s["a"]) & (i < s["b"])))
     return F.concat(lead, F.array_join(kept, ""))
 

@@ -66,6 +66,38 @@ def test_spans_go_and_clean_rows_stay(docs, bench):
     assert (9, "y " * 30000, 60000) in texts
 
 
+def brute_cut(text, items, size=10):
+    """``text`` without its hit words, each with the gap after it; words are found letter by letter."""
+    word = lambda c: c.isascii() and c.isalnum() or ord(c) > 127
+    begins = [k for k, c in enumerate(text) if word(c) and not (k and word(text[k - 1]))]
+    pieces = [text[a:b] for a, b in zip(begins, begins[1:] + [len(text)])]
+    cut = lambda t: re.findall(D.WORD + "+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    w, hit = cut(text), set()
+    assert len(w) == len(pieces)
+    for _, t in items:
+        v = cut(t)
+        m = min(size, len(v))
+        grams = {tuple(v[i : i + m]) for i in range(len(v) - m + 1)} if m else set()
+        hit.update(k for i in range(len(w) - m + 1) if m and tuple(w[i : i + m]) in grams for k in range(i, i + m))
+    return text[: begins[0]] + "".join(p for k, p in enumerate(pieces) if k not in hit)
+
+
+def test_capitals_stay_with_their_words(docs, bench, by_id):
+    filler = "I saw A Big NASA iPhone, OK? And then We went Home to Zürich É ÉTÉ McDonald X2 2X W"
+    rows = [
+        (1, f"{filler} {LONG} {filler}"),
+        (2, f"  «{filler}» {LONG.title()}! {filler}"),
+        (3, f"...{LONG.upper()}; {filler} {filler}"),
+        (4, f"{filler} {filler} -- oNe Two THREE fOUR Five sIx Seven EIGHT nine TEN Eleven TWELVE"),
+        (5, f"{filler}\nSHORT iTem\n{filler}"),
+        (6, f"{filler} and {LONG.replace('five', 'FIVES')} and {filler}"),
+    ]
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
+    want = {i: brute_cut(t, items) for i, t in rows}
+    assert want[5] == f"{filler}\n{filler}" and want[6] == rows[5][1]
+    assert by_id(D.decontaminate(docs(rows), bench), "text") == want
+
+
 def test_empty_tables(docs, bench):
     assert D.decontaminate(docs([]), bench).count() == 0
     clean = D.verdicts(docs(ROWS), bench.limit(0)).collect()
