@@ -178,7 +178,7 @@ def _sent_heads(block: Block, buckets: int) -> pa.Table:
             kept = np.flatnonzero(odd).astype(np.int32)
             narrow = gaps[1:].max(initial=0) < 1 << 32
             tail = gaps[1:].astype(np.uint32 if narrow else np.uint64)
-            count = np.minimum(number[part][odd], 1 << 15).astype(np.int16) * np.where(several[part][odd], 1, -1).astype(np.int16)
+            count = number[part][odd].astype(np.int32) * np.where(several[part][odd], 1, -1).astype(np.int32)
             out.append((b, block.block, narrow, _pack(gaps[:1], tail, kept, count)))
     return _rows(out, ["bucket", "block", "narrow", "heads"], [pa.int32(), pa.int64(), pa.bool_(), pa.binary()])
 
@@ -187,7 +187,7 @@ def _answered_heads(sent: pa.Table) -> pa.Table:
     """For each block: 1 where a head is shared, 2 where it is hot, 0 elsewhere."""
     heads, numbers, flags, sizes = [], [], [], []
     for narrow, blob in zip(sent["narrow"].to_pylist(), sent["heads"].to_pylist()):
-        first, gaps, at, count = _unpack(blob, np.uint64, np.uint32 if narrow else np.uint64, np.int32, np.int16)
+        first, gaps, at, count = _unpack(blob, np.uint64, np.uint32 if narrow else np.uint64, np.int32, np.int32)
         head = np.cumsum(np.concatenate((first, gaps.astype(np.uint64))), dtype=np.uint64)
         number = np.ones(len(head), np.int64)
         number[at] = np.abs(count)

@@ -94,6 +94,17 @@ def test_hot_heads_small_batches_and_slices_change_nothing(monkeypatch, hot):
     assert kinds == {0: {"s", "c"}, 2: {"r", "s", "c"}, 10**9: {"r", "c"}}[hot]
 
 
+@pytest.mark.parametrize("runs", [32767, 32768, 65536, 98304])
+def test_many_runs_of_a_head_in_one_block_alone(runs):
+    """Each byte of a text of blanks is a run of one head; the block's runs of it add up to ``runs``."""
+    half = runs // 2
+    rows = [(1, " " * (half + X.SPAN - 1)), (2, " " * (runs - half + X.SPAN - 1)), (3, "of its own: " + "".join(map(str, range(60))))]
+    got, kinds = local(rows, 1, 4)
+    assert kinds == {"s", "c"}
+    assert [r[2] for r in got] == [0, len(rows[1][1]), 0]
+    assert got == brute(rows)
+
+
 def test_family_levels_grow_geometrically():
     import numpy as np
 
