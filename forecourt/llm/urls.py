@@ -8,8 +8,9 @@ Pages without a rule get their host's verdict. Seeds are the pages that rules de
 allowed pages, its distrust mass its blocked ones, over all decided pages. Trust is a personalised PageRank along
 links from the trusted seeds; distrust is one against the links from the blocked seeds. Mass at a host without
 further links is not passed on. A host whose distrust exceeds ``ratio`` times its trust is blocked; a host that
-neither reaches is allowed. Links are aggregated to one weighted edge per pair of hosts; only sums per host are
-shuffled in a round, and only two numbers per round reach the driver.
+neither reaches is allowed. Masses are compared relatively, so verdicts don't depend on how many other pages there
+are. Links are aggregated to one weighted edge per pair of hosts; only sums per host are shuffled in a round, and only
+one number per round reaches the driver.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule, and is allowed; a null html
 has no links; repeated pages count as often as they occur; an empty table gives no rows; further columns are left
@@ -35,7 +36,11 @@ RULES = [
 DAMPING = 0.85
 ROUNDS = 20
 RATIO = 1.0
-#: Masses are compared after rounding to this many places.
+#: Masses whose ratio is this close to 1 are equal, whatever their size.
+EQUAL = 1e-9
+#: Rounds end when no host's mass changes by more than this share of it.
+SETTLED = 1e-12
+#: The SQL rounds masses to this many places, which is the same while none is that small.
 PLACES = 12
 
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*([^"'\s>]+)"""
@@ -82,15 +87,17 @@ def spread_masses(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING,
     distrust = edges.join(into, "dst").select(*arc("distrust", "dst", "src"))
     arcs = materialize(trust.unionByName(distrust), "host-arcs")
     seeds = materialize(seeds, "host-seeds")
-    masses, before = seeds, None
+    masses = seeds
     for _ in range(rounds):
         moved = arcs.join(masses, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("share") * F.col("mass") * damping).alias("mass"))
         stay = seeds.withColumn("mass", F.col("mass") * (1 - damping))
-        masses = materialize(moved.unionByName(stay).groupBy("kind", "host").agg(F.sum("mass").alias("mass")), "host-masses")
-        now = masses.agg(F.round(F.sum("mass"), 15), F.round(F.sum(F.col("mass") * F.col("mass")), 15)).first()
-        if now == before:
+        new = moved.unionByName(stay).withColumn("was", F.lit(0.0))
+        old = masses.select("kind", "host", F.lit(0.0).alias("mass"), F.col("mass").alias("was"))
+        both = new.unionByName(old).groupBy("kind", "host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was"))
+        both = materialize(both, "host-masses")
+        masses = both.select("kind", "host", "mass")
+        if not both.where(F.abs(F.col("mass") - F.col("was")) > F.col("mass") * SETTLED).agg(F.count("*")).first()[0]:
             break
-        before = now
     return masses
 
 
@@ -107,8 +114,8 @@ def judge(pages: DataFrame, rules: DataFrame, damping: float = DAMPING, rounds:
     kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust")
     seeds = decided.select(kind.alias("kind"), "host", (F.col("n") / F.lit(total)).alias("mass"))
     masses = spread_masses(seeds, host_edges(pages.select(host_of(F.col("url")).alias("host"), "html")), damping, rounds)
-    of = lambda k: F.round(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0)), PLACES)
-    blocked = masses.groupBy("host").agg(of("trust").alias("t"), of("distrust").alias("d")).where(F.col("d") > F.col("t") * ratio)
+    of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0))
+    blocked = masses.groupBy("host").agg(of("trust").alias("t"), of("distrust").alias("d")).where(F.col("d") > F.col("t") * ratio * (1 + EQUAL))
     spread = blocked.select("host", F.lit("block").alias("host_verdict"))
     return ruled.join(spread, "host", "left").select(
         "page_id",

@@ -53,6 +53,20 @@ def test_trust_and_distrust_spread_over_links(spark):
     assert blocked == {("bad.com", "/de/1"), ("bad.com", "/x"), ("farm.net", "/"), ("feeder.net", "/"), ("both.com", "/de/1")}
 
 
+def test_verdicts_do_not_depend_on_how_small_masses_are(spark):
+    """Four hosts in a row, each with a ten-thousandth of the links to the next; with and without many other pages."""
+    names = ["bad.com", "a.net", "b.net", "c.net", "d.net"]
+    rows = [("http://bad.com/de/1", None)]
+    for to, own in zip(names, names[1:]):
+        rows += [(f"http://{own}/", f"<a href='http://{to}/'>x</a>"), (f"http://crowd-{own}/", f"<a href='http://{to}/'>x</a>" * 9999)]
+    rows += [("http://both.com/de/1", None), ("http://both.com/fr/1", None), ("http://near.net/", "<a href='http://both.com/'>x</a>")]
+    few = judged(spark, rows)
+    blocked = {h for h, _, _, v in few if v == "block"}
+    assert blocked == {"both.com", *names, *(f"crowd-{n}" for n in names[1:])} | {"near.net"}
+    many = judged(spark, rows + [("http://other.org/", None)] * 20000)
+    assert many[: len(rows)] == few
+
+
 def test_masses_equal_plain_iteration(spark):
     edges = [("a", "b", 2), ("a", "c", 1), ("b", "a", 1), ("c", "a", 3), ("d", "c", 1)]
     seeds = [("trust", "a", 0.5), ("distrust", "c", 0.5)]
