@@ -4,7 +4,8 @@ Words are runs of letters and digits, lower-cased. A pair of adjacent words that
 seed; a seed at text word p and template word i puts the template's start at p - i. For each start so proposed, the
 window of the text that the template can fill there, a quarter of its length longer, is aligned to the template:
 equal ends are matched, words that occur once in both are anchors, the longest increasing run of anchors is kept, and
-the gaps between them are aligned in the same way. The coverage is the share of the template's words that are matched.
+the gaps between them are aligned in the same way; a gap without such words gives its longest common subsequence, so that
+what is found does not hang on where the window ends. The coverage is the share of the template's words that are matched.
 
 Windows with too few different seeds for the wanted coverage are not aligned: of m matched words, at most L - m
 neighbours are parted by missing words and at most len(window) - m by inserted ones, so at least
@@ -116,9 +117,20 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
             i, j = x + 1, y + 1
         if anchors:
             todo.append((i, m, j, n))
+        else:
+            out += common(a, b, i, m, j, n)
     return sorted(out)
 
 
+def common(a: list[str], b: list[str], i: int, m: int, j: int, n: int) -> list[tuple[int, int]]:
+    """A longest common subsequence of ``a[i:m]`` and ``b[j:n]``: the longest increasing run over all equal places."""
+    place = defaultdict(list)
+    for y in range(n - 1, j - 1, -1):
+        place[b[y]].append(y)
+    both = [(x, y) for x in range(i, m) for y in place.get(a[x], ())]  # descending within a word, so none is taken twice
+    return [both[k] for k in increasing([y for _, y in both])]
+
+
 class Scanner:
     """Finds templates in word lists."""
 

@@ -6,8 +6,9 @@ and encoded by a small layer; gated attention gives each passage a weight, and t
 scored. Labels are known per document only: encoder, attention and score are trained together from them.
 
 Training reads at most ``TRAIN`` labelled documents (those of the lowest hash of their id, so the same ones each
-time), whose passage numbers come to the driver: the bound is the parameter, whatever the size of the tables. Scoring
-runs in every task with the trained weights; text is the only input of a score.
+time) and of these, in that order, as many whole ones as hold at most ``TRAIN_BYTES`` of text; one of over a sixteenth
+of that teaches nothing. Their passage numbers come to the driver: the bounds are the parameters, whatever the size of
+the tables. Scoring runs in every task with the trained weights; text is the only input of a score.
 
 Defined cases: a null or empty text is one passage of zeros; a passage is never shared by two documents; labels that
 are null are left out, of several labels of a document the mean counts; without any label the score is 0.5 and
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,7 @@ from forecourt.llm.common import query, spare, table, together
 
 PASSAGE = 64
 TRAIN = 6000
+TRAIN_BYTES = 48 << 20
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2
 HIDDEN, GATE = 24, 12
@@ -91,7 +93,8 @@ def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((word, passage))
     fresh = np.concatenate(([True], (word[order][1:] != word[order][:-1]) | (passage[order][1:] != passage[order][:-1])))
     different = np.bincount(passage[order], fresh, total)
-    n = np.maximum(1, np.bincount(passage, minlength=total))
+    held = np.bincount(passage, minlength=total)
+    n = np.maximum(1, held)
     bytes_ = np.maximum(1, np.bincount(passage, size, total))
     share = lambda values, of=n: np.bincount(passage, values, total) / of
     shapes = [
@@ -108,7 +111,7 @@ def passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         share(same),
         different / n,
         np.minimum(1, share(size) / 32),
-        np.minimum(1, n / PASSAGE),
+        np.minimum(1, held / PASSAGE),
     ]
     out[:, :SHAPES] = np.stack(shapes, axis=1)
     keep = np.repeat(passage, stop - start) * 129 + _CHAR[data[letters]]
@@ -186,11 +189,15 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN) -> Weights | None:
-    """Weights from the labelled documents outside the held-out fold, ``limit`` of them at most."""
+def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN, limit_bytes: int = TRAIN_BYTES) -> Weights | None:
+    """Weights from the labelled documents outside the held-out fold, ``limit`` of them and ``limit_bytes`` at most."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.avg("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    sizes = docs.select("doc_id", F.octet_length(F.col("text").cast("string")).alias("size")).join(F.broadcast(chosen), "doc_id")
+    sizes = sizes.groupBy("doc_id").agg(F.first("quality").alias("quality"), F.sum(F.coalesce("size", F.lit(0))).alias("size"))  # at most `limit` rows
+    so_far = F.sum("size").over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = sizes.where(F.col("size") <= limit_bytes // 16).withColumn("so_far", so_far).where(F.col("so_far") <= limit_bytes).select("doc_id", "quality")
     bags = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,8 +18,19 @@ def test_increasing_is_a_longest_one():
         assert len(got) == best and [v[k] for k in got] == sorted(v[k] for k in got)
 
 
+def longest(a, b):
+    """Length of a longest common subsequence, by the table."""
+    above = [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for k, y in enumerate(b):
+            row.append(above[k] + 1 if x == y else max(above[k + 1], row[-1]))
+        above = row
+    return above[-1]
+
+
 def plain(a, b):
-    """Patience alignment by its definition, recursively."""
+    """Patience alignment by its definition, recursively; a longest common subsequence where no word is unique in both."""
     if not a or not b:
         return 0
     if a[0] == b[0]:
@@ -28,7 +39,7 @@ def plain(a, b):
         return 1 + plain(a[:-1], b[:-1])
     both = [(i, b.index(w)) for i, w in enumerate(a) if a.count(w) == 1 and b.count(w) == 1]
     if not both:
-        return 0
+        return longest(a, b)
     at = L.increasing([y for _, y in both])
     total, i, j = 0, 0, 0
     for x, y in [both[k] for k in at]:

@@ -41,6 +41,45 @@ def test_passages_are_whole_and_texts_do_not_mix():
     assert x[3][11] == pytest.approx(1 / 64)
 
 
+def test_score_of_an_empty_text_does_not_depend_on_its_neighbours():
+    rng = np.random.default_rng(3)
+    texts = ["one two three", "", "A!! " * 200, None, " ", "b c"]
+    x, counts = Q.passages(texts * 9)
+    weights = Q.fit(x.astype(float), counts, rng.random(len(counts)))
+    for given in (["", None], ["", "a b"], ["x " * 300, ""]):
+        for text, score in zip(given, Q.predict(weights, *Q.passages(given))):
+            assert score == pytest.approx(Q.predict(weights, *Q.passages([text]))[0], abs=1e-12)
+
+
+def test_forward_equals_a_loop_over_bags():
+    """Score by the definition: encode each passage, weigh by gated attention, score the weighted sum."""
+    rng = np.random.default_rng(2)
+    p = {"W": rng.normal(size=(Q.WIDTH, 4)) / 12, "b": rng.normal(size=4), "V": rng.normal(size=(4, 3)), "U": rng.normal(size=(4, 3)), "w": rng.normal(size=3), "c": rng.normal(size=4), "d": np.array(-0.2)}
+    x, counts = rng.normal(size=(12, Q.WIDTH)), np.array([3, 1, 6, 2])
+    want, at = [], 0
+    for n in counts:
+        hidden, weight = [], []
+        for row in x[at : at + n]:
+            h = np.array([np.tanh(sum(row * p["W"][:, k]) + p["b"][k]) for k in range(4)])
+            gate = [np.tanh(h @ p["V"][:, k]) / (1 + np.exp(-(h @ p["U"][:, k]))) for k in range(3)]
+            hidden.append(h)
+            weight.append(np.exp(sum(g * w for g, w in zip(gate, p["w"]))))
+        z = sum(w / sum(weight) * h for w, h in zip(weight, hidden))
+        want.append(1 / (1 + np.exp(-(z @ p["c"] + p["d"]))))
+        at += n
+    assert Q.forward(p, x, counts)["score"] == pytest.approx(want)
+
+
+def test_training_is_bounded_by_documents_and_bytes(spark, docs):
+    rows, labels = corpus(120)
+    known = spark.createDataFrame(labels, LABELS)
+    whole = Q.train(docs(rows), known, limit_bytes=10**9)
+    long = [(i, t + " z" * 300_000) if i % 10 == 0 else (i, t) for i, t in rows]
+    short = [(i, t) for i, t in rows if i % 10]
+    a, b = Q.train(docs(long), known, limit_bytes=16 * 5000), Q.train(docs(short), known, limit_bytes=16 * 5000)
+    assert all(np.array_equal(a.params[k], b.params[k]) for k in a.params) and not np.array_equal(a.params["W"], whole.params["W"])
+
+
 def corpus(n=400):
     r = random.Random(7)
     rows, labels = [], []
