@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.session import OWN_SCRATCH
+from forecourt.session import OWN_SCRATCH, fresh_path, remove_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def rewritten(df: DataFrame, label: str, old: str | None = None) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and its path; ``old``, a table that only ``df`` was to read, goes."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    if old is not None:
+        remove_folder(df.sparkSession, old)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(spark, folder) -> DataFrame`` under ``name``, with the SQL that states its rows where there is one."""
 

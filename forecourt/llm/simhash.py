@@ -10,7 +10,9 @@ Links (`links`): equal fingerprints are one class. Classes within ``radius`` bit
 a bucket fill one word per bit position, a member is held against a whole word of others at once, and a carry-save
 counter of three bits per lane counts differing positions; a block is left as soon as every lane exceeds the radius.
 A bucket over ``CHUNK`` members is split into chunks and every pair of chunks is one unit of work, so no bucket has
-to fit one task and no link is lost. A unit returns a spanning forest of its links, not all pairs.
+to fit one task and no link is lost. A unit joins the links of a round to its forest at once and compares no member
+with a word that is wholly in its component already, so the links themselves are never held, and it returns one link
+per row that is not a root.
 
 Components (`components`): alternating large-star and small-star steps over a written table of links.
 
@@ -21,7 +23,7 @@ table gives an empty result; further columns are left alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import query, table
+from forecourt.llm.common import query, rewritten, table, together
 from forecourt.session import materialize
 
 SIZE = 4
@@ -38,24 +40,26 @@ SEGMENTS = 6
 WIDTHS = (11, 11, 11, 11, 10, 10)
 CHUNK = 4096
 #: (member, word of others) units that one round of the comparison holds at a time.
-ROUND = 1 << 17
+ROUND = 1 << 14
+#: Characters of text that are hashed at a time, one text at least.
+TOGETHER = 2_000_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 # Each of a byte's bits in a byte of its own, so that 255 additions cannot overflow.
 _SPREAD = np.array([int.from_bytes(bytes((b >> i) & 1 for i in range(8)), "little") for b in range(256)], np.uint64)
 
 
-def shingle_hashes(text: str | None, size: int) -> list[int]:
+def shingle_hashes(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode().translate(_LOWER).split()
     if not words:
-        return []
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - size + 1)
     last = ends[-1:] if len(words) < size else ends[size - 1 :]
     h = xxhash.xxh64_intdigest
-    return [h(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), last.tolist())]
+    return np.fromiter((h(joined[a:b], 42) for a, b in zip(starts[:n], last)), np.uint64, n)
 
 
 def majority(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -82,19 +86,22 @@ def fingerprints(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                hashes = [shingle_hashes(t, size) for t in part.column(1).to_pylist()]
+            for first, texts in together(batch.column(1), TOGETHER):
+                hashes = [shingle_hashes(t, size) for t in texts]
                 counts = np.array([len(h) for h in hashes], np.int64)
-                values = np.array([v for h in hashes for v in h], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(majority(values, counts).view(np.int64))], names=["doc_id", "fp"])
+                fps = majority(np.concatenate(hashes), counts).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(fps)], names=["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
-def close_pairs(fps: np.ndarray, unit: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of rows in the same unit within ``radius`` bits; rows of a unit are neighbours."""
+def close_pairs(fps: np.ndarray, unit: np.ndarray, radius: int, label: Callable[[], np.ndarray] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs i < j of rows in the same unit within ``radius`` bits, round by round; rows of a unit are neighbours.
+
+    ``label`` gives the component that each row is known to be in so far: a word whose rows are all in a member's own
+    component is not compared with it.
+    """
     n = len(fps)
     new = np.concatenate(([True], unit[1:] != unit[:-1]))
     begin = np.flatnonzero(new)
@@ -114,7 +121,6 @@ def close_pairs(fps: np.ndarray, unit: np.ndarray, radius: int) -> tuple[np.ndar
     used = np.bitwise_or.reduceat(np.uint64(1) << lane, starts)
     # A row meets its own word (lanes after its own) and the later words of its unit.
     later = (word0 + words_of)[of] - word
-    left, right = [], []
     order = np.cumsum(later)
     done = 0
     while done < n:
@@ -122,6 +128,11 @@ def close_pairs(fps: np.ndarray, unit: np.ndarray, radius: int) -> tuple[np.ndar
         rows = np.arange(done, upto)
         q = np.repeat(rows, later[rows])
         w = word[q] + np.arange(len(q)) - np.repeat(np.cumsum(later[rows]) - later[rows], later[rows])
+        if label is not None:
+            of_row = label()
+            low, high = np.minimum.reduceat(of_row, starts), np.maximum.reduceat(of_row, starts)
+            open_ = np.flatnonzero((low[w] != of_row[q]) | (high[w] != of_row[q]))
+            q, w = q[open_], w[open_]
         alive = used[w].copy()
         own = w == word[q]
         alive[own] &= ~((np.uint64(2) << lane[q[own]]) - np.uint64(1))
@@ -139,12 +150,13 @@ def close_pairs(fps: np.ndarray, unit: np.ndarray, radius: int) -> tuple[np.ndar
             c1, carry = c1 ^ carry, c1 & carry
             c2, carry = c2 ^ carry, c2 & carry
             alive &= ~(_over(c0, c1, c2, radius) | carry)
+        done = upto
+        left, right = [], []
         for b in range(64):
             hit = np.flatnonzero((alive >> np.uint64(b)) & np.uint64(1))
             left.append(q[hit])
             right.append(begin[of[q[hit]]] + (w[hit] - word0[of[q[hit]]]) * 64 + b)
-        done = upto
-    return np.concatenate(left), np.concatenate(right)
+        yield np.concatenate(left), np.concatenate(right)
 
 
 def _over(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, radius: int) -> np.ndarray:
@@ -155,9 +167,8 @@ def _over(c0: np.ndarray, c1: np.ndarray, c2: np.ndarray, radius: int) -> np.nda
     return over
 
 
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest row index of each row's component under the pairs (a, b)."""
-    root = np.arange(n)
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root``, the smallest index of each index's component so far, with the links (a, b) added."""
     while len(a):
         ra, rb = root[a], root[b]
         apart = ra != rb
@@ -170,6 +181,17 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return root
 
 
+def roots(doc: np.ndarray, fps: np.ndarray, unit: np.ndarray, radius: int) -> np.ndarray:
+    """The smallest doc of each row's component within its unit; links are joined round by round and not kept."""
+    order = np.argsort(doc, kind="stable")  # by doc, so that a component's smallest index is its smallest doc
+    rank = np.empty(len(doc), np.int64)
+    rank[order] = np.arange(len(doc))
+    root = np.arange(len(doc))
+    for a, b in close_pairs(fps, unit, radius, lambda: root[rank]):
+        root = joined(root, rank[a], rank[b])
+    return doc[order][root[rank]]
+
+
 def links(classes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """(u, v), u > v: links that connect what is connected, for ``classes`` of (doc, fp) with distinct fp and doc."""
     if not 0 <= radius <= SEGMENTS - 2:
@@ -192,14 +214,9 @@ def links(classes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataF
         def linked(x: np.ndarray) -> pa.RecordBatch:
             key, unit, doc, fp = x
             new = np.concatenate(([True], (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])))
-            a, b = close_pairs(np.ascontiguousarray(fp).view(np.uint64), np.cumsum(new), radius)
-            # Rows in order of doc, so that a component's root is its smallest doc.
-            order = np.argsort(doc, kind="stable")
-            rank = np.empty(len(doc), np.int64)
-            rank[order] = np.arange(len(doc))
-            root = forest(len(doc), rank[a], rank[b])
-            u = np.flatnonzero(root != np.arange(len(doc)))
-            return pa.RecordBatch.from_arrays([pa.array(doc[order][u]), pa.array(doc[order][root[u]])], names=["u", "v"])
+            to = roots(doc, np.ascontiguousarray(fp).view(np.uint64), np.cumsum(new), radius)
+            u = np.flatnonzero(to != doc)
+            return pa.RecordBatch.from_arrays([pa.array(doc[u]), pa.array(to[u])], names=["u", "v"])
 
         for batch in batches:
             x = np.concatenate([kept, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])], axis=1)
@@ -217,7 +234,7 @@ def links(classes: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataF
 
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, root): the smallest node that each node of ``edges`` (u, v) reaches."""
-    edges = materialize(edges, label)
+    edges, path = rewritten(edges, label)
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -226,7 +243,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         down = large.where(F.col("u") > F.col("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
-        edges = materialize(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label)
+        edges, path = rewritten(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), label, path)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

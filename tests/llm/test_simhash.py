@@ -48,11 +48,45 @@ def test_bit_sliced_pairs_equal_all_pairs(radius):
         for _ in range(r.choice([1, 2, 63, 64, 65, 130])):
             fps.append(base ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 4))))
             unit.append(u)
-    a, b = S.close_pairs(np.array(fps, np.uint64), np.array(unit), radius)
+    found = list(S.close_pairs(np.array(fps, np.uint64), np.array(unit), radius))
+    a, b = (np.concatenate(x) for x in zip(*found))
     want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if unit[i] == unit[j] and (fps[i] ^ fps[j]).bit_count() <= radius}
     assert set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want)
 
 
+def test_a_dense_unit_joins_its_links_without_holding_them():
+    """8192 fingerprints of which nearly all pairs are links: some 33 million, of which few are made."""
+    import tracemalloc
+
+    r = random.Random(4)
+    fps = sorted({sum(1 << b for b in r.sample(range(40), r.randint(0, 2))) for _ in range(60_000)})[:8192]
+    fps += [r.getrandbits(64) | 1 << 63 for _ in range(300)]
+    doc = np.array(r.sample(range(10**6), len(fps)))
+    tracemalloc.start()
+    to = S.roots(doc, np.array(fps, np.uint64), np.zeros(len(fps), np.int64), 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+    close = len(fps) - 300
+    assert set(to[:close]) == {doc[:close].min()} and (to[close:] == doc[close:]).all()
+
+
+@pytest.mark.parametrize("radius", [1, 4])
+def test_roots_equal_components(radius):
+    r = random.Random(radius)
+    fps, unit = [], []
+    for u in range(12):
+        base = r.getrandbits(64)
+        for _ in range(r.choice([1, 64, 65, 200])):
+            base ^= 1 << r.randrange(64) if r.random() < 0.7 else r.getrandbits(64)
+            fps.append(base)
+            unit.append(u)
+    doc = r.sample(range(10**6), len(fps))
+    of = dict(zip(doc, zip(fps, unit)))
+    want = grouped(sorted(doc), lambda a, b: of[a][1] == of[b][1] and (of[a][0] ^ of[b][0]).bit_count() <= radius)
+    assert S.roots(np.array(doc), np.array(fps, np.uint64), np.array(unit), radius).tolist() == [want[d] for d in doc]
+
+
 @pytest.mark.parametrize("chunk", [S.CHUNK, 7])
 def test_links_connect_all_that_are_close_also_in_split_buckets(spark, chunk):
     r = random.Random(3)
