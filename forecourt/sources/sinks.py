@@ -31,7 +31,7 @@ def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partit
     """Upsert into a partitioned folder, rewriting only the partitions the batch touches.
 
     The partitions are overwritten in place: a reader, or a crash, may meet some
-    of them gone. ``versions.upsert_version`` swaps them at once instead.
+    of them gone. ``streaming.epochs`` lands batches beside each other instead.
 
     A key must always fall into the same partition value. The list of touched
     partitions is as long as the batch has partition values, not rows.

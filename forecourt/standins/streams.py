@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forecourt.session import fresh_path
-from forecourt.sources.versions import read_version
 from forecourt.standins.base import Tables, query
 from forecourt.streaming import streams as R
+from forecourt.streaming.epochs import newest_rows
 
 
 def _stream(t: Tables, table: str):
@@ -86,14 +86,14 @@ def _(t):
 
 @query("stream_late_rescan", "select user_id, cast(ts as date) as date, count(*) as n from events group by 1, 2")
 def _(t):
-    root = fresh_path(t.spark, "late")
-    _done(R.late_counts(_events(t), "ts", ["user_id"], root, fresh_path(t.spark, "late-checkpoint")))
-    return read_version(t.spark, root, "user_id bigint, date date, n bigint")
+    path = fresh_path(t.spark, "late")
+    _done(R.late_counts(_events(t), "ts", ["user_id"], path, fresh_path(t.spark, "late-checkpoint")))
+    return newest_rows(t.spark, path, "user_id bigint, date date, n bigint", ["user_id", "date"])
 
 
 @query("stream_upsert", "select user_id, event_id, ts from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) x where rn = 1")
 def _(t):
-    root = fresh_path(t.spark, "upsert")
+    path = fresh_path(t.spark, "upsert")
     rows = _events(t).select("user_id", "event_id", "ts")
-    _done(R.upsert_stream(rows, root, ["user_id"], "ts", fresh_path(t.spark, "upsert-checkpoint"), [F.col("event_id")]))
-    return read_version(t.spark, root, rows.schema)
+    _done(R.upsert_stream(rows, path, ["user_id"], "ts", fresh_path(t.spark, "upsert-checkpoint"), [F.col("event_id")]))
+    return newest_rows(t.spark, path, rows.schema, ["user_id"])

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from forecourt.functions.periods import period_start
 from forecourt.operators.merge import dedupe_newest
-from forecourt.sources.versions import BUCKETS, prune_versions, upsert_version
+from forecourt.streaming.epochs import land
 
 LATE = "3 days"
 
@@ -87,39 +87,24 @@ def _each_batch(stream: DataFrame, apply: Callable[[DataFrame, int], None], chec
     return writer.foreachBatch(apply).start()
 
 
-def upsert_stream(stream: DataFrame, root: str, keys: Sequence[str], ts: str, checkpoint: str, ties: Sequence[Column] = (), buckets: int = BUCKETS, keep: int = 2) -> StreamingQuery:
-    """Upsert each micro-batch into a keyed table of buckets, newest row per key.
+def upsert_stream(stream: DataFrame, path: str, keys: Sequence[str], ts: str, checkpoint: str, ties: Sequence[Column] = ()) -> StreamingQuery:
+    """Land each micro-batch, newest row per key, as a partition of its own; a later batch's row replaces an earlier one's.
 
-    A batch rewrites only the buckets its keys fall into and appears at once
-    (``sources.versions``); a retry after a failure changes nothing twice. The
-    newest ``keep`` versions stay. Read with ``read_version``.
+    Nothing stored is read or rewritten. Read with ``epochs.newest_rows``, and
+    compact from time to time with ``epochs.compact``.
     """
+    return _each_batch(stream, lambda batch, epoch: land(dedupe_newest(batch, keys, ts, ties), path, epoch), checkpoint, "append")
 
-    def apply(batch: DataFrame, epoch: int) -> None:
-        one = dedupe_newest(batch, keys, ts, ties).persist()
-        upsert_version(one, root, keys, f"{checkpoint}#{epoch}", buckets)
-        one.unpersist()
-        prune_versions(batch.sparkSession, root, keep)
 
-    return _each_batch(stream, apply, checkpoint, "append")
+def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], path: str, checkpoint: str, late: str = LATE, out: str = "n") -> StreamingQuery:
+    """Daily counts kept current while late rows arrive.
 
-
-def late_counts(stream: DataFrame, ts: str, keys: Sequence[str], root: str, checkpoint: str, late: str = LATE, out: str = "n", keep: int = 2) -> StreamingQuery:
-    """Daily counts kept current while late rows arrive, in a table of one bucket per day.
-
-    Each batch rewrites only the days it changed and appears at once; the newest
-    ``keep`` versions stay. Rows later than ``late`` are dropped, as by a job
-    that re-reads that span. Read with ``read_version``.
+    Each batch lands the counts it changed, as a partition of its own; the
+    newest one of a key and ``date`` holds. Rows later than ``late`` are
+    dropped, as by a job that re-reads that span. Read and compact as
+    ``upsert_stream``, by the keys and ``date``.
     """
     days = stream.withColumn("_day", F.date_trunc("day", ts)).withWatermark("_day", late)
     counts = days.groupBy(*keys, F.col("_day").alias("date")).agg(F.count("*").alias(out))
     counts = counts.withColumn("date", F.to_date("date"))
-
-    def apply(batch: DataFrame, epoch: int) -> None:
-        # The batch is read for its days and for its rows; keep it, or its state is read twice.
-        batch.persist()
-        upsert_version(batch, root, [*keys, "date"], f"{checkpoint}#{epoch}", bucket_of="date")
-        batch.unpersist()
-        prune_versions(batch.sparkSession, root, keep)
-
-    return _each_batch(counts, apply, checkpoint, "update")
+    return _each_batch(counts, lambda batch, epoch: land(batch, path, epoch), checkpoint, "update")

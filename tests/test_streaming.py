@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from forecourt.sources import versions as V
+from forecourt.streaming import epochs as V
 from forecourt.streaming import streams as R
 
 SCHEMA = "id int, k string, ts timestamp"
@@ -44,53 +44,67 @@ def test_late_counts_equal_batch(spark, tmp_path):
     for batch in ([(1, "a", 0), (2, "b", 1)], [(3, "a", 0.2), (4, "a", 1)], [(5, "a", 1.5)]):
         drop(spark, src, *batch)
         R.late_counts(R.file_stream(spark, src, SCHEMA), "ts", ["k"], out, check).awaitTermination()
-    got = {(r.k, r.date.day): r.n for r in V.read_version(spark, out, "k string, date date, n bigint").collect()}
+    got = {(r.k, r.date.day): r.n for r in V.newest_rows(spark, out, "k string, date date, n bigint", ["k", "date"]).collect()}
     assert got == {("a", 1): 2, ("a", 2): 2, ("b", 2): 1}
 
 
+def rows_of(spark, out, table=None):
+    return {r.k: r.id for r in V.newest_rows(spark, out, SCHEMA, ["k"], table).collect()}
+
+
 def test_upsert_stream_keeps_newest(spark, tmp_path):
     src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
+    assert rows_of(spark, out) == {}
     for batch in ([(1, "a", 0), (2, "b", 0)], [(3, "a", 2), (4, "a", 1)], [(5, "c", 0)], [(6, None, 0)]):
         drop(spark, src, *batch)
         R.upsert_stream(R.file_stream(spark, src, SCHEMA), out, ["k"], "ts", check).awaitTermination()
-    assert {r.k: r.id for r in V.read_version(spark, out, SCHEMA).collect()} == {"a": 3, "b": 2, "c": 5, None: 6}
-    assert len(V.versions(spark, out)) == 2
+    assert rows_of(spark, out) == {"a": 3, "b": 2, "c": 5, None: 6}
+    assert V.epochs(spark, out) == [0, 1, 2, 3]
 
 
-def test_a_stop_between_write_and_swap_leaves_the_old_version(spark, tmp_path, monkeypatch):
+def test_a_batch_that_stops_after_its_write_is_repeated_and_counts_once(spark, tmp_path, monkeypatch):
+    """The batch is landed, but the stream stops before it is committed, and before any compaction."""
     src, out, check = (str(tmp_path / x) for x in ("src", "out", "check"))
     run = lambda: R.upsert_stream(R.file_stream(spark, src, SCHEMA), out, ["k"], "ts", check).awaitTermination()
     drop(spark, src, (1, "a", 0), (2, "b", 0))
     run()
-    real = V._escaped
 
-    def stops(value):
+    def stops(batch, path, epoch):
+        V.land(batch.withColumn("id", batch.id + 100), path, epoch)
         raise RuntimeError("stopped")
 
-    monkeypatch.setattr(V, "_escaped", stops)
+    monkeypatch.setattr(R, "land", stops)
     drop(spark, src, (3, "a", 1))
     with pytest.raises(Exception, match="stopped"):
         run()
-    monkeypatch.setattr(V, "_escaped", real)
-    seen = lambda: {r.k: r.id for r in V.read_version(spark, out, SCHEMA).collect()}
-    assert seen() == {"a": 1, "b": 2}
+    assert rows_of(spark, out) == {"a": 103, "b": 2} and V.epochs(spark, out) == [0, 1]
+    monkeypatch.setattr(R, "land", V.land)
     run()
-    assert seen() == {"a": 3, "b": 2}
-
-
-def test_versions_repeat_buckets_and_retention(spark, tmp_path):
-    out = str(tmp_path / "t")
-    put = lambda tag, *rows, **kw: V.upsert_version(spark.createDataFrame(rows, "k string, v int"), out, ["k"], tag, **kw)
-    seen = lambda **kw: {r.k: r.v for r in V.read_version(spark, out, "k string, v int", **kw).collect()}
-    assert seen() == {}
-    put("a", ("x/y", 1), ("x=y", 2), ("%", 3), bucket_of="k")
-    put("b", ("x/y", 4), bucket_of="k")
-    put("b", ("x/y", 9), bucket_of="k")  # the same batch once more
-    assert seen() == {"x/y": 4, "x=y": 2, "%": 3} and seen(version=0) == {"x/y": 1, "x=y": 2, "%": 3}
-    put("c", ("z", 5), bucket_of="k")
-    gone = V.prune_versions(spark, out, keep=1)
-    assert V.versions(spark, out) == [2] and seen() == {"x/y": 4, "x=y": 2, "%": 3, "z": 5}
-    assert [g for g in gone if "/manifest/" in g] == [f"{out}/manifest/{v}" for v in (0, 1)]
+    assert rows_of(spark, out) == {"a": 3, "b": 2} and V.epochs(spark, out) == [0, 1]
+    assert V.landed(spark, out, spark.createDataFrame([], SCHEMA).schema).count() == 3
+
+
+def test_compaction_takes_all_but_the_newest_batch(spark, tmp_path, monkeypatch):
+    spark.sql("drop table if exists compacted")
+    out, base = str(tmp_path / "out"), str(tmp_path / "base")
+    put = lambda epoch, *rows: V.land(spark.createDataFrame([(i, k, datetime(2024, 1, 1)) for i, k in rows], SCHEMA), out, epoch)
+    fold = lambda: V.compact(spark, out, SCHEMA, ["k"], "compacted", base)
+    assert fold() == []
+    put(0, (1, "a"), (2, "b"), (3, None))
+    assert fold() == [] and rows_of(spark, out, "compacted") == {"a": 1, "b": 2, None: 3}
+    put(1, (4, "a"))
+    put(2, (5, "b"))
+    assert fold() == [0, 1] and V.epochs(spark, out) == [2]
+    assert rows_of(spark, out, "compacted") == {"a": 4, "b": 5, None: 3}
+    put(2, (6, "b"))  # the newest batch once more
+    put(3, (7, "c"))
+    monkeypatch.setattr(V, "remove_folder", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError):
+        fold()
+    assert rows_of(spark, out, "compacted") == {"a": 4, "b": 6, "c": 7, None: 3} and V.epochs(spark, out) == [2, 3]
+    monkeypatch.undo()
+    assert fold() == [2] and rows_of(spark, out, "compacted") == {"a": 4, "b": 6, "c": 7, None: 3}
+    assert spark.table("compacted").count() == 3
 
 
 def test_distinct_visits_and_calendar(spark, tmp_path):
