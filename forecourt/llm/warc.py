@@ -2,21 +2,24 @@
 
 An ARC file opens with a ``filedesc://`` record whose second line names the version; the version fixes the fields of
 every header line after it (1: url, address, date, type, length; 2: also result code, checksum, location, offset and
-file name before the length). A record's body is as long as its header line declares, whatever bytes it holds; it is
-an HTTP response, whose own head is told from the payload by the first empty line. The converter gives every record
-an identifier (a UUID made from the record's page and digest, so that a re-run task makes the same one), a
-``WARC-Date`` from the 14-digit date, a type, and SHA-1 digests of block and payload.
-
-Of pages with equal payloads of at least ``min_bytes``, the one with the largest page_id is the response and the
+file name before the length; a url may hold spaces). A record's body is as long as its header line declares, whatever
+bytes it holds. An HTTP response has a head of its own, told from the payload by the first empty line; any other body
+(``dns:`` lookups and the like) is passed on whole as a ``resource``. The converter gives every record an identifier
+(a UUID made from what names the record and its digest, so that a re-run task makes the same one; records without a
+page number are named by url, date and offset), a ``WARC-Date`` from the 14-digit date, a type, and SHA-1 digests of
+block and payload.
+
+Of responses with equal payloads of at least ``min_bytes``, the one with the largest page_id is the response and the
 others are revisits without a payload that refer to it; smaller payloads are all responses.
 
-Both kinds of archive are text files of Spark's own writer, gzipped, in the shared folder: headers are ASCII,
-payloads UTF-8, and the writer's line separator is the separator of the records. Reading goes by declared lengths.
+Archives are written by Spark's own text writer, to the shared folder: a row is one record as a gzip member of its
+own, so that a reader can seek to it, and what the writer puts between rows is an empty member. Payloads are bytes of
+any charset. Files to convert may be gzipped, by record or whole, or plain.
 
 Defined cases: a null html is an empty payload; a null url is written as ``-`` and read back as null; white space in
 a url is percent-encoded in headers; rows that repeat a page_id and payload give one record each, and a payload whose
 pages all have a null page_id has responses only; an empty table gives archives without records. Further columns are
-left alone. One archive file must stay below Spark's 2 GB for a binary value, hence ``file_records``.
+left alone. One archive file must stay below Spark's 2 GB for a binary value.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -36,8 +39,6 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import query, table
 from forecourt.session import fresh_path, materialize
 
-ARC_END = "\n"
-WARC_END = "\r\n\r\n"
 #: Fixed values of the two ARC versions: the line that names the fields.
 ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -46,8 +47,10 @@ ARC_FIELDS = {
 ARRIVED = "20240101000000"
 _SPACE = re.compile(r"[\s%\x00-\x20\x7f]")
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL namespace of RFC 4122
+#: Records and bytes in one batch of a task's output.
+ROWS, BYTES = 256, 4 << 20
 
-PAGE = "page_id long, url string, arrived string, head string, payload string"
+RECORD = "page_id long, name string, url string, arrived string, content_type string, head binary, sha1 string, sha256 string, bytes long"
 
 
 def sha1_32(data: bytes) -> str:
@@ -65,58 +68,87 @@ def unquoted(url: str) -> str | None:
     return None if url == "-" else "" if url == "%" else unquote(url)
 
 
-# --- ARC ------------------------------------------------------------------
+def said(data: bytes) -> str:
+    """Header bytes as text: UTF-8, or Latin-1 where they are not that."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError:
+        return data.decode("latin-1")
 
 
-def arc_records(pages: DataFrame, version: int) -> DataFrame:
-    """ARC records as text, each partition opened by its file description."""
-    fields = ARC_FIELDS[version]
+# --- files ----------------------------------------------------------------
+
+
+def member(data: bytes) -> bytes:
+    """A gzip member, at the fastest level."""
+    pack = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return pack.compress(data) + pack.flush()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        body = f"{version} 0 local\n{fields}\n"
-        stand = "" if version == 1 else " 200 - - 0 pages.arc"
-        lines = [f"filedesc://pages.arc 0.0.0.0 {ARRIVED} text/plain{stand} {len(body)}\n{body}"]
-        for batch in batches:
-            for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if page is None else page}\r\n\r\n"
-                size = len(head) + len((html or "").encode())
-                lines.append(f"{quoted(url)} 0.0.0.0 {ARRIVED} text/html{stand} {size}\n{head}{html or ''}")
-                if len(lines) >= 256:
-                    yield pa.RecordBatch.from_arrays([pa.array(lines)], names=["value"])
-                    lines = []
-        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "value string")
+def write_archive(records: DataFrame, path: str) -> None:
+    """Write ``records`` (value: a gzip member per row), an empty member after each."""
+    text = records.select(F.col("value").cast("string").alias("value"))
+    text.write.option("lineSep", member(b"").decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
 
 
-def write_archive(records: DataFrame, path: str, end: str) -> None:
-    records.write.option("lineSep", end).option("compression", "gzip").text(path)
+def binary_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("content")
 
 
 def inflated(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
-    """The bytes of a gzip file of one or more members, in pieces."""
-    at, member = 0, zlib.decompressobj(31)
+    """The bytes of a gzip file of one or more members, in pieces; those of any other file as they are."""
+    at, packed = 0, None if bytes(data[:2]) == b"\x1f\x8b" else False
     while at < len(data):
-        piece = data[at : at + step]
+        piece = bytes(data[at : at + step])
         at += len(piece)
+        if packed is False:
+            yield piece
+            continue
         while piece:
-            yield member.decompress(piece)
-            piece = member.unused_data
-            if piece:
-                member = zlib.decompressobj(31)
+            packed = packed or zlib.decompressobj(31)
+            yield packed.decompress(piece)
+            piece = packed.unused_data
+            if packed.eof:
+                packed = None
+
+
+def batched(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """``rows`` in batches of up to ROWS rows and about BYTES bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, (bytes, str)))
+        if len(held) >= ROWS or size >= BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+
+
+_KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+VALUE = pa.schema([("value", pa.binary())])
+
+
+def _schema(text: str) -> pa.Schema:
+    return pa.schema([(c.split()[0], _KINDS[c.split()[1]]) for c in text.split(", ")])
 
 
 class Cursor:
     """Lines and declared lengths out of a stream of pieces."""
 
     def __init__(self, pieces: Iterator[bytes]):
-        self.pieces, self.buffer, self.at = pieces, bytearray(), 0
+        self.pieces, self.buffer, self.at, self.before = pieces, bytearray(), 0, 0
+
+    @property
+    def offset(self) -> int:
+        return self.before + self.at
 
     def _more(self) -> bool:
         piece = next(self.pieces, None)
         if piece is None:
             return False
         del self.buffer[: self.at]
+        self.before += self.at
         self.at = 0
         self.buffer += piece
         return True
@@ -141,124 +173,145 @@ class Cursor:
         return out
 
 
+# --- ARC ------------------------------------------------------------------
+
+
+def arc_records(pages: DataFrame, version: int) -> DataFrame:
+    """ARC records, each partition opened by its file description."""
+    fields = ARC_FIELDS[version]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        body = f"{version} 0 local\n{fields}\n"
+        stand = "" if version == 1 else " 200 - - 0 pages.arc"
+
+        def rows() -> Iterator[tuple]:
+            yield (member(f"filedesc://pages.arc 0.0.0.0 {ARRIVED} text/plain{stand} {len(body)}\n{body}\n".encode()),)
+            for batch in batches:
+                for page, url, html in zip(*batch.columns):
+                    page, html = page.as_py(), (html.as_py() or "").encode()
+                    head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {'' if page is None else page}\r\n\r\n".encode()
+                    line = f"{quoted(url.as_py())} 0.0.0.0 {ARRIVED} text/html{stand} {len(head) + len(html)}\n".encode()
+                    yield (member(b"".join((line, head, html, b"\n"))),)
+
+        yield from batched(rows(), VALUE)
+
+    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "value binary")
+
+
 def arc_pages(data: bytes) -> Iterator[tuple]:
-    """(page_id, url, date, head, payload) of every record of one ARC file, after its description."""
+    """(page_id, name, url, date, content type, head, payload) of every record of one ARC file, after its description.
+
+    ``head`` is None for a body that is no HTTP response; ``name`` is the page number, or url, date and offset.
+    """
     read = Cursor(inflated(data))
     first = read.upto(b"\n")
     if first is None:
         return
     described = read.take(int(first.rsplit(b" ", 1)[1]))
     version = int(described.split(b" ", 1)[0])
-    names = described.split(b"\n")[1].decode().split(" ")
+    names = said(described.split(b"\n")[1].rstrip(b"\r")).split(" ")
     if names != ARC_FIELDS[version].split(" "):
         raise ValueError(f"unknown ARC fields: {names}")
-    read.take(1)
-    while (line := read.upto(b"\n")) is not None:
-        field = dict(zip(names, line.decode().split(" "), strict=True))
-        head, payload = read.take(int(field["Archive-length"])).split(b"\r\n\r\n", 1)
-        read.take(1)
-        page = re.search(rb"X-Page-Id: (-?\d*)", head)[1]
-        yield int(page) if page else None, unquoted(field["URL"]), field["Archive-date"], head.decode(), payload
-
+    while True:
+        offset = read.offset
+        line = read.upto(b"\n")
+        if line is None:
+            rest = read.take(len(read.buffer) - read.at)
+            if rest.strip():
+                raise ValueError(f"the archive ends within a header line: {rest[:40]!r}")
+            return
+        if not line.strip():
+            continue
+        field = dict(zip(names, said(line.rstrip(b"\r")).rsplit(" ", len(names) - 1), strict=True))
+        body = read.take(int(field["Archive-length"]))
+        head, payload = None, body
+        if body.startswith(b"HTTP/"):
+            end = re.search(rb"\r?\n\r?\n", body)
+            head, payload = (body, b"") if end is None else (body[: end.start()], body[end.end() :])
+        page = re.search(rb"(?m)^X-Page-Id: (-?\d+)\r?$", head) if head is not None else None
+        page = int(page[1]) if page else None
+        url, date = unquoted(field["URL"]), field["Archive-date"]
+        yield page, f"{url} {date} {offset}" if page is None else str(page), url, date, field["Content-type"], head, payload
+
+
+def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Every record of the ARC files under ``path``: the columns of RECORD, and with ``payloads`` its payload, as bytes."""
+    kind = RECORD + (", payload binary" if payloads else "")
+    schema = _schema(kind)
 
-def binary_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path).select("content")
-
-
-def _parsed(files: DataFrame, rows_of, names: list[str], schema: str, together: int = 256) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in batch.column(0):
-                held: list[tuple] = []
-                for row in rows_of(value.as_buffer()):
-                    held.append(row)
-                    if len(held) >= together:
-                        yield batch_of(held)
-                        held = []
-                if held:
-                    yield batch_of(held)
-
-    kinds = {"long": pa.int64(), "string": pa.string()}
-    types = [kinds[c.split()[1]] for c in schema.split(", ")]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for value in batch.column(0):
+                    for *named, head, payload in arc_pages(memoryview(value.as_buffer())):
+                        digests = (hashlib.sha1(payload).hexdigest(), hashlib.sha256(payload).hexdigest(), len(payload))
+                        yield (*named, head, *digests, payload) if payloads else (*named, head, *digests)
 
-    return files.mapInArrow(run, schema)
+        yield from batched(rows(), schema)
 
-
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the ARC files under ``path``: page_id, url, arrived, head, payload."""
-
-    def rows(data):
-        for page, url, date, head, payload in arc_pages(data):
-            yield page, url, date, head, payload.decode()
-
-    return _parsed(binary_files(spark, path), rows, ["page_id", "url", "arrived", "head", "payload"], PAGE)
+    return binary_files(spark, path).mapInArrow(run, kind)
 
 
 # --- WARC -----------------------------------------------------------------
 
 
-def judged(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Per distinct payload that several pages share: its SHA-1, SHA-256 and length, and the largest page_id of them."""
-    size = F.octet_length("payload")
-    key = pages.where(size >= min_bytes).select("page_id", F.sha1("payload").alias("sha1"), F.sha2("payload", 256).alias("sha256"), size.alias("bytes"))
+def judged(records: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """Per distinct payload that several responses share: its SHA-1, SHA-256 and length, and the largest page_id of them."""
+    key = records.where((F.col("bytes") >= min_bytes) & F.col("head").isNotNull()).select("page_id", "sha1", "sha256", "bytes")
     return key.groupBy("sha1", "sha256", "bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
 
 
-def warc_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """WARC records as text for ``pages`` (of `read_arc`)."""
-    keyed = pages.withColumns({"sha1": F.sha1("payload"), "sha256": F.sha2("payload", 256), "bytes": F.octet_length("payload")})
-    # Written first, so that Spark knows its size: while few payloads repeat, the pages need no shuffle.
-    repeats = materialize(judged(pages, min_bytes), "warc-repeats")
-    met = keyed.join(repeats, ["sha1", "sha256", "bytes"], "left")
-    refers = F.when(F.col("first") != F.coalesce("page_id", F.col("first") - 1), F.col("first"))
-    rows = met.select("page_id", "url", "arrived", "head", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers_to"), "sha1", F.col("bytes").cast("long"))
+def warc_records(spark: SparkSession, arc_path: str, min_bytes: int = 0) -> DataFrame:
+    """WARC records for the ARC files under ``arc_path``.
+
+    A first pass reads digests and lengths only. Its repeats are written, so that Spark knows their size: while few
+    payloads repeat, the records need no shuffle.
+    """
+    repeats = materialize(judged(read_arc(spark, arc_path, payloads=False), min_bytes), "warc-repeats")
+    met = read_arc(spark, arc_path).join(repeats, ["sha1", "sha256", "bytes"], "left")
+    other = F.col("head").isNotNull() & (F.col("first") != F.coalesce("page_id", F.col("first") - 1))
+    refers = F.when(other, F.col("first"))
+    rows = met.select("page_id", "name", "url", "arrived", "content_type", "head", F.when(refers.isNull(), F.col("payload")).alias("payload"), refers.alias("refers_to"), "sha1", "bytes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                lines = [warc_record(*row) for row in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns))]
-                yield pa.RecordBatch.from_arrays([pa.array(lines)], names=["value"])
+        yield from batched(((member(warc_record(*(v.as_py() for v in row))),) for batch in batches for row in zip(*batch.columns)), VALUE)
 
-    return rows.mapInArrow(run, "value string")
+    return rows.mapInArrow(run, "value binary")
 
 
-def warc_record(page, url, arrived, head, payload, refers_to, sha1, size) -> str:
+def warc_record(page, name, url, arrived, content_type, head, payload, refers_to, sha1, size) -> bytes:
     digest = base64.b32encode(bytes.fromhex(sha1)).decode()
-    body = f"{head}\r\n\r\n{payload or ''}"
-    raw = body.encode()
-    date = f"{arrived[:4]}-{arrived[4:6]}-{arrived[6:8]}T{arrived[8:10]}:{arrived[10:12]}:{arrived[12:14]}Z"
+    block = (payload or b"") if head is None else b"".join((head, b"\r\n\r\n", payload or b""))
+    at = arrived + "19700101000000"[len(arrived) :]
     fields = [
         "WARC/1.0",
-        f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:uuid:{record_id(page, digest)}>",
-        f"WARC-Date: {date}",
+        f"WARC-Type: {'resource' if head is None else 'response' if refers_to is None else 'revisit'}",
+        f"WARC-Record-ID: <urn:uuid:{record_id(name, digest)}>",
+        f"WARC-Date: {at[:4]}-{at[4:6]}-{at[6:8]}T{at[8:10]}:{at[10:12]}:{at[12:14]}Z",
         f"WARC-Target-URI: {quoted(url)}",
-        "Content-Type: application/http; msgtype=response",
-        f"WARC-Block-Digest: sha1:{sha1_32(raw)}",
+        f"Content-Type: {content_type if head is None else 'application/http; msgtype=response'}",
+        f"WARC-Block-Digest: sha1:{sha1_32(block)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {size}",
         f"X-Page-Id: {'' if page is None else page}",
     ]
     if refers_to is not None:
         fields.append("WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")
-        fields.append(f"WARC-Refers-To: <urn:uuid:{record_id(refers_to, digest)}>")
+        fields.append(f"WARC-Refers-To: <urn:uuid:{record_id(str(refers_to), digest)}>")
         fields.append(f"X-Refers-To-Page-Id: {refers_to}")
-    fields.append(f"Content-Length: {len(raw)}")
-    return "\r\n".join(fields) + "\r\n\r\n" + body
+    fields.append(f"Content-Length: {len(block)}")
+    return b"".join(("\r\n".join(fields).encode(), b"\r\n\r\n", block, b"\r\n\r\n"))
 
 
-def record_id(page: int | None, digest: str) -> uuid.UUID:
-    return uuid.uuid5(_NAMESPACE, f"{page} {digest}")
+def record_id(name: str, digest: str) -> uuid.UUID:
+    return uuid.uuid5(_NAMESPACE, f"{name} {digest}")
 
 
 def warc_rows(data: bytes) -> Iterator[tuple]:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of every record of one WARC file."""
     read = Cursor(inflated(data))
     while (head := read.upto(b"\r\n\r\n")) is not None:
-        version, *lines = head.decode().split("\r\n")
+        version, *lines = said(head).split("\r\n")
         if not version.startswith("WARC/"):
             raise ValueError(f"not a WARC record: {version[:40]!r}")
         field = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
@@ -267,7 +320,7 @@ def warc_rows(data: bytes) -> Iterator[tuple]:
             raise ValueError(f"a damaged block: {field['WARC-Record-ID']}")
         read.take(4)
         kind, refers = field["WARC-Type"], field.get("X-Refers-To-Page-Id")
-        payload = block.split(b"\r\n\r\n", 1)[1] if kind == "response" else None
+        payload = block if kind == "resource" else block.split(b"\r\n\r\n", 1)[1] if kind == "response" else None
         digest = field["WARC-Payload-Digest"].removeprefix("sha1:")
         if payload is not None and sha1_32(payload) != digest:
             raise ValueError(f"a damaged payload: {field['WARC-Record-ID']}")
@@ -276,23 +329,24 @@ def warc_rows(data: bytes) -> Iterator[tuple]:
         yield int(page) if page else None, unquoted(field["WARC-Target-URI"]), size, digest, kind, int(refers) if refers else None, payload
 
 
-RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
+READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
-    """Every record of the WARC files under ``path``, checked against its digests; ``payloads`` adds the payload."""
+    """Every record of the WARC files under ``path``, checked against its digests; ``payloads`` adds the payload, as bytes."""
+    kind = READ + (", payload binary" if payloads else "")
+    schema = _schema(kind)
 
-    def rows(data):
-        for *meta, payload in warc_rows(data):
-            yield (*meta, None if payload is None else payload.decode()) if payloads else tuple(meta)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row if payloads else row[:-1] for batch in batches for value in batch.column(0) for row in warc_rows(memoryview(value.as_buffer())))
+        yield from batched(rows, schema)
 
-    schema = RECORD + (", payload string" if payloads else "")
-    return _parsed(binary_files(spark, path), rows, [c.split()[0] for c in schema.split(", ")], schema)
+    return binary_files(spark, path).mapInArrow(run, kind)
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = 0) -> None:
     """ARC files under ``arc_path`` to WARC files under ``warc_path``."""
-    write_archive(warc_records(read_arc(spark, arc_path), min_bytes), warc_path, WARC_END)
+    write_archive(warc_records(spark, arc_path, min_bytes), warc_path)
 
 
 # The same rows in SQL; base 32 is five bits at a time of the digest's hexadecimal digits.
@@ -316,6 +370,6 @@ def op7(spark, folder):
     root = fresh_path(spark, "warc")
     odd = F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(2)) == 1
     for version, part in ((1, odd), (2, ~odd)):
-        write_archive(arc_records(pages.where(part), version), f"{root}/arc/version={version}", ARC_END)
+        write_archive(arc_records(pages.where(part), version), f"{root}/arc/version={version}")
     convert(spark, f"{root}/arc/*", f"{root}/warc")
     return read_warc(spark, f"{root}/warc").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
