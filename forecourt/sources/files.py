@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import bz2
 import io
 import itertools
 import re
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +70,61 @@ BROKEN = "_broken"
 FILE_COLUMNS = {"file": "file_path", "last_modified": "file_modification_time", "block": "file_block_start"}
 
 
+#: Bytes of a file that are asked for at a time until its first line has ended.
+HEAD_BYTES = 4096
+
+
+def first_line(stream, codec: str = "") -> bytes | None:
+    """The first line of an open file, which is read no further; None if it has no bytes."""
+    unpack = {"gz": lambda: zlib.decompressobj(31), "deflate": zlib.decompressobj, "bz2": bz2.BZ2Decompressor}
+    inner = unpack[codec]() if codec else None
+    held = b""
+    while not (end := re.search(rb"[\r\n]", held)):
+        piece = stream.read(HEAD_BYTES)
+        if not piece:
+            return held or None
+        held += inner.decompress(piece) if inner else piece
+    return held[: end.start()]
+
+
 def header_lines(spark: SparkSession, path: str | Sequence[str], modified_after: str | None = None) -> DataFrame:
-    """(file, header): the first line of every file that is not empty."""
+    """(file, header): the first line of every file that is not empty.
+
+    The files are listed as for any read and not scanned: tasks open them and
+    stop after the first line. A store or codec that only Spark can open leaves
+    ``header`` NULL.
+    """
+    reader = spark.read.format("binaryFile")
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    listed = reader.load(path).where("length > 0").select(F.col("_metadata.file_path").alias("file"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            files, lines = [], []
+            for file in batch.column(0).to_pylist():
+                suffix = re.search(r"\.(gz|deflate|bz2|zstd?|snappy|lz4|lzo)$", file)
+                codec = suffix[1] if suffix else ""
+                try:
+                    system, at = pa_fs.FileSystem.from_uri(file)
+                except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+                    system = None
+                if system is None or codec not in ("", "gz", "deflate", "bz2"):
+                    files.append(file)
+                    lines.append(None)
+                    continue
+                with system.open_input_stream(at, compression=None) as stream:
+                    line = first_line(stream, codec)
+                if line is not None:
+                    files.append(file)
+                    lines.append(line.decode("utf-8", "replace").removeprefix("\ufeff"))
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(lines, pa.string())], names=["file", "header"])
+
+    return listed.mapInArrow(run, "file string, header string")
+
+
+def scanned_header_lines(spark: SparkSession, path: str | Sequence[str], modified_after: str | None = None) -> DataFrame:
+    """As `header_lines`, by Spark's own reader, which reads the files whole."""
     reader = spark.read.option("modifiedAfter", modified_after) if modified_after else spark.read
     lines = reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -94,14 +151,21 @@ def read_text_table(
     A row with too few or too many fields is padded or cut; with ``broken`` its
     text is kept in the column ``_broken`` (`count_broken` counts them), with
     ``strict`` it is an error. ``file`` adds the columns of FILE_COLUMNS. The
-    driver holds the list of files, as for any read, and one header each.
+    driver gets the different headers with a file of each; only where there are
+    several does it list their files, as any read of them does.
     """
-    files: dict[str, list[str]] = {}
-    for row in header_lines(spark, path, modified_after).collect():
-        files.setdefault(row["header"], []).append(unquote(row["file"]))
+    heads = header_lines(spark, path, modified_after)
+    files = {r["header"]: [unquote(r["file"])] for r in heads.groupBy("header").agg(F.min("file").alias("file")).collect()}
+    if None in files:
+        heads = scanned_header_lines(spark, path, modified_after)
+        files = {r["header"]: [unquote(r["file"])] for r in heads.groupBy("header").agg(F.min("file").alias("file")).collect()}
+    if len(files) > 1:
+        files = {r["header"]: [unquote(f) for f in r["files"]] for r in heads.groupBy("header").agg(F.collect_list("file").alias("files")).collect()}
     reader = spark.read.option("header", True).option("sep", sep).option("quote", quote).option("escape", quote)
     header_reader = reader
     reader = spark.read.options(header=True, sep=sep, quote=quote, escape=quote, columnNameOfCorruptRecord=BROKEN)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     # Spark counts a row's fields only when it parses them all.
     reader = reader.options(mode="FAILFAST" if strict else "PERMISSIVE", columnPruning=not (strict or broken))
     if not files:
@@ -113,7 +177,7 @@ def read_text_table(
         # The header of one of the files, parsed as the reader parses it.
         first = header_reader.csv(sorted(files[header])[0])
         schema = T.StructType([T.StructField(n, T.StringType()) for n in [*first.columns, *([BROKEN] if broken else [])]])
-        part = reader.schema(schema).csv(path if len(files) == 1 and not modified_after else files[header])
+        part = reader.schema(schema).csv(path if len(files) == 1 else files[header])
         if file:
             part = part.select("*", *[F.col(f"_metadata.{c}").alias(n) for n, c in FILE_COLUMNS.items()])
         if broken:  # Spark refuses to read that column alone, so another one has a say that is always yes

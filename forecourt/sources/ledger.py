@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forecourt.operators.incremental import high_water
-from forecourt.session import materialize
-from forecourt.sources.sinks import replace_table
+from forecourt.session import child_folders, materialize, remove_folder
 
 LEDGER_SCHEMA = "id bigint, file string, last_modified timestamp, script string, scanned timestamp"
 
@@ -46,29 +48,53 @@ def with_file_id(rows: DataFrame, ledger: DataFrame, script: str, out: str = "fi
     return rows.join(ids, ["file"]).drop("file")
 
 
-def publish_files(rows: DataFrame, rows_table: str, ledger: DataFrame, ledger_table: str, script: str, now: Column, base: str | None = None) -> None:
-    """Put ``rows`` (with file and last_modified) and their files into the two tables, in this order.
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger at ``path``, a partition per job; empty before the first delivery."""
+    schema = spark.createDataFrame([], LEDGER_SCHEMA).schema
+    return spark.read.schema(schema).parquet(path) if child_folders(spark, path) else spark.createDataFrame([], schema)
+
+
+def read_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Landed rows of ``schema`` with their ``script`` and ``file_id``, the partitions they lie in."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    wide = T.StructType([*fields, T.StructField("script", T.StringType()), T.StructField("file_id", T.LongType())])
+    return spark.read.schema(wide).parquet(path) if child_folders(spark, path) else spark.createDataFrame([], wide)
 
-    Rows go by the id of their file, a hash, and replace what an earlier attempt
-    left under it; the ledger follows. A crash in between leaves rows whose file
-    the ledger lacks: `published` hides them, and the next attempt, which still
-    sees the files as new, replaces them. So each file counts once or not yet.
+
+def publish_files(rows: DataFrame, rows_path: str, ledger_path: str, script: str, now: Column) -> None:
+    """Land ``rows`` (with file and last_modified) of files the job has not read, then enter the files into the ledger.
+
+    Rows lie in a partition per job and file id, the ledger in one per job, so a
+    delivery writes its own rows and ledger rows only. A crash in between leaves
+    rows whose file the ledger lacks: `published` hides them, and the next
+    attempt, which still sees the files as new, overwrites their partitions. So
+    each file counts once or not yet.
     """
     spark = rows.sparkSession
+    ledger = read_ledger(spark, ledger_path)
     fresh = rows_of_new_files(rows, ledger, script)
     files = fresh.select("file", "last_modified").distinct()
-    entered = record_files(ledger, files, script, now)
-    landed = with_file_id(fresh.drop("last_modified"), entered, script)
-    if spark.catalog.tableExists(rows_table):
-        stored = spark.table(rows_table)
-        kept = stored.join(landed.select("file_id").distinct(), ["file_id"], "left_anti")
-        landed = kept.unionByName(landed.select(*stored.columns))
-    # The files are fixed before the rows table changes under them.
-    entered = materialize(entered, "ledger")
-    replace_table(landed, rows_table, base)
-    replace_table(entered, ledger_table, base)
-
-
-def published(rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Rows whose file the ledger has."""
-    return rows.join(ledger.select(F.col("id").alias("file_id")), ["file_id"], "left_semi")
+    # The files are fixed before anything is landed.
+    entered = materialize(record_files(spark.createDataFrame([], ledger.schema), files, script, now), "ledger")
+    landed = with_file_id(fresh.drop("last_modified"), entered, script).withColumn("script", F.lit(script))
+    dynamic = landed.hint("rebalance", "file_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dynamic.partitionBy("script", "file_id").parquet(rows_path)
+    append_ledger(entered, ledger_path)
+
+
+def append_ledger(entered: DataFrame, path: str) -> None:
+    entered.coalesce(1).write.mode("append").partitionBy("script").parquet(path)
+
+
+def published(rows: DataFrame, ledger: DataFrame, script: str) -> DataFrame:
+    """The job's rows whose file the ledger has; other jobs' partitions, and those of other files, are not read."""
+    mine = ledger.where(F.col("script") == script).select(F.col("id").alias("file_id"))
+    return rows.where(F.col("script") == script).join(mine, ["file_id"], "left_semi")
+
+
+def purge_job(spark: SparkSession, rows_path: str, ledger_path: str, script: str) -> None:
+    """Forget the job's files, so that they are read again, and drop their rows: two folders, the ledger's first."""
+    for path in (ledger_path, rows_path):
+        for folder, _ in child_folders(spark, path):
+            if unquote(folder.rsplit("/", 1)[-1]) == f"script={script}":
+                remove_folder(spark, folder)

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.operators.merge import upsert_replace
-from forecourt.session import fresh_path, materialize
+from forecourt.session import child_folders, fresh_path, materialize, remove_folder
 
 
 def replace_table(df: DataFrame, table: str, base: str | None = None) -> None:
@@ -44,6 +45,17 @@ def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partit
     writer.partitionBy(partition).parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, partition: str, gone: Callable[[str], bool]) -> list[str]:
+    """Remove the partitions whose value, as text, is ``gone``; the values. Other partitions are not touched."""
+    values = []
+    for folder, _ in child_folders(spark, path):
+        name, _, value = folder.rsplit("/", 1)[-1].partition("=")
+        if name == partition and gone(unquote(value)):
+            remove_folder(spark, folder)
+            values.append(unquote(value))
+    return sorted(values)
+
+
 def refresh_views(spark: SparkSession, views: Mapping[str, Callable[[DataFrame], DataFrame]], source: DataFrame, names: Sequence[str] | None = None, prefix: str = "") -> dict[str, str]:
     """Recompute and swap the named derived tables; returns view -> table name.
 

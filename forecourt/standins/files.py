@@ -280,13 +280,32 @@ def _(t):
 )
 def _(t):
     """Three deliveries, one after the other; the last one also brings the first's file again."""
-    rows_table, ledger_table = (f"forecourt_{x}_{uuid.uuid4().hex}" for x in ("rows", "ledger"))
-    rows = t.lineitem.select(F.col("l_returnflag").alias("file"), F.col("l_returnflag").alias("flag"), F.lit("2024-01-01").cast("timestamp").alias("last_modified"))
-    ledger = t.spark.createDataFrame([], G.LEDGER_SCHEMA)
-    for flags in (["A"], ["N"], ["R", "A"]):
-        G.publish_files(rows.where(F.col("file").isin(flags)), rows_table, ledger, ledger_table, "deliveries", F.lit("2024-01-02").cast("timestamp"))
-        ledger = t.spark.table(ledger_table)
-    return G.published(t.spark.table(rows_table), ledger).groupBy("flag").agg(F.count("*").alias("n"))
+    rows_path, ledger_path = fresh_path(t.spark, "rows"), fresh_path(t.spark, "ledger")
+    _deliveries(t, rows_path, ledger_path, "deliveries", (["A"], ["N"], ["R", "A"]))
+    return G.published(G.read_rows(t.spark, rows_path, "flag string, line bigint"), G.read_ledger(t.spark, ledger_path), "deliveries").groupBy("flag").agg(F.count("*").alias("n"))
+
+
+def _deliveries(t, rows_path, ledger_path, script, deliveries):
+    rows = t.lineitem.select(F.col("l_returnflag").alias("file"), F.col("l_returnflag").alias("flag"), F.col("l_linenumber").cast("bigint").alias("line"), F.lit("2024-01-01").cast("timestamp").alias("last_modified"))
+    for flags in deliveries:
+        G.publish_files(rows.where(F.col("file").isin(flags)), rows_path, ledger_path, script, F.lit("2024-01-02").cast("timestamp"))
+
+
+@query(
+    "ledger_purge",
+    """select 'first' as script, l_returnflag as flag, count(*) as n from lineitem where l_returnflag = 'A' group by 2
+       union all select 'second', l_returnflag, count(*) from lineitem where l_returnflag <> 'A' group by 2""",
+)
+def _(t):
+    """Two jobs have read files; the first is purged and reads one of them again."""
+    rows_path, ledger_path = fresh_path(t.spark, "rows"), fresh_path(t.spark, "ledger")
+    _deliveries(t, rows_path, ledger_path, "first", (["A", "R"],))
+    _deliveries(t, rows_path, ledger_path, "second", (["N", "R"],))
+    G.purge_job(t.spark, rows_path, ledger_path, "first")
+    _deliveries(t, rows_path, ledger_path, "first", (["A"],))
+    rows, ledger = G.read_rows(t.spark, rows_path, "flag string, line bigint"), G.read_ledger(t.spark, ledger_path)
+    both = G.published(rows, ledger, "first").unionByName(G.published(rows, ledger, "second"))
+    return both.groupBy("script", "flag").agg(F.count("*").alias("n"))
 
 
 # --- extracts -------------------------------------------------------------

@@ -153,6 +153,23 @@ def _(t):
     return M.purge_for_reprocess(rollup, "date", F.lit("1998-07-01").cast("timestamp"))
 
 
+@query(
+    "purge_partitions",
+    "select l_suppkey, date_trunc('month', l_shipdate)::date as date, count(*) as n from lineitem group by 1, 2 having date < date '1998-07-01'",
+)
+def _(t):
+    """The same on a stored rollup with a partition per month: the months to be rebuilt are dropped, the others not read."""
+    from forecourt.operators.aggregates import count_by_period
+    from forecourt.session import fresh_path
+    from forecourt.sources.sinks import drop_partitions
+
+    path = fresh_path(t.spark, "rollup")
+    rollup = count_by_period(t.lineitem, ["l_suppkey"], "l_shipdate", "month").withColumn("date", F.to_date("date"))
+    rollup.repartition("date").write.partitionBy("date").parquet(path)
+    drop_partitions(t.spark, path, "date", lambda month: month >= "1998-07-01")
+    return t.spark.read.schema(rollup.schema).parquet(path)
+
+
 @query(
     "register_session",
     """select c_custkey as id, c_mktsegment as schema, c_name as script, '{"balance":' || c_nationkey || '}' as payload, c_acctbal > 0 as validated from customer

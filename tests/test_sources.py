@@ -179,28 +179,84 @@ def test_rejects_count_lost_digits(spark):
         P.typed_view(rows.limit(2), spec, strict=True).collect()
 
 
+V = "v int"
+
+
+def landed_files(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
 def test_publish_survives_a_stop_between_rows_and_ledger(spark, tmp_path, monkeypatch):
-    for t in ("pub_rows", "pub_ledger"):
-        spark.sql(f"drop table if exists {t}")
     now = F.lit("2024-01-02").cast("timestamp")
     rows = spark.createDataFrame([("a", datetime(2024, 1, 1), 1), ("a", datetime(2024, 1, 1), 2), ("b", datetime(2024, 1, 1), 3)], "file string, last_modified timestamp, v int")
-    none = spark.createDataFrame([], G.LEDGER_SCHEMA)
-    real = K.replace_table
-
-    def stops(df, table, base=None):
-        if table == "pub_ledger":
-            raise RuntimeError("stopped")
-        real(df, table, base)
-
-    monkeypatch.setattr(G, "replace_table", stops)
+    paths = str(tmp_path / "rows"), str(tmp_path / "ledger")
+    seen = lambda script="job": sorted(r.v for r in G.published(G.read_rows(spark, paths[0], V), G.read_ledger(spark, paths[1]), script).collect())
+    assert seen() == []
+    real = G.append_ledger
+    monkeypatch.setattr(G, "append_ledger", lambda *_: (_ for _ in ()).throw(RuntimeError("stopped")))
     with pytest.raises(RuntimeError):
-        G.publish_files(rows, "pub_rows", none, "pub_ledger", "job", now, str(tmp_path))
-    assert G.published(spark.table("pub_rows"), none).count() == 0
-    monkeypatch.setattr(G, "replace_table", real)
-    G.publish_files(rows, "pub_rows", none, "pub_ledger", "job", now, str(tmp_path))
+        G.publish_files(rows.withColumn("v", F.col("v") + 100), *paths, "job", now)
+    assert seen() == [] and G.read_rows(spark, paths[0], V).count() == 3
+    monkeypatch.setattr(G, "append_ledger", real)
+    G.publish_files(rows, *paths, "job", now)
+    assert seen() == [1, 2, 3]
+    before = {**landed_files(tmp_path / "rows"), **landed_files(tmp_path / "ledger")}
     again = rows.unionByName(rows.limit(1).withColumn("file", F.lit("c")))
-    G.publish_files(again, "pub_rows", spark.table("pub_ledger"), "pub_ledger", "job", now, str(tmp_path))
-    assert sorted(r.v for r in G.published(spark.table("pub_rows"), spark.table("pub_ledger")).collect()) == [1, 1, 2, 3]
+    G.publish_files(again, *paths, "job", now)
+    after = {**landed_files(tmp_path / "rows"), **landed_files(tmp_path / "ledger")}
+    assert seen() == [1, 1, 2, 3] and before.items() <= after.items() and len(after) == len(before) + 2  # c's rows and ledger row
+
+
+def test_purging_a_job_drops_its_partitions_only(spark, tmp_path):
+    now = F.lit("2024-01-02").cast("timestamp")
+    rows = spark.createDataFrame([(f, datetime(2024, 1, 1), v) for v, f in enumerate("aabc")], "file string, last_modified timestamp, v int")
+    paths = str(tmp_path / "rows"), str(tmp_path / "ledger")
+    for job in ("one", "the other/job"):
+        G.publish_files(rows, *paths, job, now)
+    before = landed_files(tmp_path / "rows")
+    G.purge_job(spark, *paths, "the other/job")
+    stored, ledger = G.read_rows(spark, paths[0], V), G.read_ledger(spark, paths[1])
+    assert [r.script for r in ledger.select("script").distinct().collect()] == ["one"]
+    assert {r.script for r in stored.collect()} == {"one"} and landed_files(tmp_path / "rows").items() < before.items()
+    assert G.rows_of_new_files(rows, ledger, "the other/job").count() == 4 and G.rows_of_new_files(rows, ledger, "one").count() == 0
+    plan = G.published(stored, ledger, "one")._jdf.queryExecution().executedPlan().toString()
+    assert "script#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "dynamicpruning" in plan
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    import bz2
+    import io
+    import zlib
+
+    class Counted(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            self.taken += n
+            return super().read(n)
+
+    body = b"\xef\xbb\xbfid,city\r\n" + b"1,x\r\n" * 500_000
+    for codec, data in (("", body), ("gz", gzip.compress(body)), ("bz2", bz2.compress(body)), ("deflate", zlib.compress(body))):
+        stream = Counted(data)
+        assert S.first_line(stream, codec) == b"\xef\xbb\xbfid,city" and stream.taken <= 4 * S.HEAD_BYTES
+        (tmp_path / f"f.csv{codec and '.' + codec}").write_bytes(data)
+    assert S.first_line(Counted(b"")) is None and S.first_line(Counted(b"\nx")) == b"" and S.first_line(Counted(b"a" * 9000)) == b"a" * 9000
+    (tmp_path / "none.csv").write_bytes(b"")
+    (tmp_path / "none.csv.gz").write_bytes(gzip.compress(b""))
+    heads = S.header_lines(spark, str(tmp_path))
+    assert sorted((r.file.rsplit("/", 1)[-1], r.header) for r in heads.collect()) == [(n, "id,city") for n in ("f.csv", "f.csv.bz2", "f.csv.deflate", "f.csv.gz")]
+    assert sorted(r for r in heads.collect()) == sorted(S.scanned_header_lines(spark, str(tmp_path)).collect())
+    plan = heads._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema: ")[1]
+    assert S.read_text_table(spark, str(tmp_path)).count() == 4 * 500_000
+
+
+def test_headers_fall_back_to_sparks_reader(spark, tmp_path, monkeypatch):
+    """Files that only Spark can open are read by it."""
+    (tmp_path / "a.csv").write_text("id,city\n1,x\n")
+    (tmp_path / "b.csv").write_text("id\n2\n")
+    monkeypatch.setattr(S, "header_lines", lambda *_: S.scanned_header_lines(spark, str(tmp_path)).withColumn("header", F.lit(None).cast("string")))
+    assert sorted((r.id, r.city) for r in S.read_text_table(spark, str(tmp_path)).collect()) == [("1", "x"), ("2", None)]
 
 
 def test_scratch_folder_must_be_named_and_is_pruned(spark):
