@@ -8,7 +8,7 @@ Sampling. Of the places in a ``SPAN``-byte string, its anchor is the one whose `
 bytes, are enough to find every equal string. Neighbouring strings with one anchor are a run; a run is known by the
 bytes it covers and the place of its anchor in them.
 
-1. Documents are dealt to blocks by a hash of doc_id. A block sends the hashes of its anchors' heads, sorted, to
+1. Documents are dealt to blocks by a hash of doc_id and text. A block sends the hashes of its anchors' heads, sorted, to
    buckets by hash; a bucket answers which heads stand in two or more blocks or documents.
 2. A block sends the runs of those heads to the head's bucket, of equal runs only those of its smallest doc_id; the
    block's others are covered at once.
@@ -366,31 +366,50 @@ def known_before(keys: np.ndarray, doc: np.ndarray, batch: int = BATCH) -> np.nd
     return out
 
 
-def _judged_runs(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(whole runs that are covered, then (run, offset) of further covered strings)."""
+def _judged_runs(keys: np.ndarray, doc: np.ndarray, batch: int = BATCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whole runs that are covered, then (run, offset) of further covered strings).
+
+    Equal strings have equal heads, so the strings of some heads, about ``batch`` of them, are held at a time.
+    """
     whole = known_before(keys, doc)
     left = np.flatnonzero(~whole)
     rows = keys.view(np.uint8).reshape(-1, WIDE + 2)
-    place = rows[left, WIDE].astype(np.int64)
-    heads = rows[left[:, None], place[:, None] + np.arange(HEAD)].view(f"S{HEAD}")[:, 0] if len(left) else np.empty(0, f"S{HEAD}")
+    heads = np.empty((len(left), HEAD), np.uint8)
+    for low in range(0, len(left), 1 << 12):
+        x = left[low : low + (1 << 12)]
+        heads[low : low + len(x)] = rows[x[:, None], rows[x, WIDE].astype(np.int32)[:, None] + np.arange(HEAD, dtype=np.int32)]
+    heads = heads.view(f"S{HEAD}")[:, 0]
     order = np.argsort(heads, kind="stable")
     new = np.concatenate(([True], heads[order][1:] != heads[order][:-1])) if len(left) else np.zeros(0, bool)
-    group = np.cumsum(new) - 1
-    alone = np.bincount(group)[group] == 1 if len(left) else new
-    part = left[order[~alone]]
-    n = rows[part, WIDE + 1].astype(np.int64)
-    of = np.repeat(part, n)
-    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    if not len(of):
-        return np.flatnonzero(whole), of, offset
-    place = rows[of, WIDE].astype(np.int64) - offset
-    strings = np.empty((len(of), SPAN + 1), np.uint8)
-    for low in range(0, len(of), 1 << 12):
-        s = slice(low, low + (1 << 12))
-        strings[s, :SPAN] = rows[of[s, None], offset[s, None] + np.arange(SPAN)]
-    strings[:, SPAN] = place + 1
-    hit = known_before(strings.view(f"S{SPAN + 1}")[:, 0], doc[of], 1 << 18)
-    return np.flatnonzero(whole), of[hit], offset[hit]
+    del heads
+    group = np.cumsum(new, dtype=np.int32) - 1
+    several = np.bincount(group)[group] > 1 if len(left) else new
+    part, group = left[order[several]], group[several]
+    edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(part) else np.empty(0, np.int64)
+    runs_, offsets = [], []
+    for of in _pieces(part, edges, max(1, batch // PLACES)):
+        n = rows[of, WIDE + 1].astype(np.int32)
+        of = np.repeat(of, n)
+        offset = np.arange(n.sum(), dtype=np.int32) - np.repeat(np.cumsum(n, dtype=np.int32) - n, n)
+        strings = np.empty((len(of), SPAN + 1), np.uint8)
+        for low in range(0, len(of), 1 << 12):
+            s = slice(low, low + (1 << 12))
+            strings[s, :SPAN] = rows[of[s, None], offset[s, None] + np.arange(SPAN, dtype=np.int32)]
+        strings[:, SPAN] = rows[of, WIDE] - offset + 1  # the place of the anchor in the string
+        hit = known_before(strings.view(f"S{SPAN + 1}")[:, 0], doc[of], 1 << 18)
+        runs_.append(of[hit])
+        offsets.append(offset[hit])
+    empty = np.empty(0, np.int64)
+    return np.flatnonzero(whole), np.concatenate(runs_) if runs_ else empty, np.concatenate(offsets) if offsets else empty
+
+
+def _judged_strings(keys: np.ndarray, doc: np.ndarray, batch: int = BATCH) -> np.ndarray:
+    """Places of the strings that also stand with a smaller doc; those of some hashes are held at a time."""
+    h = _byte_hash(keys)
+    order = np.argsort(h, kind="stable")
+    edges = np.flatnonzero(np.concatenate(([True], h[order][1:] != h[order][:-1]))) if len(keys) else np.empty(0, np.int64)
+    hits = [part[known_before(keys[part], doc[part], 1 << 18)] for part in _pieces(order, edges, batch)]
+    return np.sort(np.concatenate(hits)) if hits else np.empty(0, np.int64)
 
 
 def _judged(sent: pa.Table) -> pa.Table:
@@ -410,6 +429,7 @@ def _judged(sent: pa.Table) -> pa.Table:
             key[:, WIDE], key[:, WIDE + 1] = place, count
             parts.append((key.view(f"S{WIDE + 2}")[:, 0], doc, row, start, np.full(len(doc), block)))
         keys, doc, row, start, block = (np.concatenate(x) for x in zip(*parts))
+        del parts, key, flat
         whole, of, offset = _judged_runs(keys, doc)
         count = keys.view(np.uint8).reshape(-1, WIDE + 2)[:, WIDE + 1].astype(np.int64)
         found.append((block[whole], row[whole], start[whole], count[whole] + SPAN - 1))
@@ -420,7 +440,7 @@ def _judged(sent: pa.Table) -> pa.Table:
             flat, doc, row, start = _unpack(body, np.uint8, np.int64, np.int32, np.int32)
             parts.append((flat.view(f"S{SPAN}"), doc, row, start, np.full(len(doc), block)))
         keys, doc, row, start, block = (np.concatenate(x) for x in zip(*parts))
-        hit = np.flatnonzero(known_before(keys, doc, 1 << 18))
+        hit = _judged_strings(keys, doc)
         found.append((block[hit], row[hit], start[hit], np.full(len(hit), SPAN)))
     if found:
         block, row, start, size = (np.concatenate(x) for x in zip(*found))
@@ -441,12 +461,13 @@ def _cut(block: Block, covers: pa.Table, block_name: str, added: list[str]) -> p
         np.add.at(change, at, np.int16(1))
         np.add.at(change, at + size, np.int16(-1))
     gone = np.cumsum(change[:-1], dtype=np.int32) > 0
-    run = np.concatenate(([0], np.cumsum(gone)))
+    del change
+    run = np.concatenate((np.zeros(1, np.int32), np.cumsum(gone, dtype=np.int32)))
     n_bytes = block.ends - block.starts
     removed = run[block.ends] - run[block.starts]
     first = gone & ~np.concatenate(([False], gone[:-1]))
     first[block.starts[n_bytes > 0]] = gone[block.starts[n_bytes > 0]]
-    run = np.concatenate(([0], np.cumsum(first)))
+    run = np.concatenate((np.zeros(1, np.int32), np.cumsum(first, dtype=np.int32)))
     spans = run[block.ends] - run[block.starts]
     texts, digests = block.rows["text"].to_pylist(), []
     for k, (a, b) in enumerate(zip(block.starts.tolist(), block.ends.tolist())):
@@ -457,7 +478,7 @@ def _cut(block: Block, covers: pa.Table, block_name: str, added: list[str]) -> p
         digests.append(hashlib.sha256(kept).hexdigest())
     rows = block.rows.drop_columns([block_name])
     rows = rows.set_column(rows.column_names.index("text"), "text", pa.array(texts, pa.string()))
-    for name, values in zip(added, (n_bytes, removed, spans, digests)):
+    for name, values in zip(added, (n_bytes, removed.astype(np.int64), spans.astype(np.int64), digests)):
         rows = rows.append_column(name, pa.array(values))
     return rows
 
@@ -475,15 +496,16 @@ def deduplicate(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: i
     blocks, buckets = max(8, -(-total // block_bytes)), max(8, -(-total // bucket_bytes))
     added = spare(docs, *ADDED)
     (name,) = spare(docs, "block")
-    dealt = docs.withColumn(name, F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
-    by_block = dealt.groupBy(name)
+    # By both, so that rows of one doc_id, or of none, spread; they never remove one another's bytes, wherever they lie.
+    dealt = docs.withColumn(name, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
+    by_block = dealt.select(name, "doc_id", "text").groupBy(name)
     sent = by_block.applyInArrow(lambda rows: _sent_heads(Block(rows, name), buckets), "bucket int, block long, narrow boolean, heads binary")
     answers = sent.groupBy("bucket").applyInArrow(_answered_heads, "block long, bucket int, answer binary")
     both = by_block.cogroup(answers.groupBy("block"))
     found = both.applyInArrow(lambda rows, answer: _sent_runs(Block(rows, name), answer, buckets), "bucket int, kind string, block long, body binary")
     covers = found.groupBy("bucket").applyInArrow(_judged, "block long, body binary")
     out = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in added[:3]], T.StructField(added[3], T.StringType())])
-    return by_block.cogroup(covers.groupBy("block")).applyInArrow(lambda rows, cover: _cut(Block(rows, name), cover, name, added), out)
+    return dealt.groupBy(name).cogroup(covers.groupBy("block")).applyInArrow(lambda rows, cover: _cut(Block(rows, name), cover, name, added), out)
 
 
 @query("op2_suffix_dedup")

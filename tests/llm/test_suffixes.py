@@ -119,3 +119,44 @@ def test_family_levels_grow_geometrically():
     for at in range(0, 64):
         family.add(np.array([f"{at:05d}"], "S5"))
         assert all(len(a) > 2 * len(b) for a, b in zip(family.levels, family.levels[1:]))
+
+
+def test_strings_of_a_bucket_are_held_some_heads_at_a_time():
+    """60 000 runs of shared heads have some two million strings; a fraction of them is held at once."""
+    import tracemalloc
+
+    import numpy as np
+
+    r = random.Random(6)
+    heads = ["".join(r.choice("abcdefgh") for _ in range(X.HEAD)).encode() for _ in range(600)]
+    keys = np.zeros((60_000, X.WIDE + 2), np.uint8)
+    for k in range(len(keys)):
+        place, tail = 34, bytes(r.choices(b"xy", k=X.WIDE))
+        keys[k, : X.WIDE] = np.frombuffer(tail[:place] + r.choice(heads) + tail, np.uint8)[: X.WIDE]
+        keys[k, X.WIDE :] = place, X.PLACES
+    doc = np.array([r.randrange(10**6) for _ in range(len(keys))])
+    keys = keys.view(f"S{X.WIDE + 2}")[:, 0]
+    tracemalloc.start()
+    whole, of, offset = X._judged_runs(keys, doc)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90 << 20  # all strings at once take over 100 MB, and several times that to sort
+    some = set(r.sample(range(len(keys)), 200))
+    rows = keys.view(np.uint8).reshape(-1, X.WIDE + 2)
+    first = {}
+    for k in range(len(keys)):
+        for o in range(X.PLACES):
+            s = rows[k, o : o + X.SPAN].tobytes()
+            first[s] = min(first.get(s, 10**9), doc[k])
+    hit = set(zip(of.tolist(), offset.tolist())) | {(k, o) for k in whole.tolist() for o in range(X.PLACES)}
+    for k in some:
+        for o in range(X.PLACES):
+            assert ((k, o) in hit) == (first[rows[k, o : o + X.SPAN].tobytes()] < doc[k])
+
+
+def test_a_text_longer_than_a_block(docs):
+    r = random.Random(9)
+    long = " ".join(r.choice(["alpha", "beta", "gamma", "delta"]) + str(r.randrange(10**6)) for _ in range(25_000))
+    rows = [(1, long), (2, "new: " + long[100_000:200_000]), (None, long[-70_000:]), (None, long[:60])]
+    assert len(long) > 250_000
+    assert result(X.deduplicate(docs(rows), block_bytes=20_000, bucket_bytes=20_000).collect()) == brute(rows)
