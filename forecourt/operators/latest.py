@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.operators.spread import spread_join, with_group_stats, with_recency_rank
+from forecourt.operators.spread import spread_join, top_recency_ranks, with_group_stats, with_recency_rank
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Column, newest: bool) -> DataFrame:
@@ -56,6 +56,6 @@ def top_recent(df: DataFrame, keys: Sequence[str], ts: str, n: int, rank: str =
 
 
 def flag_old(df: DataFrame, keys: Sequence[str], ts: str, n: int, out: str = "is_old") -> DataFrame:
-    """Flag rows whose recency rank exceeds ``n``."""
-    ranked = with_recency_rank(df, keys, ts, "_rank")
-    return ranked.withColumn(out, F.when(F.col("_rank") > n, 1).otherwise(0)).drop("_rank")
+    """Flag rows whose recency rank exceeds ``n``: those at none of the instants of the newest ``n``."""
+    ranked = spread_join(df, top_recency_ranks(df, keys, ts, n, "_rank"), [*keys, ts], "left")
+    return ranked.withColumn(out, F.when(F.col("_rank").isNull(), 1).otherwise(0)).drop("_rank")

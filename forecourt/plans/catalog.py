@@ -66,9 +66,10 @@ def training_set(listings: DataFrame, catalog: DataFrame, top: int | None = None
     """Listings matched to catalog vehicles, with the vehicle's listing count and recency rank.
 
     ``listings`` has one row per VIN and ``catalog`` is the output of
-    ``catalog_clean``. A pattern may hold much of the listings, so the join
-    repeats the catalog over salts. Rows without pattern, date or a vehicle
-    column are left out. ``top`` keeps ranks up to it.
+    ``catalog_clean``, best a written table, whose size Spark knows; beyond what
+    it broadcasts, patterns that hold much of the listings are spread over
+    salts. Rows without pattern, date or a vehicle column are left out. ``top``
+    keeps ranks up to it.
     """
     rows = listings.select("vin", F.col("taxonomy_vin").alias("vin_pattern"), "trim_orig", F.col("miles").alias("mileage"), "price", "status_date")
     rows = rows.dropna(subset=["vin_pattern", "status_date"])

@@ -83,8 +83,9 @@ def _verdict() -> Column:
 
 
 def training_rows(listings: DataFrame, catalog_rows: DataFrame) -> DataFrame:
-    """The training set of the models: the newest listings of each vehicle, ties included, written once."""
-    rows = training_set(listings, catalog_clean(catalog_rows), MAX_VEHICLES)
+    """The training set of the models: the newest listings of each vehicle, ties included, written once, as is the catalog."""
+    clean = materialize(catalog_clean(catalog_rows), "catalog")
+    rows = training_set(listings, clean, MAX_VEHICLES)
     return materialize(rows.select("vin", *VEHICLE, "body_type", "msrp", "mileage", "price"), "training")
 
 

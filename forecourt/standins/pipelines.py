@@ -433,7 +433,7 @@ _TRAIN_SQL = f"""(select vin, year, make, model, trim, style, body_type, msrp, m
 
 @query("training_set", f"select * from {_TRAIN_SQL} s")
 def _(t):
-    clean = catalog.catalog_clean(_catalog(t))
+    clean = materialize(catalog.catalog_clean(_catalog(t)), "catalog")
     return catalog.training_set(_one_listing(t), clean).withColumn("msrp", F.round("msrp", 4))
 
 

@@ -10,7 +10,8 @@ from forecourt.operators import incremental as I
 from forecourt.operators import joins as J
 from forecourt.operators import latest as W
 from forecourt.operators import merge as M
-from forecourt.operators.spread import recency_ranks, spread_join, with_group_stats, with_recency_rank
+from forecourt.operators.latest import flag_old
+from forecourt.operators.spread import heavy_keys, recency_ranks, spread_join, top_recency_ranks, with_group_stats, with_recency_rank
 
 DAY = datetime(2024, 1, 1)
 
@@ -105,10 +106,51 @@ def test_recency_rank_equals_window(spark, rows, seed):
     assert rows(got.select(cols)) == rows(want.select(cols))
     top = with_recency_rank(df, ["k"], "ts", "rank", "n", top=5)
     assert rows(top.select(cols)) == rows(want.where("rank <= 5").select(cols))
+    for n in (1, 40, 10_000):
+        assert rows(with_recency_rank(df, ["k"], "ts", "rank", "n", top=n).select(cols)) == rows(want.where(F.col("rank") <= n).select(cols))
+        flagged = want.withColumn("is_old", F.when(F.col("rank") > n, 1).otherwise(0))
+        assert rows(flag_old(df, ["k"], "ts", n).select("i", "is_old")) == rows(flagged.select("i", "is_old"))
     per_ts = recency_ranks(df, ["k"], "ts", "rank", "n")
     assert rows(per_ts) == rows(want.select("k", "ts", "rank", "n").distinct())
 
 
+def test_top_ranks_cut_groups_before_the_shuffle(spark):
+    """No window, and no sort, sees more of a group than each task's newest instants."""
+    df = spark.range(20_000).selectExpr("id % 3 as k", "timestamp_seconds(id) as ts")
+    ranks = top_recency_ranks(df.repartition(4), ["k"], "ts", 5)
+    plan = ranks._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit [k" in plan and "Partial" in plan and plan.count("Exchange hashpartitioning") == 2
+    assert sorted((r.k, r["rank"]) for r in ranks.collect()) == [(k, n) for k in range(3) for n in range(1, 6)]
+
+
+def test_heavy_keys_are_found_and_others_are_not(spark):
+    rows = [("hot", k) for k in range(600)] + [(None, k) for k in range(200)] + [(f"k{k}", k) for k in range(200)]
+    df = spark.createDataFrame(rows, "k string, v int").repartition(5)
+    hashes = {r.k: r.h for r in df.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    assert heavy_keys(df, ["k"]) == sorted([hashes["hot"], hashes[None]])
+    assert heavy_keys(df.where("k like 'k%'"), ["k"]) == [] and heavy_keys(df.limit(0), ["k"]) == []
+
+
+def test_only_heavy_keys_are_salted(spark, rows):
+    small = spark.range(1000).selectExpr("concat('k', id) as k", "id as s")
+    even = spark.range(5000).selectExpr("concat('k', id % 1000) as k", "id as v")
+    skewed = spark.range(5000).selectExpr("if(id % 3 = 0, concat('k', id % 1000), 'k7') as k", "id as v")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    try:
+        assert "Generate" not in plan(spread_join(skewed, small, ["k"], salts=5))  # broadcast: no key is hot
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "Generate" not in plan(spread_join(even, small, ["k"], salts=5))
+        split = spread_join(skewed, small, ["k"], salts=5)
+        assert "Generate" in plan(split) and rows(split) == rows(spread_join(skewed, small, ["k"]))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        parts = split.where("k = 'k7'").select(F.spark_partition_id().alias("p")).distinct().count()
+        assert parts > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_spread_join_equals_plain_join(spark, rows):
     big = spark.createDataFrame([("hot", 1)] * 50 + [("cold", 2), (None, 3), ("none", 4)], "k string, v int").repartition(7)
     small = spark.createDataFrame([("hot", "h"), ("cold", "c"), (None, "n")], "k string, s string")
