@@ -498,14 +498,14 @@ def deduplicate(docs: DataFrame, block_bytes: int = BLOCK_BYTES, bucket_bytes: i
     (name,) = spare(docs, "block")
     # By both, so that rows of one doc_id, or of none, spread; they never remove one another's bytes, wherever they lie.
     dealt = docs.withColumn(name, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    by_block = dealt.select(name, "doc_id", "text").groupBy(name)
+    by_block = dealt.groupBy(name)  # with all columns in every step, so that one shuffle serves all three
     sent = by_block.applyInArrow(lambda rows: _sent_heads(Block(rows, name), buckets), "bucket int, block long, narrow boolean, heads binary")
     answers = sent.groupBy("bucket").applyInArrow(_answered_heads, "block long, bucket int, answer binary")
     both = by_block.cogroup(answers.groupBy("block"))
     found = both.applyInArrow(lambda rows, answer: _sent_runs(Block(rows, name), answer, buckets), "bucket int, kind string, block long, body binary")
     covers = found.groupBy("bucket").applyInArrow(_judged, "block long, body binary")
     out = T.StructType([*docs.schema.fields, *[T.StructField(n, T.LongType()) for n in added[:3]], T.StructField(added[3], T.StringType())])
-    return dealt.groupBy(name).cogroup(covers.groupBy("block")).applyInArrow(lambda rows, cover: _cut(Block(rows, name), cover, name, added), out)
+    return by_block.cogroup(covers.groupBy("block")).applyInArrow(lambda rows, cover: _cut(Block(rows, name), cover, name, added), out)
 
 
 @query("op2_suffix_dedup")
