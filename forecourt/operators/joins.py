@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forecourt.operators.spread import SALTS, spread_join
+from forecourt.session import materialize
 
 
 def left_lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, salts: int = SALTS) -> DataFrame:
@@ -51,51 +52,104 @@ def tagged_totals(items: DataFrame, applied_to: str, tag: str, value: str, tags:
     return wanted.groupBy(F.col(applied_to).alias("_to")).agg(*aggs)
 
 
-def substring_cuts(texts: DataFrame, text: str, needles: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+# Characters of the gram by which a needle is looked for; a shorter needle is its own gram.
+GRAM = 8
+# Characters of a text that are looked at together; cutting one out of a text counts from the text's start.
+PIECE = 256
+# Slots of the filter of wanted grams.
+SLOTS = 1 << 16
+
+
+def rarest_grams(needles: DataFrame, needle: str, gram: int = GRAM) -> DataFrame:
+    """(gram, entries): each distinct, non-empty needle under the gram of it that the fewest needles have.
+
+    Grams are counted first; of equally rare ones the first in the needle is
+    taken. An entry is the gram's place in the needle, the needle's length and
+    its hash.
+    """
+    n = needles.select(F.col(needle).alias("needle")).where(F.col(needle) != "").distinct()
+    width = F.least(F.length("needle"), F.lit(gram))
+    at = F.sequence(F.lit(1), F.length("needle") - width + 1)
+    cut = F.transform(at, lambda i: F.struct(i.alias("at"), F.substring(F.col("needle"), i, width).alias("gram")))
+    grams = n.select("needle", F.inline(cut))
+    counts = grams.groupBy("gram").agg(F.countDistinct("needle").alias("n"))
+    first = grams.join(counts, "gram").groupBy("needle").agg(F.min(F.struct("n", "at", "gram")).alias("_g"))
+    entry = F.struct((F.col("_g.at") - 1).alias("before"), F.length("needle").alias("len"), F.xxhash64("needle").alias("hash"))
+    return first.groupBy(F.col("_g.gram").alias("gram")).agg(F.collect_list(entry).alias("entries"))
+
+
+def _slot(gram: Column) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(SLOTS)).cast("int")
+
+
+def gram_filter(grams: DataFrame) -> Column:
+    """(slots, widths) of ``gram``: an array of SLOTS booleans that is true where the hash of one falls, and their lengths."""
+    set_ = grams.groupBy(_slot(F.col("gram")).alias("slot")).agg(F.collect_set(F.length("gram")).alias("widths"))
+    whole = grams.sparkSession.range(0, SLOTS, 1, 1).join(set_, F.col("id") == F.col("slot"), "left")
+    row = F.array_sort(F.collect_list(F.struct("id", F.col("slot").isNotNull().alias("hit"))))
+    listed = whole.agg(row.alias("all"), F.array_distinct(F.flatten(F.collect_list("widths"))).alias("widths"))
+    return listed.select(F.struct(F.col("all.hit").alias("slots"), "widths")).scalar()
+
+
+def gram_hits(texts: DataFrame, text: str, grams: DataFrame, gram: int = GRAM) -> DataFrame:
+    """(_id, _pos, gram): where ``texts`` (with _id) may hold one of the grams.
+
+    The places are filtered inside an array, so a row is made only of a hit (or
+    of a gram that shares its slot with a wanted one).
+    """
+    asked = texts.where(F.length(text) > 0).select("_id", F.col(text).alias("_text"), gram_filter(grams).alias("_wanted"))
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.floor((F.length("_text") - 1) / PIECE).cast("int")),
+        lambda p: F.struct((p * PIECE).alias("at"), F.substring(F.col("_text"), p * PIECE + 1, F.lit(PIECE + gram - 1)).alias("text")),
+    )
+
+    def cuts(p: Column, w: Column) -> Column:
+        last = F.least(F.lit(PIECE), F.length(p["text"]) - w + 1)
+        places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda i: F.struct((p["at"] + i).alias("_pos"), F.substring(p["text"], i, w).alias("gram")))
+
+    meets = lambda cut: F.get("_wanted.slots", _slot(cut["gram"]))
+    of = lambda p: F.flatten(F.transform("_wanted.widths", lambda w: F.filter(cuts(p, w), meets)))
+    return asked.select("_id", F.inline(F.flatten(F.transform(pieces, of))))
+
+
+def substring_cuts(texts: DataFrame, text: str, needles: DataFrame, needle: str, gram: int = GRAM, salts: int = SALTS) -> DataFrame:
     """Distinct (text, needle) cuts among which are all needles that occur in the text; '' is cut from every text.
 
-    A position of a text counts if its first ``head`` characters open some
-    needle, and only the lengths such needles have are cut there. The cuts then
-    meet the needles by plain equality, so no needle is tried against all texts.
-    Until a head is met, a row holds a text's hash, a position and a few
-    characters; the text joins its hits once, by the hash. Equal hashes of two
-    texts only add cuts.
+    Every needle is indexed by its rarest gram. Where a text holds that gram,
+    the needle's length is cut out around it, and kept if its hash is that of
+    the needle. The cuts then meet the needles by plain equality, so no needle
+    is tried against all texts. Until a gram is met, a row holds a text's hash,
+    a place and the gram; the text joins its hits once, by the hash. Equal
+    hashes of two texts only add cuts.
     """
     t = texts.select(F.col(text).alias("text")).where(F.col("text").isNotNull()).distinct()
-    n = needles.select(F.col(needle).alias("needle")).where(F.col("needle").isNotNull()).distinct()
-    cutting = n.where(F.col("needle") != "").withColumn("_head", F.col("needle").substr(1, head))
-    heads = cutting.groupBy("_head").agg(F.collect_set(F.length("needle")).alias("_lens"))
-    size = F.length("text")
-    # Heads are full-width, except for needles shorter than that: at most ``head`` widths.
-    widths = heads.agg(F.collect_set(F.length("_head"))).scalar()
-    hashed = t.where(size > 0).withColumn("_id", F.xxhash64("text"))
-    at = F.sequence(F.lit(1), size)
-    opening = F.transform(at, lambda i: F.struct(i.alias("_pos"), F.substring(F.col("text"), i, F.lit(head)).alias("_four")))
-    starts = hashed.select("_id", F.inline(opening))
-    opened = starts.select("_id", "_pos", "_four", F.explode(widths).alias("_w")).where(F.length("_four") >= F.col("_w"))
-    opened = opened.select("_id", "_pos", F.substring(F.col("_four"), F.lit(1), F.col("_w")).alias("_head"))
-    met = spread_join(opened, heads, ["_head"], salts=salts)
-    hits = met.groupBy("_id").agg(F.collect_set(F.struct("_pos", "_lens")).alias("_hits"))
-    cuts = hashed.join(hits, ["_id"]).select("text", F.inline("_hits")).select("text", "_pos", F.explode("_lens").alias("_len"))
-    cuts = cuts.where(F.col("_pos") + F.col("_len") - 1 <= size)
-    cuts = cuts.select("text", F.substring(F.col("text"), F.col("_pos"), F.col("_len")).alias("needle")).distinct()
+    index = materialize(rarest_grams(needles, needle, gram), "grams")  # small next to the needles, and read three times
+    hashed = t.withColumn("_id", F.xxhash64("text"))
+    met = spread_join(gram_hits(hashed, "text", index.select("gram"), gram), index, ["gram"], salts=salts)
+    hits = met.groupBy("_id").agg(F.collect_set(F.struct("_pos", "entries")).alias("_hits"))
+    each = hashed.join(hits, ["_id"]).select("text", F.inline("_hits")).select("text", "_pos", F.inline("entries"))
+    each = each.withColumn("_from", F.col("_pos") - F.col("before"))
+    inside = (F.col("_from") >= 1) & (F.col("_from") + F.col("len") - 1 <= F.length("text"))
+    cuts = each.where(inside).select("text", "hash", F.substring(F.col("text"), F.col("_from"), F.col("len")).alias("needle"))
+    cuts = cuts.where(F.xxhash64("needle") == F.col("hash")).select("text", "needle").distinct()
     return cuts.unionByName(t.select("text", F.lit("").alias("needle")))
 
 
-def substring_join(left: DataFrame, text: str, right: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+def substring_join(left: DataFrame, text: str, right: DataFrame, needle: str, gram: int = GRAM, salts: int = SALTS) -> DataFrame:
     """Inner join where ``left.text`` contains ``right.needle`` (taken literally).
 
     A text of many rows, and a needle of many texts, spread over the salts.
     """
-    cuts = substring_cuts(left, text, right, needle, head, salts).select(F.col("text").alias("_text"), F.col("needle").alias("_needle"))
+    cuts = substring_cuts(left, text, right, needle, gram, salts).select(F.col("text").alias("_text"), F.col("needle").alias("_needle"))
     found = spread_join(cuts, right.withColumn("_needle", F.col(needle)), ["_needle"], salts=salts, null_safe=False)
     hits = spread_join(left.withColumn("_text", F.col(text)), found.drop("_needle"), ["_text"], salts=salts, null_safe=False)
     return hits.drop("_text")
 
 
-def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str, head: int = 4, salts: int = SALTS) -> DataFrame:
+def substring_pairs(texts: DataFrame, text: str, needles: DataFrame, needle: str, gram: int = GRAM, salts: int = SALTS) -> DataFrame:
     """Distinct (text, needle) pairs where the needle occurs in the text; '' occurs in every text."""
-    cuts = substring_cuts(texts, text, needles, needle, head, salts)
+    cuts = substring_cuts(texts, text, needles, needle, gram, salts)
     known = needles.select(F.col(needle).alias("needle")).distinct()
     return spread_join(cuts, known, ["needle"], "left_semi", salts=salts, null_safe=False)
 

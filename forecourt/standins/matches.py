@@ -84,11 +84,11 @@ def _(t):
     return J.substring_join(t.pages.select("page_id", "url"), "url", domains, "domain").select("page_id", "domain")
 
 
-@query("join_substring_documents", "select doc_id, item_id from documents join (select item_id, substr(text, 1, 60) as opening from benchmark) b on contains(text, opening)")
+@query("join_substring_documents", "select doc_id, item_id from documents d join benchmark b on contains(d.text, b.text)")
 def _(t):
-    """Documents that hold the opening of a benchmark item."""
-    openings = t.benchmark.select("item_id", F.substring("text", 1, 60).alias("opening"))
-    return J.substring_join(t.documents.select("doc_id", "text"), "text", openings, "opening").select("doc_id", "item_id")
+    """Documents that hold a benchmark item whole."""
+    items = t.benchmark.select("item_id", F.col("text").alias("item"))
+    return J.substring_join(t.documents.select("doc_id", "text"), "text", items, "item").select("doc_id", "item_id")
 
 
 @query("join_semi", "select o_orderkey from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")

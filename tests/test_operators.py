@@ -174,6 +174,27 @@ def test_rank_longest_keeps_ties(spark, rows):
     assert [r[1] for r in rows(W.rank_longest(df, "k", "t"))] == ["aa", "bb"]
 
 
+def test_a_row_is_made_of_gram_hits_only(spark):
+    """Long texts in many pieces, characters of several bytes, needles shorter than a gram and over the ends of pieces."""
+    r = random.Random(11)
+    words = ["".join(r.choice("abcdeé日") for _ in range(r.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(r.choices(words, k=r.randint(0, 400))) for _ in range(60)] + ["", "x", None]
+    needles = [t[a : a + r.choice([1, 3, 7, 8, 9, 40, 300])] for t in texts[:40] if t for a in [r.randrange(len(t))]] + ["", None, "nowhere at all", "zz"]
+    left = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    right = spark.createDataFrame([(i, n) for i, n in enumerate(needles)], "nid int, needle string")
+    got = {(x["id"], x["nid"]) for x in J.substring_join(left, "text", right, "needle").select("id", "nid").collect()}
+    assert got == {(i, k) for i, t in enumerate(texts) for k, n in enumerate(needles) if t is not None and n is not None and n in t}
+    index = J.rarest_grams(right, "needle")
+    grams = {x["gram"] for x in index.collect()}
+    hits = J.gram_hits(left.where("text is not null").withColumnRenamed("id", "_id"), "text", index.select("gram")).collect()
+    want = [(i, p + 1, t[p : p + w]) for i, t in enumerate(texts) if t for w in {len(g) for g in grams} for p in range(len(t) - w + 1) if t[p : p + w] in grams]
+    assert sorted(tuple(h) for h in hits if h["gram"] in grams) == sorted(want)
+    assert len(hits) - len(want) < 0.01 * sum(len(t) for t in texts if t)  # grams that share a slot with a wanted one
+    of = {n: [g["gram"] for g in index.collect() if g["gram"] in n] for n in needles if n}
+    share = lambda g: sum(g in n for n in {n for n in needles if n})
+    assert all(min(map(share, of[n])) == min(share(n[a : a + 8]) for a in range(max(1, len(n) - 7))) for n in of)
+
+
 def test_substring_join_equals_brute_force(spark, rows):
     random.seed(7)
     word = lambda n: "".join(random.choice("ab.") for _ in range(n))
