@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import query, table, together
 from forecourt.session import fresh_path
 
-BLOCK = 6_000_000
+BLOCK = 1_500_000
 #: Documents in one record batch that goes back to Spark.
 ROWS = 256
 # Characters whose classes no Unicode version since 7 has changed; texts of others, and very long ones, are coded by
