@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from forecourt.functions.labels import lead_labels
 from forecourt.functions.payload import as_uuid, json_uuid, parse_payload
-from forecourt.functions.scalars import json_field
+from forecourt.functions.periods import period_start
+from forecourt.functions.scalars import array_first, array_joined, json_field
 from forecourt.operators.aggregates import count_by_label, weighted_sum, wide_to_long
 from forecourt.operators.filters import exclude_ids, null_or_equal, only_type, subscribed
 from forecourt.operators.incremental import lookback_to_day
@@ -84,7 +85,7 @@ def dashboard_lead_content(details: DataFrame, stored: DataFrame, leads: DataFra
 
 
 _BUSINESS = ["master_business_id"]
-_UNITS = {"lifetime": None, "daily": "day", "weekly": "week", "monthly": "month", "yearly": "year"}
+_UNITS = {"lifetime": None, "daily": "day", "weekly": "week", "monthly": "month", "quarterly": "quarter", "yearly": "year"}
 
 
 def master_leads(content: DataFrame, period: str, device: bool = False) -> DataFrame:
@@ -157,17 +158,57 @@ trade_leads_only = partial(single_type_businesses, wanted="last_trade_lead")
 credit_leads_only = partial(single_type_businesses, wanted="last_credit_lead")
 
 
-def dashboard_views(values: DataFrame) -> dict[str, Callable[[DataFrame], DataFrame]]:
-    """The derived tables of the lead dashboard by name, each a function of the lead table."""
-    views: dict[str, Callable[[DataFrame], DataFrame]] = {}
-    for period in ("lifetime", "daily", "monthly", "weekly", "yearly"):
-        for device in (False, True):
-            suffix = "_device" if device else ""
-            views[f"master_leads_{period}{suffix}"] = partial(master_leads, period=period, device=device)
-            if period in ("lifetime", "monthly", "yearly"):
-                views[f"mixed_leads_{period}{suffix}"] = partial(mixed_leads, period=period, device=device)
-    for name, unit in {"quarterly": "quarter", "yearly": "year", "lifetime": None}.items():
-        views[f"estimated_revenue_{name}"] = partial(estimated_revenue, values=values, unit=unit)
-    for name, unit in {"monthly": "month", "lifetime": None}.items():
-        views[f"estimated_vehicles_sold_{name}"] = partial(estimated_vehicles_sold, values=values, unit=unit)
+# The derived tables of the lead dashboard, by what they count and their period.
+COUNTED = {"master": ("lifetime", "daily", "weekly", "monthly", "yearly"), "mixed": ("lifetime", "monthly", "yearly")}
+ESTIMATED = {"estimated_revenue": ("quarterly", "yearly", "lifetime"), "estimated_vehicles_sold": ("monthly", "lifetime")}
+
+
+def dashboard_columns() -> dict[str, list[str]]:
+    """The derived tables of the lead dashboard by name, each with its columns in `dashboard_rollup`."""
+    views = {}
+    for kind, periods in COUNTED.items():
+        for period in periods:
+            for device in ([], ["device"]):
+                name = f"{kind}_leads_{period}" + ("_device" if device else "")
+                views[name] = [*_BUSINESS, *device, *_date(period), f"{kind}_lead_type", "leads"]
+    for measure, periods in ESTIMATED.items():
+        for period in periods:
+            views[f"{measure}_{period}"] = [*_BUSINESS, *_date(period), measure]
     return views
+
+
+def _date(period: str) -> list[str]:
+    return ["date"] if _UNITS[period] else []
+
+
+def dashboard_rollup(content: DataFrame, values: DataFrame) -> DataFrame:
+    """Every derived table of the lead dashboard in one: its rows have its name as ``view`` and NULL in others' columns.
+
+    Leads are counted once, per day, device and both forms of their labels; a
+    count then goes to the group it has in each table, and all groups are summed
+    in one aggregate. Every period is made of whole days.
+    """
+    first, mixed = array_first(F.col("lead_content")), array_joined(F.col("lead_content"))
+    day = period_start(F.col("created_at"), "day").alias("_day")
+    days = content.groupBy(*_BUSINESS, "device", day, first.alias("master_lead_type"), mixed.alias("mixed_lead_type")).agg(F.count("*").alias("_n"))
+    # One row per label of the label rule: a handful, and the few labels hold all leads.
+    days = days.join(F.broadcast(values.select("master_lead_type", "value", "conversion_rate")), ["master_lead_type"], "left")
+    measures = {
+        "leads": F.col("_n"),
+        "estimated_revenue": F.col("_n") * F.coalesce("value", F.lit(0)),
+        "estimated_vehicles_sold": F.col("_n") * F.col("conversion_rate"),
+    }
+    views = dashboard_columns()
+    period = {v: _UNITS[v.removesuffix("_device").rsplit("_", 1)[-1]] for v in views}
+    number, numbers = F.col("_view"), {v: k for k, v in enumerate(views)}
+    among = lambda names: number.isin([numbers[v] for v in names])
+    day, at = F.col("_day"), F.lit(None).cast(days.schema["_day"].dataType)
+    for unit in sorted(set(filter(None, period.values()))):
+        at = F.when(among(v for v in views if period[v] == unit), day if unit == "day" else period_start(day, unit)).otherwise(at)
+    have = lambda c, value: F.when(among(v for v in views if c in views[v]), value).alias(c)
+    keys = ["device", "master_lead_type", "mixed_lead_type"]
+    each = days.withColumn("_view", F.explode(F.lit(list(numbers.values()))))
+    groups = each.select("_view", *_BUSINESS, at.alias("date"), *[have(c, F.col(c)) for c in keys], *[have(c, v) for c, v in measures.items()])
+    summed = groups.groupBy("_view", *_BUSINESS, "date", *keys).agg(*[F.sum(m).alias(m) for m in measures])
+    name = F.get(F.lit(list(views)), F.col("_view")).alias("view")
+    return summed.select(name, *_BUSINESS, "date", *keys, *measures)

@@ -6,9 +6,10 @@ from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from forecourt.operators.merge import upsert_replace
-from forecourt.session import child_folders, fresh_path, materialize, remove_folder
+from forecourt.session import child_folders, fresh_path, make_folder, remove_folder
 
 
 def replace_table(df: DataFrame, table: str, base: str | None = None) -> None:
@@ -56,13 +57,26 @@ def drop_partitions(spark: SparkSession, path: str, partition: str, gone: Callab
     return sorted(values)
 
 
-def refresh_views(spark: SparkSession, views: Mapping[str, Callable[[DataFrame], DataFrame]], source: DataFrame, names: Sequence[str] | None = None, prefix: str = "") -> dict[str, str]:
-    """Recompute and swap the named derived tables; returns view -> table name.
+def refresh_views(rollup: DataFrame, views: Mapping[str, Sequence[str]], view: str = "view", prefix: str = "") -> dict[str, str]:
+    """Write a rollup that holds several derived tables once, a partition each, and point each table at its own.
 
-    The shared input is written once, so a costly ``source`` is not recomputed per view.
+    ``views`` names the columns of every table; the tables are ``prefix`` and
+    the view's name, which are returned by view. One write makes them all, and
+    the tables are swapped one by one when it is done. Old folders stay, as in
+    `replace_table`.
     """
-    shared = materialize(source, "refresh")
-    tables = {name: prefix + name for name in (views if names is None else names)}
-    for name, table in tables.items():
-        replace_table(views[name](shared), table)
+    spark = rollup.sparkSession
+    path = fresh_path(spark, "views")
+    rollup.hint("rebalance", view).write.partitionBy(view).parquet(path)
+    tables = {}
+    for name, columns in views.items():
+        table, folder = prefix + name, f"{path}/{view}={name}"
+        make_folder(spark, folder)  # a view without rows has none yet
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+        else:
+            schema = T.StructType([rollup.schema[c] for c in columns])
+            spark.catalog.createTable(table, path=folder, source="parquet", schema=schema)
+        tables[name] = table
     return tables

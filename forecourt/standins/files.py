@@ -407,9 +407,8 @@ _VIEWS = [
 def _(t):
     from forecourt.standins.rollups import _values
 
-    views = L.dashboard_views(_values(t))
     source = labelled(t).select("id", "master_business_id", "created_at", "device", "lead_content")
-    tables = K.refresh_views(t.spark, views, source, prefix=f"forecourt_{uuid.uuid4().hex}_")
+    tables = K.refresh_views(L.dashboard_rollup(source, _values(t)), L.dashboard_columns(), prefix=f"forecourt_{uuid.uuid4().hex}_")
     counts = [t.spark.table(table).agg(F.lit(view).alias("view"), F.count("*").alias("n")) for view, table in tables.items()]
     out = counts[0]
     for c in counts[1:]:

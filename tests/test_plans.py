@@ -1,5 +1,5 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -10,6 +10,7 @@ from forecourt.operators.joins import not_seen_before
 from forecourt.operators.spread import with_group_stats
 from forecourt.plans import billing, catalog, health, impressions, inventory, leads as L, pricing
 from forecourt.plans.specs import view_spec
+from forecourt.sources import sinks as K
 from forecourt.standins import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -206,3 +207,32 @@ def test_amounts_keep_nine_decimals_or_fail(spark):
 def test_inventory_gate_and_dealers(spark):
     listings = spark.createDataFrame([(1, "a.ca", datetime(2024, 1, d)) for d in (3, 1, 2)], "dealer_id int, domain string, status_date timestamp")
     assert tuple(inventory.dealers(listings).first()) == (1, "a.ca", datetime(2024, 1, 1), datetime(2024, 1, 3))
+
+
+def test_dashboard_tables_come_of_one_rollup(spark, rows):
+    """Each table of the one aggregate equals the view counted on its own; a refresh swaps them, empty ones included."""
+    at = datetime(2024, 1, 1)
+    label = [["trade"], ["credit", "trade"], ["other"], [], None]
+    content = spark.createDataFrame(
+        [(f"b{k % 3}", at + timedelta(hours=37 * k) if k % 11 else None, [None, "phone", "tablet"][k % 3 if k % 2 else 1], label[k % 5]) for k in range(400)],
+        "master_business_id string, created_at timestamp, device string, lead_content array<string>",
+    )
+    values = spark.createDataFrame([("trade", 100.5, 0.25), ("credit", 20.0, None)], "master_lead_type string, value double, conversion_rate double")
+    want = {}
+    for name in L.dashboard_columns():
+        kind, period = name.removesuffix("_device").rsplit("_", 1)
+        if kind.endswith("leads"):
+            fn = L.master_leads if kind == "master_leads" else L.mixed_leads
+            want[name] = fn(content, period, name.endswith("_device"))
+        else:
+            fn = L.estimated_revenue if kind == "estimated_revenue" else L.estimated_vehicles_sold
+            want[name] = fn(content, values, {"lifetime": None, "monthly": "month", "quarterly": "quarter", "yearly": "year"}[period])
+    tables = K.refresh_views(L.dashboard_rollup(content, values), L.dashboard_columns(), prefix="dash_")
+    assert len(tables) == 21
+    for name, table in tables.items():
+        assert spark.table(table).columns == want[name].columns, name
+        assert rows(spark.table(table)) == rows(want[name]), name
+    K.refresh_views(L.dashboard_rollup(content.limit(0), values), L.dashboard_columns(), prefix="dash_")
+    assert all(spark.table(t).count() == 0 for t in tables.values())
+    plan = L.dashboard_rollup(content, values)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_view") == 1 and plan.count("Generate explode") == 1
