@@ -3,7 +3,8 @@
 Encoding takes the segmentation of highest total piece score (of equal ones, that whose last piece is longest, from
 the end on). No piece holds ``▁`` after another character, and a character that only occurs as a piece of its own
 can't be inside a longer one, so texts are cut there into words, which are segmented once per batch of texts. Words
-are sorted by length and advance together, one character a step, words of equal length leaving together: for each
+are sorted by length and advance together, one character a step, words of equal length leaving together (words of over
+``LONG`` characters go one by one through the same recurrence): for each
 piece length the substring's rolling hash probes the sorted hashes of the pieces of that length, and a vectorised
 maximum stores score, piece and back pointer. A character without a piece costs more than any piece and becomes its
 UTF-8 bytes.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,8 @@ from forecourt.llm.common import query, table, together
 
 SPACE = "▁"
 TOGETHER = 2_000_000
+#: Words of more characters, which would advance all but alone, are segmented one by one over a table of the pieces.
+LONG = 512
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
 
@@ -75,6 +79,7 @@ class Model:
     starts: np.ndarray
     sizes: np.ndarray
     words: str
+    known: dict[str, int]
 
     @property
     def longest(self) -> int:
@@ -132,6 +137,7 @@ def load(path: str) -> Model:
         starts=np.cumsum(sizes) - sizes,
         sizes=sizes,
         words=f"{SPACE}+[{chars}]*|[{chars}]+|[^{chars}{SPACE}]",
+        known={pieces[i]: i for i in own},
     )
 
 
@@ -177,6 +183,33 @@ def segment(words: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
     return _backwards(words, given, points, piece, back, model)
 
 
+def segment_long(word: str, model: Model) -> np.ndarray:
+    """Ids of one word of any length, by the same rule: best score, of equal ones the longer last piece."""
+    size, unknown = len(word), model.unknown
+    scores = model.scores.tolist()
+    worst = min(model.scores[i].min() for i in model.ids.values()) - 10
+    lengths = sorted(model.keys)
+    best, piece, back = array("d", bytes(8 * (size + 1))), array("i", bytes(4 * size)), array("i", bytes(4 * size))
+    find = model.known.get
+    for end in range(1, size + 1):
+        top, which, long = best[end - 1] + worst, unknown, 1
+        for k in lengths:
+            if k > end:
+                break
+            found = find(word[end - k : end])
+            if found is not None and (score := best[end - k] + scores[found]) >= top:
+                top, which, long = score, found, k
+        best[end], piece[end - 1], back[end - 1] = top, which, long
+    out, at = [], size
+    while at:
+        if piece[at - 1] == unknown:
+            out += model.byte_ids[list(word[at - 1].encode())][::-1].tolist()
+        else:
+            out.append(piece[at - 1])
+        at -= back[at - 1]
+    return np.array(out[::-1], np.int32)
+
+
 def _backwards(words, given, points, piece, back, model) -> tuple[np.ndarray, np.ndarray]:
     """Follow the back pointers of all words at once, last piece first; unknown characters become their bytes."""
     begin = np.cumsum(given) - given
@@ -204,6 +237,17 @@ def _backwards(words, given, points, piece, back, model) -> tuple[np.ndarray, np
     return ids, np.bincount(owner, minlength=len(words))
 
 
+def _segmented(words: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """As `segment`, words of any length."""
+    short = [w for w in words if len(w) <= LONG]
+    if len(short) == len(words):
+        return segment(words, model)
+    ids, count = segment(short, model) if short else (np.empty(0, np.int32), np.empty(0, np.int64))
+    parts = iter(np.split(ids, np.cumsum(count)[:-1]) if short else ())
+    each = [next(parts) if len(w) <= LONG else segment_long(w, model) for w in words]
+    return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+
 def encode(texts: list[str | None], model: Model, cut: re.Pattern) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, number of ids per text)."""
     known: dict[str, int] = {}
@@ -214,7 +258,7 @@ def encode(texts: list[str | None], model: Model, cut: re.Pattern) -> tuple[np.n
         per_text.append(len(words))
     if not known:
         return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-    ids, count = segment(list(known), model)
+    ids, count = _segmented(list(known), model)
     of = np.array(of)
     n = count[of]
     begin = (np.cumsum(count) - count)[of]

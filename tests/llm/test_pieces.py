@@ -82,3 +82,28 @@ def test_frames(docs, model):
     assert empty.count() == 0 and P.decoded(empty, P.default_model()).count() == 0
     nothing = coded.sparkSession.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {r["doc_id"]: r["text"] for r in P.decoded(nothing, P.default_model()).collect()} == {1: None, 2: ""}
+
+
+def test_long_words_take_the_same_pieces_one_by_one(model, monkeypatch):
+    r = random.Random(5)
+    words = ["".join(r.choice("etaoinshrdlu,.é日𝄞") for _ in range(r.randint(1, 90))) for _ in range(300)] + ["a", "aaaaaaaaaaaaaaaaa", "the" * 30]
+    ids, count = P.segment(words, model)
+    for word, part in zip(words, np.split(ids, np.cumsum(count)[:-1])):
+        assert P.segment_long(word, model).tolist() == part.tolist()
+    texts = [" ".join(r.sample(words, 9)) for _ in range(30)] + [None, "", "".join(words)]
+    whole = encode(texts, model)
+    monkeypatch.setattr(P, "LONG", 20)
+    assert encode(texts, model) == whole
+    monkeypatch.setattr(P, "LONG", 0)
+    assert encode(texts, model) == whole
+
+
+def test_a_million_characters_without_a_space(model):
+    import time
+
+    r = random.Random(6)
+    text = "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    start = time.perf_counter()
+    (ids,) = encode([text], model)
+    assert time.perf_counter() - start < 20
+    assert P.decode(np.array(ids), np.array([len(ids)]), model) == [text]
