@@ -33,9 +33,9 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import query, table
 from forecourt.session import fresh_path, materialize
 
-CAPACITY = 64 << 20
+CAPACITY = 16 << 20
 #: Bytes of text that a task folds at a time.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: The directory has at most 2**DEEPEST slots; beyond that, capacity grows with the corpus.
 DEEPEST = 20
 #: Classes of over a thousandth of all rows are at most a thousand, and are broadcast.
@@ -65,8 +65,8 @@ def doubled(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return depth, held
 
 
-def directory(keyed: DataFrame, capacity: int = CAPACITY, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, bool]:
-    """((slot, bucket, pages) of the deepest directory, its depth, whether a bucket has pages) for ``keyed`` (key, n_bytes)."""
+def directory(keyed: DataFrame, capacity: int = CAPACITY, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int, int, int]:
+    """((slot, bucket, pages) of the deepest directory, its depth, buckets, pages beyond one a bucket) for ``keyed`` (key, n_bytes)."""
     per_key = keyed.groupBy("key").agg(F.count("*").alias("n"), F.max("n_bytes").alias("longest"), F.sum("n_bytes").alias("bytes"))
     per_key = materialize(per_key, "dedup-keys")
     total, distinct = per_key.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.coalesce(F.sum("longest"), F.lit(0))).first()
@@ -82,7 +82,8 @@ def directory(keyed: DataFrame, capacity: int = CAPACITY, block_bytes: int = BLO
     bucket = np.arange(len(sizes)) >> (deepest - depth) << (deepest - depth)
     pages = np.maximum(1, -(-held // capacity))
     slots = pa.table({"slot": np.arange(len(sizes)), "bucket": bucket, "pages": pages})
-    return keyed.sparkSession.createDataFrame(slots), deepest, bool((pages > 1).any())
+    _, one = np.unique(bucket, return_index=True)
+    return keyed.sparkSession.createDataFrame(slots), deepest, len(one), int(pages[one].sum()) - len(one)
 
 
 def entries(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -112,7 +113,7 @@ def _with_block(rows: pa.Table, block: int) -> Iterator[pa.RecordBatch]:
     yield from rows.append_column("block", pa.array([block] * len(rows), pa.int32())).to_batches(max_chunksize=1024)
 
 
-def chained(rows: DataFrame) -> DataFrame:
+def chained(rows: DataFrame, owners: int) -> DataFrame:
     """Chains of ``rows`` (bucket, page, key, text, n, top), each bucket and page by the task that owns it.
 
     (bucket, page, key, sha256, text, n, top), one row per distinct text of a bucket's page.
@@ -145,7 +146,7 @@ def chained(rows: DataFrame) -> DataFrame:
     top = rows.schema["top"].dataType.simpleString()
     names = ["bucket", "page", "key", "sha256", "text", "n", "top"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.int64(), None]
-    owned = rows.select("bucket", "page", "key", "text", "n", "top").repartition("bucket", "page").sortWithinPartitions("bucket", "page", "key")
+    owned = rows.select("bucket", "page", "key", "text", "n", "top").repartition(owners, "bucket", "page").sortWithinPartitions("bucket", "page", "key")
     return owned.mapInArrow(run, f"bucket long, page long, key long, sha256 string, text binary, n long, top {top}")
 
 
@@ -157,14 +158,14 @@ def build(docs: DataFrame, capacity: int = CAPACITY, block_bytes: int = BLOCK_BY
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = docs.select("doc_id", text_key(F.col("text"), bits).alias("key"), F.col("text").cast("binary").alias("text"))
-    slots, depth, paged = directory(keyed.select("key", F.octet_length("text").cast("long").alias("n_bytes")), capacity, block_bytes)
+    slots, depth, buckets, more = directory(keyed.select("key", F.octet_length("text").cast("long").alias("n_bytes")), capacity, block_bytes)
     folded = entries(keyed, block_bytes).withColumn("slot", slot_of(F.col("key"), depth))
     page = F.pmod(F.xxhash64(F.spark_partition_id(), "block"), F.col("pages")).alias("page")
     dealt = folded.join(F.broadcast(slots), "slot").select("bucket", page, "key", "text", "n", "top", "pages")
-    if paged:
-        pages = materialize(chained(dealt.where("pages > 1")), "dedup-pages").withColumn("page", F.lit(0).cast("long"))
+    if more:
+        pages = materialize(chained(dealt.where("pages > 1"), buckets + more), "dedup-pages").withColumn("page", F.lit(0).cast("long"))
         dealt = dealt.where("pages = 1").drop("pages").unionByName(pages.drop("sha256"))
-    index = chained(dealt).drop("page")
+    index = chained(dealt, buckets).drop("page")
     path = fresh_path(spark, "dedup-index")
     index.write.partitionBy("bucket").parquet(path)
     return spark.read.schema(index.schema).parquet(path)

@@ -294,9 +294,9 @@ def _shared(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(load(path))  # some tens of thousands of pieces: a few MB
 
 
-def encoded(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
-    """Per row (doc_id, ids); with ``digest``: (doc_id, n_tokens, ids_sha256, round_trip), the ids as little-endian
-    32-bit numbers, and whether they decode to the text."""
+def encoded(docs: DataFrame, path: str, digest: bool = False, ids: bool = True) -> DataFrame:
+    """Per row (doc_id, ids); with ``digest`` also n_tokens, ids_sha256 and round_trip: the digest of the ids as
+    little-endian 32-bit numbers, and whether they decode to the text. ``ids=False`` leaves the ids out."""
     model = _shared(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,21 +304,22 @@ def encoded(docs: DataFrame, path: str, digest: bool = False) -> DataFrame:
         cut = re.compile(m.words, re.DOTALL)
         for batch in batches:
             for first, texts in together(batch.column(1), TOGETHER):
-                ids, counts = encode(texts, m, cut)
+                flat, counts = encode(texts, m, cut)
                 ends = np.cumsum(counts)
-                doc = batch.column(0).slice(first, len(texts))
+                columns = [batch.column(0).slice(first, len(texts))]
+                if ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(flat, pa.int32())))
                 if digest:
-                    parts = np.split(ids.astype("<i4"), ends[:-1])
+                    parts = np.split(flat.astype("<i4"), ends[:-1])
                     sha = [hashlib.sha256(p.tobytes()).hexdigest() for p in parts]
-                    same = [(t or "") == d for t, d in zip(texts, decode(ids, counts, m))]
-                    yield pa.RecordBatch.from_arrays([doc, pa.array(counts), pa.array(sha), pa.array(same)], names=["doc_id", "n_tokens", "ids_sha256", "round_trip"])
-                else:
-                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([doc, lists], names=["doc_id", "ids"])
+                    same = [(t or "") == d for t, d in zip(texts, decode(flat, counts, m))]
+                    columns += [pa.array(counts), pa.array(sha), pa.array(same)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = "n_tokens long, ids_sha256 string, round_trip boolean" if digest else "ids array<int>"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, f"doc_id {kind}, {out}")
+    schema = [f"doc_id {kind}"] + ["ids array<int>"] * ids + ["n_tokens long", "ids_sha256 string", "round_trip boolean"] * digest
+    names = [c.split()[0] for c in schema]
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, ", ".join(schema))
 
 
 def decoded(coded: DataFrame, path: str) -> DataFrame:
@@ -339,4 +340,4 @@ def decoded(coded: DataFrame, path: str) -> DataFrame:
 
 @query("op4_sentencepiece")
 def op4(spark, folder):
-    return encoded(table(spark, folder, "documents"), default_model(), digest=True)
+    return encoded(table(spark, folder, "documents"), default_model(), digest=True, ids=False)

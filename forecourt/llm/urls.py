@@ -8,8 +8,8 @@ Pages without a rule get their host's verdict. Seeds are the pages that rules de
 allowed pages, its distrust mass its blocked ones, over all decided pages. Trust is a personalised PageRank along
 links from the trusted seeds; distrust is one against the links from the blocked seeds. Mass at a host without
 further links is not passed on. A host whose distrust exceeds ``ratio`` times its trust is blocked; a host that
-neither reaches is allowed. Masses are compared relatively, so verdicts don't depend on how many other pages there
-are. Links are aggregated to one weighted edge per pair of hosts; only sums per host are shuffled in a round, and only
+neither reaches is allowed. Rounds go on until every host's mass has settled, relative to itself, however far it lies
+from a seed; masses are compared relatively too, so verdicts don't depend on how many other pages there are. Links are aggregated to one weighted edge per pair of hosts; only sums per host are shuffled in a round, and only
 one number per round reaches the driver.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule, and is allowed; a null html
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import UPPER, ascii_lower, query, table
+from forecourt.llm.common import UPPER, ascii_lower, query, rewritten, table
 from forecourt.session import materialize
 
 # The rules of the contract as (host, path, verdict).
@@ -34,14 +34,14 @@ RULES = [
     ("com", "/de/", "block"),
 ]
 DAMPING = 0.85
-ROUNDS = 20
+#: An error, and no bound of the work: rounds settle after the graph's depth and some 150 more.
+MOST_ROUNDS = 100_000
 RATIO = 1.0
 #: Masses whose ratio is this close to 1 are equal, whatever their size.
 EQUAL = 1e-9
-#: Rounds end when no host's mass changes by more than this share of it.
-SETTLED = 1e-12
-#: The SQL rounds masses to this many places, which is the same while none is that small.
-PLACES = 12
+#: Rounds end when no host's mass changes by more than this share of it: what is still to come is then at most
+#: damping / (1 - damping) times that, less than EQUAL.
+SETTLED = 1e-10
 
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*([^"'\s>]+)"""
 
@@ -77,8 +77,8 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return link.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def spread_masses(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
-    """(kind, host, mass): trust along ``edges`` and distrust against them, from ``seeds`` of (kind, host, mass)."""
+def spread_masses(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """(kind, host, mass): trust along ``edges`` and distrust against them, from ``seeds`` of (kind, host, mass), until it settles."""
     edges = materialize(edges, "host-edges")
     out = edges.groupBy("src").agg(F.sum("links").alias("n"))
     into = edges.groupBy("dst").agg(F.sum("links").alias("n"))
@@ -87,21 +87,21 @@ def spread_masses(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING,
     distrust = edges.join(into, "dst").select(*arc("distrust", "dst", "src"))
     arcs = materialize(trust.unionByName(distrust), "host-arcs")
     seeds = materialize(seeds, "host-seeds")
-    masses = seeds
-    for _ in range(rounds):
+    masses, path = seeds, None
+    for _ in range(MOST_ROUNDS):
         moved = arcs.join(masses, ["kind", "host"]).select("kind", F.col("to").alias("host"), (F.col("share") * F.col("mass") * damping).alias("mass"))
         stay = seeds.withColumn("mass", F.col("mass") * (1 - damping))
         new = moved.unionByName(stay).withColumn("was", F.lit(0.0))
         old = masses.select("kind", "host", F.lit(0.0).alias("mass"), F.col("mass").alias("was"))
         both = new.unionByName(old).groupBy("kind", "host").agg(F.sum("mass").alias("mass"), F.sum("was").alias("was"))
-        both = materialize(both, "host-masses")
+        both, path = rewritten(both, "host-masses", path)
         masses = both.select("kind", "host", "mass")
         if not both.where(F.abs(F.col("mass") - F.col("was")) > F.col("mass") * SETTLED).agg(F.count("*")).first()[0]:
-            break
-    return masses
+            return masses
+    raise RuntimeError(f"masses have not settled after {MOST_ROUNDS} rounds")
 
 
-def judge(pages: DataFrame, rules: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, ratio: float = RATIO) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, damping: float = DAMPING, ratio: float = RATIO) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict. ``rules`` has rule_host, rule_path and rule_verdict."""
     split = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     hosts = split.where("host <> ''").groupBy("host").agg(F.count("*").alias("pages"))
@@ -113,7 +113,7 @@ def judge(pages: DataFrame, rules: DataFrame, damping: float = DAMPING, rounds:
     total = decided.agg(F.sum("n")).first()[0] or 1
     kind = F.when(F.col("rule_verdict") == "allow", "trust").otherwise("distrust")
     seeds = decided.select(kind.alias("kind"), "host", (F.col("n") / F.lit(total)).alias("mass"))
-    masses = spread_masses(seeds, host_edges(pages.select(host_of(F.col("url")).alias("host"), "html")), damping, rounds)
+    masses = spread_masses(seeds, host_edges(pages.select(host_of(F.col("url")).alias("host"), "html")), damping)
     of = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0.0))
     blocked = masses.groupBy("host").agg(of("trust").alias("t"), of("distrust").alias("d")).where(F.col("d") > F.col("t") * ratio * (1 + EQUAL))
     spread = blocked.select("host", F.lit("block").alias("host_verdict"))
@@ -142,17 +142,14 @@ def _sql() -> str:
   where src <> '' and dst <> '' and src <> dst group by all)""",
         "arcs as (select 'allow' as k, src as h, dst as o, n / sum(n) over (partition by src) as s from e union all select 'block', dst, src, n / sum(n) over (partition by dst) from e)",
         "seeds as (select best.v as k, host as h, count(*) / sum(count(*)) over () as m from b where best is not null group by all)",
-        "m0 as (select * from seeds)",
+        # The masses as a power series, to a term that no sum of doubles can see.
+        f"""t as (select 0 as i, k, h, m * {1 - DAMPING} as m from seeds union all
+  select i + 1, arcs.k, o, sum(s * m * {DAMPING}) from t join arcs using (k, h) where i < 400 group by i, arcs.k, o)""",
     ]
-    for i in range(ROUNDS):
-        parts.append(
-            f"m{i + 1} as materialized (select k, h, sum(m) as m from (select arcs.k, o as h, s * m * {DAMPING} as m from arcs join m{i} using (k, h)"
-            f" union all select k, h, m * {1 - DAMPING} from seeds) group by all)"
-        )
-    mass = lambda k: f"round(coalesce(sum(m) filter (k = '{k}'), 0), {PLACES})"
-    parts.append(f"bad as (select h from m{ROUNDS} group by h having {mass('block')} > {mass('allow')} * {RATIO})")
+    mass = lambda k: f"coalesce(sum(m) filter (k = '{k}'), 0)"
+    parts.append(f"bad as (select h from t group by h having {mass('block')} > {mass('allow')} * {RATIO * (1 + EQUAL)!r})")
     last = "select page_id, host, path, best.u as rule, coalesce(best.v, case when host in (select h from bad) then 'block' else 'allow' end) as verdict from b"
-    return "with " + ",\n".join(parts) + "\n" + last
+    return "with recursive " + ",\n".join(parts) + "\n" + last
 
 
 @query("op5_url_filter", _sql())

@@ -30,8 +30,8 @@ def test_buckets_split_and_hot_ones_get_pages(spark, docs, rows):
     many = [(k, r.choice(["hot " * 50, f"{r.randrange(300)} " * 30])) for k in range(2000)]
     df = docs(many).repartition(20)
     keyed = df.select(X.text_key(df.text).alias("key"), X.F.octet_length("text").cast("long").alias("n_bytes"))
-    slots, depth, paged = X.directory(keyed, capacity=1000, block_bytes=500)
-    assert paged and depth > 5 and slots.where("pages > 1").count() and slots.select("bucket").distinct().count() > 10
+    slots, depth, buckets, more = X.directory(keyed, capacity=1000, block_bytes=500)
+    assert more and buckets == slots.select("bucket").distinct().count() and depth > 5 and slots.where("pages > 1").count() and slots.select("bucket").distinct().count() > 10
     assert rows(X.duplicates(df, capacity=1000, block_bytes=500)) == classes(many)
 
 

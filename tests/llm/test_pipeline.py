@@ -3,16 +3,17 @@ import pytest
 
 import corpus_pipeline
 from forecourt.llm.common import ORACLE, QUERIES, ready
+from forecourt.llm.pieces import decoded, default_model
 from forecourt.llm.queries import QUERIES as REGISTERED
 
 FOLDER = "/root/testdata/sf0.001"
 
 
-def test_queries_are_the_ten_and_the_pipeline():
+def test_queries_are_the_thirteen_and_the_pipeline():
     from __spark_entry__ import oracle_sql, queries
 
     mine = {k for k in queries() if k.startswith("op") and k[2].isdigit() or k == "pipeline"}
-    assert sorted(int(k[2:].split("_")[0]) for k in mine - {"pipeline"}) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in mine - {"pipeline"}) == list(range(1, 14))
     assert set(REGISTERED) == mine - {"pipeline"} and set(ORACLE) <= set(oracle_sql())
 
 
@@ -48,6 +49,8 @@ def test_stages_keep_the_columns_and_take_effect(spark):
             docs = spark.createDataFrame(rows, docs.schema)
         else:
             assert {r["doc_id"] for r in rows} == before.keys() and all(r["round_trip"] for r in rows)
+            assert {r["doc_id"]: r["text"] for r in decoded(docs, default_model()).collect()} == before
+            assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
     (quality, a), (near, b), (_, cut), (_, clean) = seen
     assert quality > 0 and near > 0 and a == b == 0 and cut > 0 and clean > 0
     assert corpus_pipeline.run(spark, FOLDER).count() == len(before)
