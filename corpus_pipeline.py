@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; `run` writes every stage's rows
 as Parquet to the shared folder and reads them again. All stages but the last return the columns of ``documents``.
 A text that is changed gets its new ``n_chars``.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, empty tables and further columns, with
+the results that its docstring or its operator's module states.
 """
 
 from __future__ import annotations
@@ -20,18 +23,24 @@ from forecourt.session import fresh_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go; without labels, all stay. A null text is judged as an empty one."""
     return only_good(docs, table(ready(spark), sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays."""
+    """Of documents whose fingerprints are linked, the one with the smallest doc_id stays, one row only if rows repeat it.
+
+    Null and word-free texts have one fingerprint; rows without a doc_id take no part and stay.
+    """
     ready(spark)
     return one_of_each(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that a document with a smaller doc_id has too are cut out; a text that is all repeats goes."""
+    """Passages that a document with a smaller doc_id has too are cut out; a text that is all repeats goes.
+
+    A null text stays null, a null doc_id is larger than any other, and rows of one doc_id don't cut one another.
+    """
     ready(spark)
     left = deduplicate(docs)
     n_bytes, n_removed = (F.col(c) for c in left.columns[-4:-2])
@@ -41,12 +50,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of the benchmark are cut out; documents made of them go."""
+    """Passages of the benchmark are cut out; documents made of them, by over half of their words, go. Clean rows, null
+    texts and repeated ones included, come back as they were."""
     return decontaminate(docs, table(ready(spark), sf_dir, "benchmark"), length="n_chars")
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document its number of pieces, the digest of their ids, and whether they decode to the text."""
+    """Per row its doc_id, the ids of its pieces, their number and digest, and whether they decode to the text.
+
+    A null or empty text has no pieces; repeated rows give repeated results; other columns end here.
+    """
     ready(spark)
     return encoded(docs, default_model(), digest=True)
 
