@@ -353,24 +353,41 @@ def _low_catalog(t):
 
 
 def _low_query(region, days):
-    sql = f"""with j as (select a.taxonomy_vin, a.vin, a.miles, a.status_date, b.year, b.make, count(*) over (partition by b.year, b.make) as vehicles
-        from (select dealer_id as vin, taxonomy_vin, miles, status_date from {LISTINGS_SQL} l) a join {_LOW_CATALOG_SQL} b on b.vin_pattern = a.taxonomy_vin
-        where a.status_date >= (select max(l_shipdate) from lineitem) - interval {days} days and a.miles >= 500 and a.miles < 300000
-          and b.vin_pattern not in (select vin_pattern from {_LOW_CATALOG_SQL} c group by 1 having count(distinct year) > 1)),
-      d as (select distinct on (taxonomy_vin, vin) * from j order by taxonomy_vin, vin, status_date desc, miles desc, year, make),
-      m as (select year, make, cast(trunc(avg(miles) * 0.9::double) as integer) as mileage from d where vehicles >= 5 group by 1, 2)
-      select distinct d.taxonomy_vin as vin_pattern, '' as region, m.mileage from d join m using (year, make)"""
+    # Catalog rows per pattern of one model year, scrapes per pattern, their products per year and make, the newest
+    # scrape of each car, and the mean of those per year and make.
+    sql = f"""with cars as (select dealer_id as vin, taxonomy_vin as vin_pattern, miles, status_date from {LISTINGS_SQL} l
+        where miles between 500 and 299999 and status_date >= (select max(l_shipdate) - interval {days} days from lineitem)),
+      sold as {_LOW_CATALOG_SQL},
+      kinds as (select vin_pattern, year, make, count(*) as rows_ from sold semi join (select vin_pattern from sold group by 1 having min(year) = max(year)) o using (vin_pattern) group by all),
+      scrapes as (select vin_pattern, count(*) as n from cars group by 1),
+      sizes as (select year, make from kinds join scrapes using (vin_pattern) group by all having sum(rows_ * n) >= 5),
+      named as (select vin_pattern, min(struct_pack(y := year, m := make)) as first from kinds group by 1),
+      newest as (select vin_pattern, vin, max(struct_pack(s := status_date, m := miles)) as top from cars group by all),
+      met as (select vin_pattern, first.y as year, first.m as make, top.m as miles from newest join named using (vin_pattern)),
+      means as (select year, make, trunc(avg(miles) * 0.9::double)::integer as mileage from met semi join sizes using (year, make) group by all)
+      select distinct vin_pattern, '' as region, mileage from met join means using (year, make)"""
 
     def run(t):
         rows = listings(t).withColumn("vin", F.col("dealer_id"))
         return inventory.low_mileage(rows, _low_catalog(t), days, min_vehicles=5)
 
     query(f"low_mileage_{region}", sql)(run)
+    return sql
 
 
 # The last 300 and 100 days stand for 30 and 10: the test listings are thinner.
 for _region, _days in inventory.LOW_MILEAGE_DAYS.items():
-    _low_query(_region, _days * 10)
+    _LOW_SQL = _low_query(_region, _days * 10)
+
+
+@query("low_mileage_session", f"select *, (select max(n_nationkey) + 1 from nation)::bigint as session_id from ({_LOW_SQL}) x")
+def _(t):
+    """The last region's limits under a session that the run registers first."""
+    known = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.lit("s").alias("schema"), F.lit("x").alias("script"), F.lit("{}").alias("payload"), F.lit(True).alias("validated"))
+    run = register_session(known, F.lit("s"), F.lit("low_mileage"), F.lit("{}")).agg(F.max("id")).scalar()
+    rows = listings(t).withColumn("vin", F.col("dealer_id"))
+    return inventory.low_mileage(rows, _low_catalog(t), _days * 10, min_vehicles=5, session_id=run)
+
 
 # --- catalog and price models --------------------------------------------
 
@@ -397,11 +414,14 @@ def _catalog(t):
     return t.part.selectExpr(*[f"{e.replace('{int}', 'bigint')} as {n}" for n, e in _CAT.items()])
 
 
-_CLEAN_SQL = f"""(with whole as (select {_cat('bigint')} from part)
-  select a.vin_pattern, a.year, a.make, a.model, a.trim, a.style, a.body_type, a.msrp, avg(a.msrp) over (partition by a.vin_pattern, a.market) as vin_pattern_market_avg,
-    (select count(distinct trim) from whole b where b.vin_pattern = a.vin_pattern) as vin_pattern_trims
-  from whole a where (select count(distinct body_type) from whole b where b.year = a.year and b.make = a.make and b.model = a.model and b.trim = a.trim and b.style = a.style) = 1
-    or a.style like '%' || a.body_type || '%' or a.style like '%Mini-Van%' and a.body_type = 'Wagon')"""
+_V = "year, make, model, trim, style"
+# Body types per vehicle, the rows that are consistent, their mean price per pattern and market, trims per pattern.
+_CLEAN_SQL = f"""(with parts as (select {_cat('bigint')} from part),
+  bodies as (select {_V}, count(distinct body_type) as n from parts group by all),
+  kept as (select parts.* from parts join bodies using ({_V}) where n = 1 or contains(style, body_type) or body_type = 'Wagon' and contains(style, 'Mini-Van')),
+  means as (select vin_pattern, market, avg(msrp) as mean from kept group by all),
+  trims as (select vin_pattern, count(distinct trim) as n from parts group by all)
+  select vin_pattern, {_V}, body_type, msrp, mean as vin_pattern_market_avg, trims.n as vin_pattern_trims from kept join means using (vin_pattern, market) join trims using (vin_pattern))"""
 
 
 @query("catalog_clean", f"select * replace (round(vin_pattern_market_avg, 4) as vin_pattern_market_avg) from {_CLEAN_SQL} c")
@@ -424,11 +444,14 @@ def _one_listing(t):
 
 _ONE_SQL = """(select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) as vin, cast(floor(l_partkey / 2) as bigint) as taxonomy_vin,
   case l_returnflag when 'R' then 'ring' when 'A' then 'BOLT' end as trim_orig, l_quantity * 1000 as miles, l_extendedprice as price, l_shipdate as status_date from lineitem)"""
-_TRAIN_SQL = f"""(select vin, year, make, model, trim, style, body_type, msrp, mileage, price,
-    count(*) over (partition by year, make, model, trim, style) as vehicles, rank() over (partition by year, make, model, trim, style order by status_date desc)::integer as rank
-  from (select distinct car.vin, v.year, v.make, v.model, v.trim, v.style, v.body_type, round(v.vin_pattern_market_avg, 4) as msrp, car.miles as mileage, car.price, car.status_date
-    from {_ONE_SQL} car join {_CLEAN_SQL} v on car.taxonomy_vin = v.vin_pattern
-    where v.vin_pattern_trims = 1 or (v.vin_pattern_market_avg > 0 and abs(v.msrp - v.vin_pattern_market_avg) / v.vin_pattern_market_avg < 0.05) or contains(lower(v.trim), lower(car.trim_orig))) x)"""
+# Cars met with the vehicles of their pattern; the vehicles' sizes, and for each of their days how many cars are newer.
+_TRAIN_SQL = f"""(with cars as {_ONE_SQL}, sold as (select *, vin_pattern_market_avg as mean from {_CLEAN_SQL} v),
+  met as (select distinct vin, {_V}, body_type, round(mean, 4) as msrp, miles as mileage, price, status_date from cars join sold on vin_pattern = taxonomy_vin
+    where contains(lower(trim), lower(trim_orig)) or vin_pattern_trims = 1 or mean > 0 and abs(msrp - mean) < 0.05 * mean),
+  days as (select {_V}, status_date, count(*) as n from met group by all),
+  places as (select {_V}, status_date, sum(n) over whole_ as vehicles, sum(n) over from_newest - n + 1 as rank from days
+    window whole_ as (partition by {_V}), from_newest as (partition by {_V} order by status_date desc))
+  select vin, {_V}, body_type, msrp, mileage, price, vehicles::bigint as vehicles, rank::integer as rank from met join places using ({_V}, status_date))"""
 
 
 @query("training_set", f"select * from {_TRAIN_SQL} s")
@@ -654,6 +677,21 @@ def _(t):
     return _view(pricing.models_view(_published(t), _as_of(), as_shipped=True))
 
 
+_COMPLETE_SQL = f"""select year::bigint as session_id, 0 as vehicle_id, round(intercept, 2) as list_price_intercept, round(slope, 6) as mileage, -2500.0::double as trade_value_intercept,
+  round(power(2020 - year + 2, -0.06), 9) as factor, year::integer as year, make, model, trim, style, size::integer as vehicles, body_type, round(msrp, 2) as msrp, 0.9::double as multiplier,
+  round(lo, 2) as minimum_list_price, round(hi, 2) as maximum_list_price, 0.0::double as minimum_mileage_threshold from {_models_sql()} m"""
+
+
+@query("models_complete", _COMPLETE_SQL)
+def _(t):
+    """Every column of the published view, its two JSON texts by the number they hold."""
+    view = pricing.models_view(_published(t), _as_of())
+    of = lambda c, key: F.get_json_object(c, f"$.{key}").cast("double")
+    numbers = {"list_price_coefficients": F.round(of("list_price_coefficients", "mileage"), 6).alias("mileage"), "trade_value_coefficients": F.round(of("trade_value_coefficients", "estimated_list_price"), 9).alias("factor")}
+    places = {"list_price_intercept": 2, "msrp": 2, "minimum_list_price": 2, "maximum_list_price": 2}
+    return view.select(*[numbers[c] if c in numbers else F.round(c, places[c]).alias(c) if c in places else F.col(c) for c in view.columns])
+
+
 @query("latest_models", _VIEW_SQL.format(year="year", make="make", models=_models_sql()) + " where year = (select max(n_nationkey) from nation where n_nationkey < 4)")
 def _(t):
     sessions = t.nation.select(F.col("n_nationkey").cast("bigint").alias("id"), (F.col("n_nationkey") < 4).alias("validated"))
