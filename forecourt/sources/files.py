@@ -10,7 +10,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 import pandas as pd
 import pyarrow as pa
@@ -87,6 +87,11 @@ def first_line(stream, codec: str = "") -> bytes | None:
     return held[: end.start()]
 
 
+def stored_at(file: str) -> tuple[pa_fs.FileSystem, str]:
+    """The store and place of a file that Spark names; Spark escapes only some characters."""
+    return pa_fs.FileSystem.from_uri(quote(file, safe="%/:@!$&'()*+,;=~-._"))
+
+
 def header_lines(spark: SparkSession, path: str | Sequence[str], modified_after: str | None = None) -> DataFrame:
     """(file, header): the first line of every file that is not empty.
 
@@ -106,7 +111,7 @@ def header_lines(spark: SparkSession, path: str | Sequence[str], modified_after:
                 suffix = re.search(r"\.(gz|deflate|bz2|zstd?|snappy|lz4|lzo)$", file)
                 codec = suffix[1] if suffix else ""
                 try:
-                    system, at = pa_fs.FileSystem.from_uri(file)
+                    system, at = stored_at(file)
                 except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
                     system = None
                 if system is None or codec not in ("", "gz", "deflate", "bz2"):
@@ -196,16 +201,18 @@ def count_broken(spark: SparkSession, path: str | Sequence[str], sep: str = ",")
 
 
 def archive_lines(archives: DataFrame) -> DataFrame:
-    """(file, line) of the first entry of every zip; ``archives`` has (path, content).
+    """(file, line) of the first entry of every zip; ``archives`` has (path) or (path, content).
 
-    Zips are unpacked as streams of line blocks, so a task holds one
-    compressed archive and one block.
+    A task opens an archive where it lies and unpacks it as a stream of line
+    blocks, so it holds one block, whatever the archive's size. With ``content``
+    it unpacks those bytes instead.
     """
+    held = "content" in archives.columns
 
     def first_entry_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for path, content in zip(batch["path"], batch["content"] if held else batch["path"]):
+                with io.BytesIO(content) if held else _opened(path) as file, zipfile.ZipFile(file) as archive:
                     entries = archive.infolist()
                     if not entries:
                         continue
@@ -214,15 +221,58 @@ def archive_lines(archives: DataFrame) -> DataFrame:
                         while block := list(itertools.islice(lines, BLOCK_LINES)):
                             yield pd.DataFrame({"file": path, "line": block})
 
-    return archives.select("path", "content").mapInPandas(first_entry_lines, "file string, line string")
+    return archives.select("path", *(["content"] if held else [])).mapInPandas(first_entry_lines, "file string, line string")
+
+
+class _Stored(io.RawIOBase):
+    """A file of any store that pyarrow knows, with Python's own errors."""
+
+    def __init__(self, path: str):
+        system, at = stored_at(path)
+        self._file = system.open_input_file(at)
+        self._size = self._file.size()
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
 
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        to = offset + {io.SEEK_SET: 0, io.SEEK_CUR: self.tell(), io.SEEK_END: self._size}[whence]
+        if to < 0:
+            raise OSError(f"before the start: {to}")
+        self._file.seek(to)
+        return to
 
-def read_archives(spark: SparkSession, path: str, modified_after: str | None = None) -> DataFrame:
-    """(path, content) of archives, each below the 2 GB that Spark holds in one binary value."""
+    def readinto(self, buffer) -> int:
+        data = self._file.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        if hasattr(self, "_file"):
+            self._file.close()
+        super().close()
+
+
+def _opened(path: str) -> io.BufferedReader:
+    return io.BufferedReader(_Stored(path), 1 << 16)
+
+
+def read_archives(spark: SparkSession, path: str, modified_after: str | None = None, content: bool = False) -> DataFrame:
+    """(path) of archives, of any size; ``content`` adds their bytes.
+
+    That is for a store that only Spark can open; an archive then has to be
+    below the 2 GB that Spark holds in one binary value.
+    """
     reader = spark.read.format("binaryFile")
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
-    return reader.load(path)
+    return reader.load(path).select(F.col("_metadata.file_path").alias("path"), *([F.col("content")] if content else []))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:

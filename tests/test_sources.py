@@ -37,6 +37,38 @@ def test_event_archives(spark, tmp_path):
     assert [r.happened_at for r in got if r.event_id == "e2"] == [None]
 
 
+def test_archives_are_streamed_from_where_they_lie(spark, tmp_path):
+    """Archives that Spark may not hold as one value are read; a task's memory does not follow their size."""
+    import resource
+
+    folder = tmp_path / "with space é%"
+    folder.mkdir()
+    line = event(id_="x", more="y" * 200)
+    write_zip(folder / "big one.zip", [line.replace('"x"', f'"{k}"') for k in range(200_000)])
+    size = (folder / "big one.zip").stat().st_size
+    old = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(size // 2))
+    try:
+        archives = S.read_archives(spark, str(folder))
+        assert S.scan_event_archive(archives, ["view"]).select("event_id").distinct().count() == 200_000
+        with pytest.raises(Exception, match="(?i)exceed"):
+            S.archive_lines(S.read_archives(spark, str(folder), content=True)).count()
+
+        def peak(batches):
+            before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+            with S._opened(next(iter(batches))["path"][0]) as file, zipfile.ZipFile(file) as z, z.open(z.infolist()[0]) as entry:
+                rows = sum(1 for _ in entry)
+            import pandas as pd
+
+            yield pd.DataFrame({"rows": [rows], "kb": [resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before]})
+
+        got = archives.mapInPandas(peak, "rows long, kb long").first()
+        assert got.rows == 200_000 and got.kb * 1024 < 20 << 20 and size > 40 << 20
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", old)
+    assert S.archive_lines(S.read_archives(spark, str(folder), content=True)).count() == 200_000
+
+
 def test_json_lines_and_gz(spark, tmp_path):
     (tmp_path / "a.json").write_text(event() + "\n")
     with gzip.open(tmp_path / "b.json.gz", "wt") as f:
