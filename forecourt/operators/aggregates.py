@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,69 @@ def line_of(x: Column, y: Column) -> list[Column]:
     ]
 
 
+MOMENTS = ("n", "mean_x", "mean_y", "sxx", "syy", "sxy", "minimum", "maximum")
+
+
+def moments(df: DataFrame, groups: Sequence[str], x: str, y: str) -> DataFrame:
+    """What a least-squares line and its squared error follow from, per group: count, means, sums of squares and products
+    about the means, least and greatest y. Rows with a NULL don't count; a group of such rows only has no row."""
+    a, b = F.col(x), F.col(y)
+    both = a.isNotNull() & b.isNotNull()
+    found = df.where(both).groupBy(*groups).agg(
+        F.regr_count(b, a).alias("n"), F.regr_avgx(b, a).alias("mean_x"), F.regr_avgy(b, a).alias("mean_y"),
+        F.regr_sxx(b, a).alias("sxx"), F.regr_syy(b, a).alias("syy"), F.regr_sxy(b, a).alias("sxy"),
+        F.min(b).alias("minimum"), F.max(b).alias("maximum"),
+    )
+    return found
+
+
+def merge_moments(stored: DataFrame, added: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The moments of all rows behind two tables of them; no row is read again.
+
+    Sums about the two means are moved to the common one, so that nothing large
+    is subtracted from something as large.
+    """
+    old = stored.select(*[F.col(g).alias(f"_{g}") for g in groups], F.struct(*MOMENTS).alias("a"))
+    new = added.select(*groups, F.struct(*MOMENTS).alias("b"))
+    on = reduce(lambda p, q: p & q, [F.col(f"_{g}").eqNullSafe(F.col(g)) for g in groups])
+    met = old.join(new, on, "full_outer")
+    key = [F.when(F.col("b").isNull(), F.col(f"_{g}")).otherwise(F.col(g)).alias(g) for g in groups]
+    n = F.col("a.n") + F.col("b.n")
+    share = F.col("a.n") * F.col("b.n") / n
+    gap_x, gap_y = F.col("b.mean_x") - F.col("a.mean_x"), F.col("b.mean_y") - F.col("a.mean_y")
+    both = {
+        "n": n,
+        "mean_x": F.col("a.mean_x") + gap_x * F.col("b.n") / n,
+        "mean_y": F.col("a.mean_y") + gap_y * F.col("b.n") / n,
+        "sxx": F.col("a.sxx") + F.col("b.sxx") + gap_x * gap_x * share,
+        "syy": F.col("a.syy") + F.col("b.syy") + gap_y * gap_y * share,
+        "sxy": F.col("a.sxy") + F.col("b.sxy") + gap_x * gap_y * share,
+        "minimum": F.least("a.minimum", "b.minimum"),
+        "maximum": F.greatest("a.maximum", "b.maximum"),
+    }
+    one = lambda m: F.when(F.col("b").isNull(), F.col(f"a.{m}")).when(F.col("a").isNull(), F.col(f"b.{m}"))
+    return met.select(*key, *[one(m).otherwise(both[m]).alias(m) for m in MOMENTS])
+
+
+def fit_of_moments(found: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """The line, as `linear_fit` gives it, with its mean squared error, mean prediction and the observed range."""
+    slope = F.when(F.col("sxx") > 0, F.col("sxy") / F.col("sxx")).otherwise(0.0)
+    r2 = F.when(F.col("sxx") > 0, F.when(F.col("syy") > 0, F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy"))).otherwise(1.0))
+    wide = found.withColumn("slope", slope).withColumn("intercept", F.col("mean_y") - F.col("slope") * F.col("mean_x"))
+    return wide.select(
+        *groups,
+        "slope",
+        "intercept",
+        r2.alias("r2"),
+        F.col("n").alias("size"),
+        (F.greatest(F.lit(0.0), F.col("syy") - F.col("slope") * F.col("sxy")) / F.col("n")).alias("mean_squared_error"),
+        F.col("mean_y").alias("mean_observed"),
+        (F.col("intercept") + F.col("slope") * F.col("mean_x")).alias("mean_predicted"),
+        "minimum",
+        "maximum",
+    )
+
+
 def fit_errors(df: DataFrame, fits: DataFrame, groups: Sequence[str], x: str, y: str) -> DataFrame:
     """Errors of the fitted line on the rows it was fitted to, with the observed range."""
     rows = spread_join(df, fits.select(*groups, "slope", "intercept"), groups)

@@ -8,6 +8,7 @@ from forecourt.operators import aggregates as A
 from forecourt.operators import incremental as I
 from forecourt.plans import impressions, leads as L, reports as R
 from forecourt.standins.payloads import _UUID_DUCK
+from forecourt.session import materialize
 from forecourt.standins.base import LEADS_SQL, LISTINGS_SQL, REPORTS_SQL, Tables, labelled, listings, query, reports, ts
 
 # --- accident-report rollups ---------------------------------------------
@@ -197,6 +198,26 @@ def _(t):
     return e.select(*keys, F.round(F.col("mean_squared_error") / 1e6, 4).alias("mse_m"), *rounded, "minimum", "maximum")
 
 
+@query(
+    "group_fit_sessions",
+    f"""with g as {_GROUPS_SQL}, f as (select p_brand, p_type, regr_slope(price, mileage) as s, regr_intercept(price, mileage) as i, regr_r2(price, mileage) as r2 from g group by 1, 2)
+      select p_brand, p_type, round(any_value(s), 6) as slope, round(any_value(i), 2) as intercept, round(any_value(r2), 6) as r2, count(*) as size, round(avg(power(price - (i + s * mileage), 2)) / 1e6, 4) as mse_m,
+        round(avg(i + s * mileage) + {_OFF}, 3) as mean_predicted, min(price) as minimum, max(price) as maximum from g join f using (p_brand, p_type) group by 1, 2""",
+)
+def _(t):
+    """Three sessions, each of which adds its own rows to the moments that the ones before it stored."""
+    keys = ["p_brand", "p_type"]
+    joined = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey"))
+    rows = joined.select(*keys, (F.col("l_quantity") * 1000).alias("mileage"), F.col("l_extendedprice").alias("price"), "l_returnflag")
+    stored = None
+    for flag in ("A", "N", "R"):
+        added = A.moments(rows.where(F.col("l_returnflag") == flag), keys, "mileage", "price")
+        stored = materialize(added if stored is None else A.merge_moments(stored, added, keys), "moments")
+    fit = A.fit_of_moments(stored, keys)
+    rounded = {"slope": F.round("slope", 6), "intercept": F.round("intercept", 2), "r2": F.round("r2", 6), "mse_m": F.round(F.col("mean_squared_error") / 1e6, 4), "mean_predicted": F.round(F.col("mean_predicted") + _OFF, 3)}
+    return fit.select(*keys, *[c.alias(n) for n, c in rounded.items()], "size", "minimum", "maximum")
+
+
 @query("distinct_projection", "select distinct o_custkey from orders where o_orderstatus = 'P'")
 def _(t):
     return t.orders.where("o_orderstatus = 'P'").select("o_custkey").distinct()

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from forecourt.operators import aggregates as A
 from forecourt.operators import filters as X
 from forecourt.operators import incremental as I
 from forecourt.operators import joins as J
@@ -195,6 +196,30 @@ def test_a_row_is_made_of_gram_hits_only(spark):
     assert all(min(map(share, of[n])) == min(share(n[a : a + 8]) for a in range(max(1, len(n) - 7))) for n in of)
 
 
+def test_merged_moments_equal_those_of_all_rows(spark):
+    """Sessions that each add one file give the fit that reads them all; far from zero, with constant and lone groups and NULLs."""
+    r = random.Random(12)
+    data = [(k % 5, s, None if r.random() < 0.05 else 1e4 + (7.0 if k % 5 == 3 else r.gauss(0, 50)), None if r.random() < 0.05 else 1e5 - 3 * k + r.gauss(0, 40)) for k in range(900) for s in [r.randrange(4) if k % 5 != 4 else 2]]
+    data += [(None, s, float(s), 2.0 * s + 1) for s in range(4)] + [(9, 0, None, 1.0)]
+    df = spark.createDataFrame(data, "k int, session int, x double, y double")
+    parts = [A.moments(df.where(df.session == s), ["k"], "x", "y") for s in range(4)]
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = A.merge_moments(merged, p, ["k"])
+    got = {x.k: x for x in A.fit_of_moments(merged, ["k"]).collect()}
+    rows = df.where("x is not null and y is not null")
+    fits = A.linear_fit(rows, ["k"], "x", "y")
+    whole = {x.k: x for x in fits.collect()}
+    errors = {x.k: x for x in A.fit_errors(rows, fits, ["k"], "x", "y").collect()}
+    assert set(got) == {0, 1, 2, 3, 4, None}
+    for k, x in got.items():
+        assert x.size == whole[k].size and x.slope == pytest.approx(whole[k].slope, rel=1e-6, abs=1e-9)
+        assert x.r2 is whole[k].r2 is None or x.r2 == pytest.approx(whole[k].r2, rel=1e-6)
+        assert x.intercept == pytest.approx(whole[k].intercept, rel=1e-6)
+        assert x.mean_squared_error == pytest.approx(errors[k].mean_squared_error, rel=1e-4, abs=1e-3)
+        assert (x.minimum, x.maximum) == (errors[k].minimum, errors[k].maximum) and x.mean_predicted == pytest.approx(errors[k].mean_predicted)
+
+
 def test_substring_join_equals_brute_force(spark, rows):
     random.seed(7)
     word = lambda n: "".join(random.choice("ab.") for _ in range(n))
