@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from forecourt.llm.common import query, table, together
 
 SPACE = "▁"
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 #: Words of more characters, which would advance all but alone, are segmented one by one over a table of the pieces.
 LONG = 512
 _BASE = np.uint64(0x9E3779B97F4A7C15)

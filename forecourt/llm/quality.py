@@ -37,7 +37,7 @@ FOLDS, HELD_OUT = 4, 2
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 60, 256, 0.01, 1e-4
 #: Bytes of text that are described at a time, one document at least.
-TOGETHER = 4_000_000
+TOGETHER = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
