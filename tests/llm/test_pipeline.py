@@ -63,3 +63,18 @@ def test_stages_take_an_empty_table_and_nulls(spark):
         for _, stage in corpus_pipeline.STAGES:
             given = stage(spark, given, FOLDER)
             assert given.count() <= most
+
+
+def test_small_blocks_buckets_and_chunks_change_nothing(spark, monkeypatch):
+    """The same rows where blocks, buckets, chunks and sub-batches split as they do on large tables."""
+    from functools import partial
+
+    from forecourt.llm import pieces, quality, simhash
+
+    rows = lambda: sorted(map(tuple, corpus_pipeline.run(spark, FOLDER).select("doc_id", "n_tokens", "ids_sha256").collect()))
+    whole = rows()
+    monkeypatch.setattr(corpus_pipeline, "deduplicate", partial(corpus_pipeline.deduplicate, block_bytes=20_000, bucket_bytes=15_000))
+    monkeypatch.setattr(simhash, "links", partial(simhash.links, chunk=5))
+    for module in (pieces, quality, simhash):
+        monkeypatch.setattr(module, "TOGETHER", 5_000)
+    assert rows() == whole and len(whole) > 100
