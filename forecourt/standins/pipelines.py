@@ -14,6 +14,7 @@ from forecourt.standins.base import LEADS_SQL, LISTINGS_SQL, lead_flags, labelle
 from forecourt.standins.latests import FILTER_SQL, raw_listings
 from forecourt.standins.merges import JOBS_SQL, jobs
 from forecourt.standins.payloads import _UUID_DUCK, _UUID_SPARK
+from forecourt.standins.rollups import _OFF
 
 # --- leads ----------------------------------------------------------------
 
@@ -575,13 +576,15 @@ def _models_sql(rows=_ROWS_SQL):
 
 def _model_columns(rows):
     return f"""select {_G}, tier, match_year::integer as match_year, match_make, match_model, match_trim, match_style, round(slope, 6) as coefficient, round(intercept, 2) as intercept,
-      round(r2, 6) as r2, size, body_type, round(msrp, 3) as msrp, round(mae, 3) as mean_absolute_error, round(mse / 1e6, 6) as mean_squared_error, round(observed, 3) as mean_observed_list_price,
-      round(predicted, 3) as mean_predicted_list_price, lo as minimum_list_price, hi as maximum_list_price from {_models_sql(rows)} m"""
+      round(r2, 6) as r2, size, body_type, round(msrp, 3) as msrp, round(mae, 3) as mean_absolute_error, round(mse / 1e6, 6) as mean_squared_error, round(observed + {_OFF}, 3) as mean_observed_list_price,
+      round(predicted + {_OFF}, 3) as mean_predicted_list_price, lo as minimum_list_price, hi as maximum_list_price from {_models_sql(rows)} m"""
 
 
 def _rounded_models(training):
     out = pricing.price_models(training)
     rounded = {"coefficient": 6, "intercept": 2, "r2": 6, "msrp": 3, "mean_absolute_error": 3, "mean_observed_list_price": 3, "mean_predicted_list_price": 3}
+    for c in ("mean_observed_list_price", "mean_predicted_list_price"):  # off exact ties, as in the SQL
+        out = out.withColumn(c, F.col(c) + _OFF)
     plain = [*catalog.VEHICLE, "tier", *[f"match_{c}" for c in catalog.VEHICLE], "size", "body_type", "minimum_list_price", "maximum_list_price"]
     squared = F.round(F.col("mean_squared_error") / 1e6, 6).alias("mean_squared_error")
     return out.select(*plain, squared, *[F.round(c, n).alias(c) for c, n in rounded.items()])
