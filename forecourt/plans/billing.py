@@ -63,13 +63,18 @@ def saas_revenue_monthly(items: DataFrame, invoices: DataFrame, subscriptions: D
     subs = subscriptions.select("id", F.col("creatoraccountid").alias("accountid"))
     rows = left_lookup(base, subs, "subscriptionid", "id")
     rows = left_lookup(rows, totals, "id", "_to", salts=1)
-    copies = {k: F.greatest(F.coalesce(F.col(f"{k}_n"), F.lit(0)), F.lit(1)).cast("bigint") for k in DISCOUNTS}
+    copies = {k: F.greatest(F.coalesce(F.col(f"{k}_n"), F.lit(0)), F.lit(1)).cast("decimal(38,0)") for k in DISCOUNTS}
 
     def times(value, skip=None):
-        n = reduce(lambda a, b: a * b, [c for k, c in copies.items() if k != skip])
-        # (28,9) times (9,0) is (38,9): no digit is lost, and what doesn't fit is an error, not NULL.
-        exact = value.cast(AMOUNT) * n.cast("decimal(9,0)")
-        lost = value.isNotNull() & (value.try_cast(AMOUNT).isNull() | n.try_cast("decimal(9,0)").isNull() | (value != value.try_cast(AMOUNT)))
+        # Whole units and decimals are multiplied apart, so that no digit is lost however many copies there are; what
+        # doesn't fit is an error, not NULL.
+        n = reduce(F.try_multiply, [c for k, c in copies.items() if k != skip]).try_cast("decimal(28,0)")
+        amount = value.try_cast(AMOUNT)
+        units = F.when(amount < 0, F.ceil(amount)).otherwise(F.floor(amount)).cast("decimal(19,0)")
+        whole = F.try_multiply(units, n).try_cast("decimal(37,9)")
+        rest = ((amount - units).cast("decimal(9,9)") * n).try_cast("decimal(37,9)")
+        exact = whole + rest
+        lost = value.isNotNull() & (exact.isNull() | (value != amount))
         return F.when(lost, F.raise_error(F.concat(F.lit("amount out of range: "), value))).otherwise(exact)
 
     money = {"_price": times(F.col("chargeamount"))}

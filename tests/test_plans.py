@@ -236,3 +236,17 @@ def test_dashboard_tables_come_of_one_rollup(spark, rows):
     assert all(spark.table(t).count() == 0 for t in tables.values())
     plan = L.dashboard_rollup(content, values)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(_view") == 1 and plan.count("Generate explode") == 1
+
+
+def test_amounts_of_very_many_discounts(spark):
+    """Four kinds with hundreds of discounts each: more copies than nine digits count, and no decimal is lost."""
+    items = spark.range(1200).selectExpr(
+        "cast(id as string) id", "'i1' invoiceid", "'s1' subscriptionid", "case id % 4 when 0 then 'Discount' when 1 then 'DSP Discount' when 2 then 'SaaS Discount' else 'Held Billing Discount' end chargename",
+        "cast(-0.000000007 as decimal(38,9)) chargeamount", "timestamp'2024-01-05' servicestartdate", "'base' appliedtoinvoiceitemid",
+    )
+    base = items.limit(1).selectExpr("'base' id", "invoiceid", "subscriptionid", "'Suite' chargename", "cast(12.345678901 as decimal(38,9)) chargeamount", "servicestartdate", "cast(null as string) appliedtoinvoiceitemid")
+    invoices = spark.createDataFrame([("i1", "Posted", False)], "id string, status string, reversed boolean")
+    subs = spark.createDataFrame([("s1", "a1")], "id string, creatoraccountid string")
+    got = billing.saas_revenue_monthly(items.unionByName(base), invoices, subs, {"suite": "Suite"}).first()
+    assert got.suite_price == Decimal("12.345678901") * 300**4
+    assert got.suite_discount == got.suite_held_billing_discount == Decimal("-0.000000007") * 300**4
