@@ -300,3 +300,13 @@ def test_scratch_folder_must_be_named_and_is_pruned(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
     with pytest.raises(ValueError):
         scratch_root(SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default)))
+
+
+def test_written_files_have_bounded_rows(spark, monkeypatch):
+    """The more rows, the more files: a gzip file is one task's work."""
+    from forecourt.standins import files as standin
+
+    monkeypatch.setattr(standin, "FILE_ROWS", 100, raising=False)
+    path = standin._written(SimpleNamespace(spark=spark), spark.range(5000).selectExpr("id", "id % 7 as n"), "bounded")
+    sizes = spark.read.csv(path, header=True).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in sizes) == 5000 and max(r["count"] for r in sizes) <= 100
