@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forecourt.operators.incremental import high_water
-from forecourt.session import child_folders, materialize, remove_folder
+from forecourt.session import child_folders, materialize, remove_folder, setting
+
+# Shuffled bytes that one task sorts and lands; narrow rows take some forty times as much memory.
+LANDED_BYTES = "16m"
 
 LEDGER_SCHEMA = "id bigint, file string, last_modified timestamp, script string, scanned timestamp"
 
@@ -50,15 +53,21 @@ def with_file_id(rows: DataFrame, ledger: DataFrame, script: str, out: str = "fi
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger at ``path``, a partition per job; empty before the first delivery."""
-    schema = spark.createDataFrame([], LEDGER_SCHEMA).schema
-    return spark.read.schema(schema).parquet(path) if child_folders(spark, path) else spark.createDataFrame([], schema)
+    empty = nothing(spark, LEDGER_SCHEMA)
+    return spark.read.schema(empty.schema).parquet(path) if child_folders(spark, path) else empty
+
+
+def nothing(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of ``schema``, which Spark knows to be none: a join with them shuffles nothing."""
+    fields = spark.createDataFrame([], schema).schema.fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def read_rows(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Landed rows of ``schema`` with their ``script`` and ``file_id``, the partitions they lie in."""
     fields = spark.createDataFrame([], schema).schema.fields
     wide = T.StructType([*fields, T.StructField("script", T.StringType()), T.StructField("file_id", T.LongType())])
-    return spark.read.schema(wide).parquet(path) if child_folders(spark, path) else spark.createDataFrame([], wide)
+    return spark.read.schema(wide).parquet(path) if child_folders(spark, path) else nothing(spark, wide)
 
 
 def publish_files(rows: DataFrame, rows_path: str, ledger_path: str, script: str, now: Column) -> None:
@@ -75,10 +84,11 @@ def publish_files(rows: DataFrame, rows_path: str, ledger_path: str, script: str
     fresh = rows_of_new_files(rows, ledger, script)
     files = fresh.select("file", "last_modified").distinct()
     # The files are fixed before anything is landed.
-    entered = materialize(record_files(spark.createDataFrame([], ledger.schema), files, script, now), "ledger")
+    entered = materialize(record_files(nothing(spark, ledger.schema), files, script, now), "ledger")
     landed = with_file_id(fresh.drop("last_modified"), entered, script).withColumn("script", F.lit(script))
     dynamic = landed.hint("rebalance", "file_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    dynamic.partitionBy("script", "file_id").parquet(rows_path)
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", LANDED_BYTES):
+        dynamic.partitionBy("script", "file_id").parquet(rows_path)
     append_ledger(entered, ledger_path)
 
 

@@ -310,3 +310,31 @@ def test_written_files_have_bounded_rows(spark, monkeypatch):
     path = standin._written(SimpleNamespace(spark=spark), spark.range(5000).selectExpr("id", "id % 7 as n"), "bounded")
     sizes = spark.read.csv(path, header=True).groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in sizes) == 5000 and max(r["count"] for r in sizes) <= 100
+
+
+def test_reports_and_archives_are_opened_once(spark, tmp_path):
+    """What several passes need is written once: no pass opens the files again."""
+    from forecourt.standins import QUERIES
+
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "a.csv").write_text("\n".join(["t", "D,x", *["t"] * 5, "Deal,Gross", "7 x 01/02/2024,$1", "", "Total,$1"]))
+    report = S.scan_sectioned_report(spark, str(tmp_path / "r"))
+    assert [(r.dealer, r.purchase_number) for r in report.collect()] == [("D", 7)]
+    assert "FileScan text" not in report._jdf.queryExecution().executedPlan().toString()
+    kinds = "element_at(array('view', 'click', 'signup', 'purchase'), cast(id % 4 + 1 as int))"
+    events = spark.range(400).selectExpr("id event_id", "id % 5 user_id", f"{kinds} event_type", "timestamp_ntz'2024-01-01 10:00:00' + make_dt_interval(cast(id % 20 as int)) ts", "1D value", """'{"k": "7"}' props""")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    visits = QUERIES["unique_impressions_resumed"](spark, str(tmp_path))
+    # Days 11 to 16: the feeds end on the 17th to 20th, and each day has one user of each of five.
+    assert {r.date.day for r in visits.collect()} == set(range(11, 17))
+    assert "MapInPandas" not in visits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_first_delivery_shuffles_nothing_by_file_and_lands_in_parts(spark, tmp_path, monkeypatch):
+    rows = spark.range(200_000).selectExpr("'one' file", "id", "timestamp'2024-01-01' last_modified")
+    plan = G.rows_of_new_files(rows, G.read_ledger(spark, str(tmp_path / "ledger")), "job")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    monkeypatch.setattr(G, "LANDED_BYTES", "64k", raising=False)
+    G.publish_files(rows, str(tmp_path / "rows"), str(tmp_path / "ledger"), "job", F.current_timestamp())
+    landed = G.read_rows(spark, str(tmp_path / "rows"), "id long")
+    assert landed.count() == 200_000 and landed.select(F.input_file_name()).distinct().count() > 1
