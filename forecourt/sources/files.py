@@ -25,7 +25,7 @@ from forecourt.functions.vehicle import clean_source_domain
 from forecourt.operators import filters
 from forecourt.operators.joins import SALTS, left_lookup
 from forecourt.operators.spread import spread_join
-from forecourt.session import is_folder
+from forecourt.session import is_folder, materialize
 
 # The typed listing columns and the file columns they come from.
 LISTING_COLUMNS = (
@@ -465,4 +465,5 @@ def parse_sectioned_report(lines: DataFrame) -> DataFrame:
 
 
 def scan_sectioned_report(spark: SparkSession, path: str) -> DataFrame:
-    return parse_sectioned_report(report_lines(spark, path))
+    """The files are opened once; the passes over the lines read what was written of them."""
+    return parse_sectioned_report(materialize(report_lines(spark, path), "lines"))
