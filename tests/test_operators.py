@@ -314,3 +314,20 @@ def test_high_water_starts_at_the_epoch(spark):
     lo, hi = I.high_water_window(empty, "ts", F.lit(at(0)), reupload_minutes=-1440, lag_minutes=15)
     got = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
     assert (got.lo, got.hi) == (datetime(1999, 12, 31), at(0, 900))
+
+
+def test_grams_of_many_texts_are_hashed_at_once(spark, monkeypatch):
+    """Texts of a piece don't mix, needles go over the ends of pieces, and letters beyond 16 bits count as one."""
+    import numpy as np
+
+    text = "𝒳yz 😀 the quick brown fox"
+    slots = J.gram_slots(text, 5)
+    assert len(slots) == len(text) - 4 and all(J.gram_slots(text[i : i + 5], 5) == slots[i : i + 1] for i in range(len(slots))) and not len(J.gram_slots("abc", 5))
+    assert slots.min() >= 0 and slots.max() < J.SLOTS and len(np.unique(J.gram_slots("ab" * 50, 8))) == 2
+    monkeypatch.setattr(J, "PIECE", 40)
+    texts = ["ab", "cd", "", None, text, "x" * 37 + text + "y" * 90 + text, "abcd", "quick brown"]
+    needles = ["ab", "bc", "x" * 8 + "𝒳", "fox", "😀", "quick brown fox", "y" * 80, "z" * 9]
+    left = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(1)
+    right = spark.createDataFrame([(n,) for n in needles], "needle string")
+    got = {(r["id"], r["needle"]) for r in J.substring_join(left, "text", right, "needle").collect()}
+    assert got == {(i, n) for i, t in enumerate(texts) for n in needles if t is not None and n in t}
