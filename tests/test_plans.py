@@ -10,6 +10,7 @@ from forecourt.operators.joins import not_seen_before
 from forecourt.operators.spread import with_group_stats
 from forecourt.plans import billing, catalog, health, impressions, inventory, leads as L, pricing
 from forecourt.plans.specs import view_spec
+from forecourt.session import setting
 from forecourt.sources import sinks as K
 from forecourt.standins import QUERIES
 
@@ -159,6 +160,28 @@ def test_training_set_runs_no_job_while_it_is_planned(spark):
     assert not jobs
 
 
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_training_set_sends_a_match_once_and_without_names(spark, broadcast):
+    """Vehicles of several patterns and body types, one of them hot; equal to ranks by hand, and matches are shuffled narrow."""
+    cat = [(f"P{k}", 2020, "M", f"m{k // 2}", t, "Wagon SUV", b, 1.0, 100.0 + k, 2) for k in range(90) for t in ("Ring Sport", "Base") for b in ("SUV", "Wagon")[: 1 + k % 2]]
+    cars = [(f"v{k}", "P0" if k % 3 else f"P{k % 89}", ["ring", "BASE", None, "s"][k % 4], float(k), 2.0, datetime(2024, 1, 1 + k % 7) if k % 11 else None) for k in range(1200)]
+    met = [(v, *c[1:7], c[8], m, p, d) for v, at, t, m, p, d in cars for c in cat if c[0] == at and d and t and t.lower() in c[4].lower()]
+    want = {}
+    for row in met:
+        same = [m[-1] for m in met if m[1:6] == row[1:6]]
+        want[(*row[:-1], 1 + sum(d > row[-1] for d in same), len(same))] = 1
+    listings = spark.createDataFrame(cars, "vin string, taxonomy_vin string, trim_orig string, miles double, price double, status_date timestamp")
+    types = "vin_pattern string, year int, make string, model string, trim string, style string, body_type string, msrp double, vin_pattern_market_avg double, vin_pattern_trims long"
+    clean = spark.createDataFrame([(*c[:7], 1.0, c[8], c[9]) for c in cat], types)
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", broadcast):
+        got = catalog.training_set(listings, clean)
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+        assert sorted(tuple(r) for r in catalog.training_set(listings, clean, 5).collect()) == sorted(w for w in want if w[-2] <= 5)
+        lines = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    sent = [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning(" in line and "vin#" in below]
+    assert sent and not any("style#" in below for below in sent)
+
+
 def _no_listings(spark):
     return spark.range(3).selectExpr("cast(id as string) vin", "'P' taxonomy_vin", "'t' trim_orig", "1D miles", "2D price", "timestamp'2024-01-01' status_date")
 
