@@ -63,11 +63,11 @@ def refresh_views(rollup: DataFrame, views: Mapping[str, Sequence[str]], view: s
     ``views`` names the columns of every table; the tables are ``prefix`` and
     the view's name, which are returned by view. One write makes them all, and
     the tables are swapped one by one when it is done. Old folders stay, as in
-    `replace_table`.
+    `replace_table`. Files are as large as ``rollup`` is laid out by view.
     """
     spark = rollup.sparkSession
     path = fresh_path(spark, "views")
-    rollup.hint("rebalance", view).write.partitionBy(view).parquet(path)
+    rollup.write.partitionBy(view).parquet(path)
     tables = {}
     for name, columns in views.items():
         table, folder = prefix + name, f"{path}/{view}={name}"

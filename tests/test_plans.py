@@ -261,6 +261,17 @@ def test_dashboard_tables_come_of_one_rollup(spark, rows):
     assert plan.count("Exchange hashpartitioning(_view") == 1 and plan.count("Generate explode") == 1
 
 
+def test_dashboard_groups_are_sent_once(spark):
+    """Groups are whole where they are made and shuffled once, by their table, on the way to its files; as many tasks make them as the session names."""
+    content = spark.range(300).selectExpr("concat('b', id % 9) master_business_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(id % 40 as int)) created_at", "'d' device", "array('trade') lead_content")
+    values = spark.createDataFrame([("trade", 100.5, 0.25)], "master_lead_type string, value double, conversion_rate double")
+    rollup = L.dashboard_rollup(content, values)
+    assert rollup.where("view = 'master_leads_lifetime'").agg(F.sum("leads")).first()[0] == 300
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Generate explode")
+    assert above.count("Exchange") == 1 and "REBALANCE_PARTITIONS_BY_COL" in above and "REPARTITION_BY_NUM" in below
+
+
 def test_amounts_of_very_many_discounts(spark):
     """Four kinds with hundreds of discounts each: more copies than nine digits count, and no decimal is lost."""
     items = spark.range(1200).selectExpr(
