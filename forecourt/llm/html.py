@@ -1,31 +1,35 @@
-"""Main text of web pages: markup decides where it can, repetition across a host's pages where it can't.
+"""Main text of web pages: markup says which blocks are text, repetition across a host's pages which of them are not.
 
 A page becomes blocks of text in page order. Blocks inside menus, headers and footers outside the article, asides,
 forms, dialogs, scripts, styles, templates, and inside elements whose class, id or role names such a part, an
 advert, a notice or reader comments, are no text. If a page marks its article (``article``, ``main`` or role
-``main``), the blocks inside are its text, all of them.
+``main``), only the blocks inside go on.
 
-What a page without such a mark holds, and nothing else, is compared with the other texts of its host. Boilerplate is
-what stands in at least ``TEXTS`` different texts of the host and in ``SHARE`` of them all (copies of a page are one
-text):
+The blocks of every page are compared with the other texts of its pool: the marked articles of a host are one pool, its
+other pages another. Boilerplate is what stands in at least ``TEXTS`` different texts of the pool and in ``SHARE`` of
+them all, among articles in ``ARTICLES`` and ``ARTICLE_SHARE``, as what a few of them share is theirs (copies of a page
+are one text):
 
 * whole blocks, of any length; one of ``RUN`` tokens or more also where another block begins or ends with it;
 * strings of ``LONG`` tokens or more inside blocks. Every such string holds, at the same place, a run of ``RUN`` tokens
   whose hash is the least around it; those anchors are counted first. Around anchors that repeat, the streams of a
-  batch's pages of one host are put one after the other, each stretch closed by a mark of its own, and sorted into a
+  batch's pages of one pool are put one after the other, each stretch closed by a mark of its own, and sorted into a
   suffix array by their first ``LONG`` tokens; equal ones of all arrays meet in a count of distinct texts.
 
 Covered tokens are removed, and all that is left is kept, single tokens too: what merely stands beside a repeat stays.
-Tasks send digests of blocks, anchors (one in about nine tokens) and repeated stretches, never texts, so a host of any
-size is counted in parts.
+A marked article of which ``ARTICLE_REPEAT`` or more would go is a near copy of others and stays whole.
+
+Blocks and anchors (one in about nine tokens) are first counted by eight bytes of their digests, per page; copies of
+pages only raise that count, so all that may be boilerplate is found. Only pools that have such go on, and send digests
+of their blocks, of those anchors and of repeated stretches, never texts, so a host of any size is counted in parts.
 
 Character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined by a
 space.
 
 Defined cases: a null or empty html has no text; a cut-off page is read to its end; a comment, script or style that
 is not closed runs to the end; a null url is the empty host, whose pages are compared with one another; repeated
-rows and copies of a page are one text, so they don't make each other boilerplate; an empty table gives no rows; further columns
-are left alone. Nothing else is dropped or capped.
+rows and copies of a page are one text, so they don't make each other boilerplate; an empty table gives no rows;
+further columns are left alone. Nothing else is dropped or capped.
 """
 
 from __future__ import annotations
@@ -37,18 +41,22 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.llm.common import query, table, together
 from forecourt.llm.urls import host_of
-from forecourt.session import materialize
+from forecourt.session import materialize, setting
 
 RUN = 8
 LONG = 24
 TEXTS = 2
 SHARE = 0.25
+ARTICLES = 3
+ARTICLE_SHARE = 0.75
+ARTICLE_REPEAT = 0.5
 #: Characters of html or text that a task handles at a time, one page at least.
 TOGETHER = 4_000_000
 
@@ -158,19 +166,18 @@ def blocks(html: str | None) -> tuple[list[str], bool]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, blocks) per row: the text of a page that marks its article, else its blocks."""
+    """(page_id, url, blocks, marked) per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in together(batch.column(2), TOGETHER):
                 found = [blocks(h) for h in texts]
                 part = batch.slice(first, len(texts))
-                text = pa.array([" ".join(b) if m else None for b, m in found], pa.string())
-                rest = pa.array([None if m else b for b, m in found], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), text, rest], names=["page_id", "url", "text", "blocks"])
+                of = pa.array([b for b, _ in found], pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), of, pa.array([m for _, m in found])], names=["page_id", "url", "blocks", "marked"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, f"page_id {kind}, url string, text string, blocks array<string>")
+    return pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, f"page_id {kind}, url string, blocks array<string>, marked boolean")
 
 
 def suffix_groups(streams: list[list[list[str]]], run: int) -> list[tuple[str, int, list[int]]]:
@@ -230,6 +237,10 @@ def digest(tokens: list[str]) -> bytes:
     return xxhash.xxh3_128_digest(" ".join(tokens).encode())
 
 
+def name(of: bytes) -> int:
+    return int.from_bytes(of[:8], "little", signed=True)
+
+
 def anchors(tokens: list[str], run: int = RUN, long: int = LONG) -> list[tuple[int, bytes]]:
     """(place, digest) of the runs of ``run`` tokens whose digest is the least of those in some string of ``long`` tokens."""
     wide = long - run + 1
@@ -266,23 +277,54 @@ def stretches(texts: list[str], repeated: set[bytes], run: int = RUN, long: int
     return [(k, low, tokens[low:high]) for k, (low, high), tokens in out]
 
 
+def _names(of: DataFrame, run: int, long: int) -> DataFrame:
+    """(pool, name): the pool's hash and the ``name`` of each different block and anchor, per page."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pools, held, size = [], [], 0
+            for pool, texts in zip(*batch.columns):
+                found = {name(d) for _, d, *_ in _marks(texts.as_py(), run, long)}
+                pools.append(np.full(len(found), pool.as_py(), np.int64))
+                held.append(np.fromiter(found, np.int64, len(found)))
+                size += len(found)
+                if size >= 200_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (pools, held)], names=["pool", "name"])
+                    pools, held, size = [], [], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (pools, held)], names=["pool", "name"])
+
+    return of.select(F.xxhash64("pool"), "blocks").mapInArrow(names, "pool long, name long")
+
+
+def _often(of: DataFrame, many: DataFrame, least: int, run: int, long: int) -> DataFrame:
+    """(pool, often): the names that as many pages of a pool hold as make boilerplate, if their texts differ.
+
+    Without copies these are at most those of a mean page by the inverse of the share, whatever the size of the pool.
+    """
+    seen = _names(of, run, long).groupBy("pool", "name").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    pools = many.select(F.xxhash64("pool").alias("of"), F.col("pool").alias("whole"), "least")
+    met = seen.join(pools, (F.col("pool") == F.col("of")) & (F.col("n") >= F.col("least")))
+    return met.groupBy(F.col("whole").alias("pool")).agg(F.collect_set("name").alias("often"))
+
+
 def _marked(of: DataFrame, run: int, long: int) -> DataFrame:
-    """(host, key, kind, digest, size, first, last) of the blocks and anchors of each page."""
-    kinds = {"host": pa.string(), "key": pa.int64(), "kind": pa.string(), "digest": pa.binary(), "size": pa.int32(), "first": pa.binary(), "last": pa.binary()}
+    """(pool, key, kind, digest, size, first, last) of the blocks of each page and of its anchors that are ``often``."""
+    kinds = {"pool": pa.string(), "key": pa.int64(), "kind": pa.string(), "digest": pa.binary(), "size": pa.int32(), "first": pa.binary(), "last": pa.binary()}
 
     def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
-            for host, key, texts in zip(*batch.columns):
-                host, key = host.as_py(), key.as_py()
-                held += [(host, key, *row) for row in _marks(texts.as_py(), run, long)]
+            for pool, key, texts, often in zip(*batch.columns):
+                pool, key, often = pool.as_py(), key.as_py(), set(often.as_py())
+                held += [(pool, key, *row) for row in _marks(texts.as_py(), run, long) if row[0] == "b" or name(row[1]) in often]
                 if len(held) >= 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds.values())], names=list(kinds))
                     held = []
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds.values())], names=list(kinds))
 
-    return of.select("host", "key", "blocks").mapInArrow(run_, "host string, key long, kind string, digest binary, size int, first binary, last binary")
+    return of.select("pool", "key", "blocks", "often").mapInArrow(run_, "pool string, key long, kind string, digest binary, size int, first binary, last binary")
 
 
 def _marks(texts: list[str], run: int, long: int) -> list[tuple]:
@@ -297,61 +339,63 @@ def _marks(texts: list[str], run: int, long: int) -> list[tuple]:
 
 
 def _strings(of: DataFrame, long: int) -> DataFrame:
-    """(host, key, digest) of the strings of ``long`` tokens in the pages' ``stretches``, by a suffix array per batch and host."""
+    """(pool, key, digest) of the strings of ``long`` tokens in the pages' ``stretches``, by a suffix array per batch and pool."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def arrays(held: dict[str, dict[int, list[list[str]]]]) -> Iterator[pa.RecordBatch]:
-            for host, by_key in held.items():
+            for pool, by_key in held.items():
                 keys = list(by_key)
                 found = suffix_groups(list(by_key.values()), long)
-                rows = [pa.array([host] * len(found)), pa.array([keys[k] for _, k, _ in found], pa.int64()), pa.array([xxhash.xxh3_128_digest(t.encode()) for t, _, _ in found], pa.binary())]
-                yield pa.RecordBatch.from_arrays(rows, names=["host", "key", "digest"])
+                rows = [pa.array([pool] * len(found)), pa.array([keys[k] for _, k, _ in found], pa.int64()), pa.array([xxhash.xxh3_128_digest(t.encode()) for t, _, _ in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(rows, names=["pool", "key", "digest"])
 
         held: dict[str, dict[int, list[list[str]]]] = {}
         size = 0
         for batch in batches:
-            for host, key, parts in zip(*batch.columns):
+            for pool, key, parts in zip(*batch.columns):
                 streams = [part.split(" ") for part in parts.as_py()]
-                held.setdefault(host.as_py(), {})[key.as_py()] = streams
+                held.setdefault(pool.as_py(), {})[key.as_py()] = streams
                 size += sum(map(len, streams))
                 if size >= TOGETHER // 8:
                     yield from arrays(held)
                     held, size = {}, 0
         yield from arrays(held)
 
-    return of.select("host", "key", "stretches").mapInArrow(run, "host string, key long, digest binary")
+    return of.select("pool", "key", "stretches").mapInArrow(run, "pool string, key long, digest binary")
 
 
-def boilerplate(open_: DataFrame, run: int = RUN, long: int = LONG, texts: int = TEXTS, share: float = SHARE) -> DataFrame:
-    """(host, key, covers): per text what of it its host repeats, as structs of kind, digest and size in tokens.
+def boilerplate(of: DataFrame, run: int = RUN, long: int = LONG, texts: int = TEXTS, share: float = SHARE, articles: int = ARTICLES, article_share: float = ARTICLE_SHARE) -> DataFrame:
+    """(pool, key, covers): per text what of it its pool repeats, as structs of kind, digest and size in tokens.
 
     Kinds: "b" a whole block, "p" and "s" a shorter one that a block begins or ends with, "a" an anchor, "l" a string
     of ``long`` tokens.
     """
-    many = open_.select("host", "key").distinct().groupBy("host").agg(F.greatest(F.lit(texts), F.ceil(F.count("*") * share)).alias("least"))
-    many = materialize(many, "html-hosts")
+    least = F.when(F.max("marked"), F.greatest(F.lit(articles), F.ceil(F.count("*") * article_share))).otherwise(F.greatest(F.lit(texts), F.ceil(F.count("*") * share)))
+    many = of.select("pool", "key", "marked").distinct().groupBy("pool").agg(least.alias("least"))
+    many = materialize(many, "html-pools")
+    open_ = of.join(materialize(_often(of, many, min(texts, articles), run, long), "html-often"), "pool")
 
     def shared(rows: DataFrame, *by: str) -> DataFrame:
-        each = rows.select("host", *by, "key").distinct().groupBy("host", *by).agg(F.count("*").alias("n")).where(F.col("n") >= texts)
-        return each.join(many, "host").where(F.col("n") >= F.col("least")).select("host", *by)
+        each = rows.select("pool", *by, "key").distinct().groupBy("pool", *by).agg(F.count("*").alias("n")).where(F.col("n") >= min(texts, articles))
+        return each.join(many, "pool").where(F.col("n") >= F.col("least")).select("pool", *by)
 
     marks = materialize(_marked(open_, run, long), "html-marks")
     both = materialize(shared(marks, "kind", "digest", "size", "first", "last"), "html-shared")
-    marked = marks.join(both.select("host", "kind", "digest"), ["host", "kind", "digest"], "left_semi")
-    found = marked.select("host", "key", "kind", "digest", "size")
+    marked = marks.join(both.select("pool", "kind", "digest"), ["pool", "kind", "digest"], "left_semi")
+    found = marked.select("pool", "key", "kind", "digest", "size")
     long_ones = both.where(F.col("first").isNotNull())
     for kind, end in (("p", "first"), ("s", "last")):
-        whole = long_ones.select(F.col("host").alias("of"), F.col(end).alias("end"), F.col("digest").alias("part"), F.col("size").alias("part_size"))
-        at = (F.col("host") == F.col("of")) & (F.col(end) == F.col("end")) & (F.col("size") > F.col("part_size"))
+        whole = long_ones.select(F.col("pool").alias("of"), F.col(end).alias("end"), F.col("digest").alias("part"), F.col("size").alias("part_size"))
+        at = (F.col("pool") == F.col("of")) & (F.col(end) == F.col("end")) & (F.col("size") > F.col("part_size"))
         inside = marks.where(F.col(end).isNotNull()).join(whole, at)
-        found = found.unionByName(inside.select("host", "key", F.lit(kind).alias("kind"), F.col("part").alias("digest"), F.col("part_size").alias("size")))
+        found = found.unionByName(inside.select("pool", "key", F.lit(kind).alias("kind"), F.col("part").alias("digest"), F.col("part_size").alias("size")))
 
-    near = marked.where("kind = 'a'").groupBy("host", "key").agg(F.collect_set("digest").alias("anchors"))
-    parts = _stretched(open_.join(near, ["host", "key"]), run, long)
+    near = marked.where("kind = 'a'").groupBy("pool", "key").agg(F.collect_set("digest").alias("anchors"))
+    parts = _stretched(open_.join(near, ["pool", "key"]), run, long)
     strings = materialize(_strings(parts, long).distinct(), "html-strings")
-    same = strings.join(shared(strings, "digest"), ["host", "digest"], "left_semi")
-    found = found.unionByName(same.select("host", "key", F.lit("l").alias("kind"), "digest", F.lit(long).alias("size")))
-    return found.groupBy("host", "key").agg(F.collect_set(F.struct("kind", "digest", "size")).alias("covers"))
+    same = strings.join(shared(strings, "digest"), ["pool", "digest"], "left_semi")
+    found = found.unionByName(same.select("pool", "key", F.lit("l").alias("kind"), "digest", F.lit(long).alias("size")))
+    return found.groupBy("pool", "key").agg(F.collect_set(F.struct("kind", "digest", "size")).alias("covers"))
 
 
 def _stretched(of: DataFrame, run: int, long: int) -> DataFrame:
@@ -361,9 +405,9 @@ def _stretched(of: DataFrame, run: int, long: int) -> DataFrame:
                 row = batch.slice(at, 1)
                 found = stretches(row.column(2)[0].as_py(), set(row.column(3)[0].as_py()), run, long)
                 lists = pa.array([[" ".join(tokens) for _, _, tokens in found]], pa.list_(pa.string()))
-                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), lists], names=["host", "key", "stretches"])
+                yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), lists], names=["pool", "key", "stretches"])
 
-    return of.dropDuplicates(["host", "key"]).select("host", "key", "blocks", "anchors").mapInArrow(parts, "host string, key long, stretches array<string>")
+    return of.dropDuplicates(["pool", "key"]).select("pool", "key", "blocks", "anchors").mapInArrow(parts, "pool string, key long, stretches array<string>")
 
 
 def uncovered(texts: list[str], covers: list[dict] | None, run: int = RUN, long: int = LONG) -> list[str]:
@@ -394,21 +438,31 @@ def uncovered(texts: list[str], covers: list[dict] | None, run: int = RUN, long:
     return [block for block in left if block]
 
 
-def extract(pages: DataFrame, run: int = RUN, long: int = LONG, texts: int = TEXTS, share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, run: int = RUN, long: int = LONG, texts: int = TEXTS, share: float = SHARE, articles: int = ARTICLES, article_share: float = ARTICLE_SHARE) -> DataFrame:
     """(page_id, url, text) per row of ``pages``. Each page is parsed once; what comes of it is written."""
-    found = materialize(parsed(pages), "html-parsed")
-    plain = found.where(F.col("text").isNotNull()).select("page_id", "url", "text")
-    open_ = found.where(F.col("text").isNull()).select("page_id", "url", "blocks", host_of(F.col("url")).alias("host"), F.xxhash64("blocks").alias("key"))
-    covers = boilerplate(open_, run, long, texts, share).select(F.col("host").alias("of"), F.col("key").alias("of_key"), "covers")
-    met = open_.join(covers, (F.col("host") == F.col("of")) & (F.col("key") == F.col("of_key")), "left")
+    with setting(pages.sparkSession, "spark.sql.parquet.compression.codec", "zstd"):
+        found = materialize(parsed(pages), "html-parsed")
+    pool = F.concat(F.when(F.col("marked"), "article ").otherwise("page "), host_of(F.col("url")))
+    of = found.select("page_id", "url", "blocks", "marked", pool.alias("pool"), F.xxhash64("blocks").alias("key"))
+    covers = materialize(boilerplate(of, run, long, texts, share, articles, article_share), "html-covers")
+    met = of.join(covers.select(F.col("pool").alias("of"), F.col("key").alias("of_key"), "covers"), (F.col("pool") == F.col("of")) & (F.col("key") == F.col("of_key")), "left")
 
     def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = [" ".join(uncovered(b.as_py(), c.as_py(), run, long)) for b, c in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(left, pa.string())], names=["page_id", "url", "text"])
+            text = pc.binary_join(batch.column(2), " ")
+            if batch.column(4).null_count < len(batch):
+                left = [_left(b.as_py(), m.as_py(), c.as_py(), run, long) if c.is_valid else t.as_py() for b, m, c, t in zip(*batch.columns[2:], text)]
+                text = pa.array(left, pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), text], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return plain.unionByName(met.select("page_id", "url", "blocks", "covers").mapInArrow(rest, f"page_id {kind}, url string, text string"))
+    return met.select("page_id", "url", "blocks", "marked", "covers").mapInArrow(rest, f"page_id {kind}, url string, text string")
+
+
+def _left(texts: list[str], marked: bool, covers: list[dict], run: int, long: int) -> str:
+    whole, left = " ".join(texts), " ".join(uncovered(texts, covers, run, long))
+    size = lambda text: len(text.split())
+    return whole if marked and size(whole) - size(left) >= ARTICLE_REPEAT * size(whole) else left
 
 
 @query("op10_html_text")

@@ -133,6 +133,37 @@ def test_long_repeats_inside_blocks_and_hosts_of_many_texts(spark):
     assert left[55] == "the same page in many copies all of it"
 
 
+def test_marked_articles_are_compared_with_those_of_their_host(spark):
+    """What nearly all articles of a host hold goes from them; what some share, and near copies, stay."""
+    import random
+
+    r = random.Random(8)
+    words = lambda n: [r.choice("abcdefghij") + str(r.randrange(90)) for _ in range(n)]
+    notice, lead, some, few, common = words(30), words(10), words(12), words(9), words(60)
+    rows = []
+    for page in range(8):
+        own = words(r.randint(70, 90))
+        texts = [" ".join(own[:40]), "Share this", " ".join(own[40:50] + notice + own[50:60]), " ".join(own[60:])]
+        texts += [" ".join(lead)] * (page != 3) + [" ".join(lead + own[:4])] * (page % 2) + [" ".join(some)] * (page < 5) + [" ".join(few)] * (page < 2)
+        rows.append((page, "many.org", texts))
+    rows += [(20 + k, "near.org", [" ".join(common), f"part {k}", "Share this"]) for k in range(3)]
+    rows += [(30 + k, "two.org", [" ".join(lead), " ".join(words(30))]) for k in range(2)]
+    rows += [(40 + k, "copies.org", [" ".join(lead), "Share this"]) for k in range(6)]
+    rows += [(50, "empty.org", [])]
+    page = "<nav>menu</nav><p>outside</p><article>{}</article><p>Share this</p>"
+    data = [(p, f"http://{h}/{p}", page.format("".join(f"<p>{b}</p>" for b in x))) for p, h, x in rows]
+    data += [(60 + k, f"http://many.org/x{k}", f"<p>{' '.join(few)}</p><p>Page {k} says more</p>") for k in range(3)]  # without a mark
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {x["page_id"]: x["text"] for x in H.extract(df.repartition(5)).collect()}
+    want = dict(_brute([x for x in rows if x[1] == "many.org"], 0.75))
+    assert {p: got[p] for p in want} == want
+    whole = {p: " ".join(x) for p, _, x in rows if p >= 20}
+    assert {p: got[p] for p in whole} == whole
+    assert [got[60 + k] for k in range(3)] == [f"Page {k} says more" for k in range(3)]
+    assert not any("Share this" in got[p] or " ".join(notice) in got[p] or " ".join(lead) in got[p] for p in range(8))
+    assert all(" ".join(some) in got[p] for p in range(5)) and " ".join(few) in got[1]
+
+
 def test_anchors_are_in_every_long_string():
     import random
 
